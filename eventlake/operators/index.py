@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from eventlake.operators.heavy import first_per_key
 from eventlake.operators.joins import checked_broadcast
 from eventlake.operators.mergetable import MergeTable, fold
-from eventlake.sources.schemas import CHECKPOINT, INDEX_RECORD
+from eventlake.sources.schemas import CHECKPOINT, INDEX_RECORD, record
 
 RECORD_KEY = ["dataset", "record_id"]
 BATCH_PER_DATASET = 200
@@ -118,8 +118,8 @@ class IndexStore:
     also opens a new epoch, because its checkpoint goes back, but keeps the rows.
     """
 
-    ROWS = T.StructType(INDEX_RECORD.fields).add("offset", "long").add("epoch", "long")
-    CONTROL = T.StructType(CHECKPOINT.fields).add("epoch", "long").add("rows_epoch", "long")
+    ROWS = T.StructType([*INDEX_RECORD.fields, *record(offset="long", epoch="long").fields])
+    CONTROL = T.StructType([*CHECKPOINT.fields, *record(epoch="long", rows_epoch="long").fields])
 
     def __init__(self, spark: SparkSession, root: str, order_by: str = "version"):
         self.spark, self.order_by = spark, order_by

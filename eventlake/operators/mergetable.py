@@ -13,6 +13,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from eventlake.sources.schemas import record
+
 BASE = "run=base/batch_id=0"
 
 
@@ -41,7 +43,7 @@ class MergeTable:
 
     def batches(self) -> DataFrame:
         """All stored rows of the current generation, with the ``run`` and ``batch_id`` of each."""
-        layout = T.StructType(self.schema.fields).add("run", "string").add("batch_id", "long")
+        layout = T.StructType([*self.schema.fields, *record(run="string", batch_id="long").fields])
         folder = self._generation_path()
         if not self._files().exists(self._file(folder)):
             return self.spark.createDataFrame([], layout)
