@@ -30,9 +30,13 @@ def split_heavy(df: DataFrame, keys: Sequence[str], light: Callable[[DataFrame],
                 heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """``light`` over the rows of ordinary keys, ``heavy`` over the rest, put together.
 
-    Without a heavy key the adaptive planner sees an empty broadcast and drops the heavy branch.
+    Looks for heavy keys right away, with one job that reads only the key columns. Usually there is
+    none, and the plan is the plain one with a single shuffle.
     """
-    listed = F.broadcast(heavy_keys(df, keys, heavy_rows))
+    listed = heavy_keys(df, keys, heavy_rows)
+    if listed.isEmpty():
+        return light(df)
+    listed = F.broadcast(listed)
     return light(df.join(listed, list(keys), "left_anti")).unionByName(
         heavy(df.join(listed, list(keys), "left_semi")))
 

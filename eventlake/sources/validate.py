@@ -16,7 +16,8 @@ from eventlake.sources.schemas import record
 REQUIRED_TEXT = ("event_id", "event_type", "metric")
 OPTIONAL_TEXT = ("user_id", "customer_id", "endpoint", "status")
 
-ORDER_FIELDS = ("order_id", "customer_id", "amount_kobo", "currency", "status")
+ORDER_TEXTS = record(**{n: "string" for n in (
+    "order_id", "customer_id", "amount_kobo", "currency", "status")})
 
 # Fixed value: numeric event times above this are milliseconds, up to it seconds.
 EPOCH_SECONDS_LIMIT = 20_000_000_000
@@ -87,39 +88,35 @@ def validate_events(messages: DataFrame, value: str = "value") -> DataFrame:
         "parsed", "record", *[f"{n}_kind" for n in names])
 
 
-def order_payload(payload: Column) -> Column:
-    """The order fields of payload JSON text as texts."""
-    return F.from_json(payload, record(**{n: "string" for n in ORDER_FIELDS}))
-
-
 def parse_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     """Change envelopes with a ``reason`` column.
 
-    ``payload`` is kept as JSON text; the order columns are read from it by name, so new payload
-    keys pass through and absent ones are null.
+    The order columns are read from the payload by name, so new payload keys pass through and absent
+    ones are null. ``payload`` is its whole JSON text; it costs nothing where it is not used.
     """
     kept = [c for c in messages.columns if c != value]
     texts = ("event_id", "event_type", "aggregate_type", "aggregate_id", "idempotency_key")
-    schema = record(**{n: "string" for n in (
-        *texts, "emitted_at", "schema_version", "payload", "unreadable")})
+    schema = record(
+        **{n: "string" for n in (*texts, "emitted_at", "schema_version", "unreadable")},
+        payload=ORDER_TEXTS)
     options = {"columnNameOfCorruptRecord": "unreadable", "allowSingleQuotes": "false"}
     text = F.ltrim(F.col(value), F.lit(" \t\r\n"))
     is_object = text.startswith("{")
     read = _computed_once(messages, "read", F.when(is_object, F.from_json(value, schema, options)))
-    read = _computed_once(read, "body", order_payload(F.col("read.payload")))
-    other = F.when(F.try_parse_json(F.col(value)).isNotNull(), "not_an_object")
-    shape = F.when(is_object, F.when(F.col("read.unreadable").isNotNull() | ~_closed(text),
-                                     "malformed_json")) \
-        .otherwise(F.coalesce(other, F.lit("malformed_json")))
+    json = F.try_parse_json(F.col(value))  # only looked at for records that are odd already
+    shape = F.when(
+        is_object,
+        F.when(~_closed(text) | (F.col("read.unreadable").isNotNull() & json.isNull()), "malformed_json"),
+    ).otherwise(F.when(json.isNotNull(), "not_an_object").otherwise("malformed_json"))
     typed = read.select(
         *kept, F.col(value).alias("raw"), shape.alias("shape"),
         *[F.coalesce(f"read.{n}", F.lit("")).alias(n) for n in texts],
-        F.coalesce("read.payload", F.lit("{}")).alias("payload"),
+        F.coalesce(F.get_json_object(value, "$.payload"), F.lit("{}")).alias("payload"),
         "read.emitted_at",
         F.coalesce(F.col("read.schema_version").try_cast("int"), F.lit(1)).alias("schema_version"),
-        F.coalesce("body.order_id", F.lit("")).alias("order_id"), "body.customer_id",
-        F.col("body.amount_kobo").try_cast("long").alias("amount_kobo"), "body.currency",
-        "body.status")
+        F.coalesce("read.payload.order_id", F.lit("")).alias("order_id"), "read.payload.customer_id",
+        F.col("read.payload.amount_kobo").try_cast("long").alias("amount_kobo"),
+        "read.payload.currency", "read.payload.status")
     return typed.withColumn("reason", F.coalesce("shape", _first_reason([
         ("missing_idempotency_key", F.col("idempotency_key") == ""),
         ("missing_order_id", F.col("order_id") == ""),

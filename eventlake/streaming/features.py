@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 from typing import Any
 
@@ -22,6 +23,54 @@ OUTPUT = record(
     kind="string", seq="long", member_id="string", snapshot_ts_ms="long", last_activity_ts_ms="long",
     **{name: "long" for name in TRAILING},
     last_sent_ts_by_channel=T.MapType(T.StringType(), T.LongType()))
+Snapshot = Row(*OUTPUT.names)
+
+COUNTERS = {"minute": list(ACTIVITY_COUNTERS.values()), "hour": list(MESSAGE_COUNTERS.values())}
+PLACE = {"ACTIVITY": {t: i for i, t in enumerate(ACTIVITY_COUNTERS)},
+         "MESSAGE": {t: i for i, t in enumerate(MESSAGE_COUNTERS)}}
+
+
+class BucketCounts:
+    """Counts per bucket start, with the totals before each bucket at hand.
+
+    A trailing sum is then one binary search, however many buckets the member has. Events usually
+    belong to the newest bucket, which leaves those totals as they are.
+    """
+
+    def __init__(self, cells: dict[int, list[int]], width: int):
+        self.cells, self.width = cells, width
+        self.starts = sorted(cells)
+        self._sum_up()
+
+    def _sum_up(self) -> None:
+        self.before, self.total = [], [0] * self.width
+        for start in self.starts:
+            self.before.append(self.total)
+            self.total = [a + b for a, b in zip(self.total, self.cells[start])]
+
+    def add(self, start: int, place: int | None) -> None:
+        """Open the bucket if it is new and count one event in it."""
+        if start not in self.cells:
+            self.cells[start] = [0] * self.width
+            if self.starts and start < self.starts[-1]:
+                bisect.insort(self.starts, start)
+                self._sum_up()
+            else:
+                self.starts.append(start)
+                self.before.append(list(self.total))
+        if place is not None:
+            self.cells[start][place] += 1
+            if start == self.starts[-1]:
+                self.total[place] += 1
+            else:
+                self._sum_up()
+
+    def since(self, oldest: int) -> list[int]:
+        """Counts of all buckets that start at ``oldest`` or later."""
+        position = bisect.bisect_left(self.starts, oldest)
+        if position == len(self.starts):
+            return [0] * self.width
+        return [a - b for a, b in zip(self.total, self.before[position])]
 
 
 class MemberFeatures(StatefulProcessor):
@@ -35,85 +84,67 @@ class MemberFeatures(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.buckets = {
-            "minute": handle.getMapState(
-                "activity", "start bigint",
-                ", ".join(f"{c} bigint" for c in ACTIVITY_COUNTERS.values())),
-            "hour": handle.getMapState(
-                "messages", "start bigint",
-                ", ".join(f"{c} bigint" for c in MESSAGE_COUNTERS.values())),
-        }
+            bucket: handle.getMapState(name, "start bigint", ", ".join(
+                f"{c} bigint" for c in COUNTERS[bucket]))
+            for bucket, name in (("minute", "activity"), ("hour", "messages"))}
         self.last_sent = handle.getMapState("last_sent", "channel string", "ts bigint")
         self.marks = handle.getValueState("marks", "last_activity bigint, next_timer bigint")
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        counts, sent, (last_activity, next_timer) = self._load()
+        counts, sent, last_activity, next_timer = self._load()
         touched: dict[str, set[int]] = {"minute": set(), "hour": set()}
         touched_channels = set()
         for row in sorted(rows, key=lambda r: r.seq):
             now = row.ts_ms
             if row.kind == "ACTIVITY":
-                self._count(counts, touched, "minute", now, ACTIVITY_COUNTERS.get(row.event_type))
-                last_activity = max(last_activity, now)
-            elif row.kind == "MESSAGE":
-                self._count(counts, touched, "hour", now, MESSAGE_COUNTERS.get(row.event_type))
+                bucket, last_activity = "minute", max(last_activity, now)
+            else:
+                bucket = "hour"
                 if row.event_type == "sent" and row.channel is not None:
                     sent[row.channel] = now
                     touched_channels.add(row.channel)
-            boundary = (now // TIMER_MS + 1) * TIMER_MS
+            start = _floor(now, BUCKET_MS[bucket])
+            counts[bucket].add(start, PLACE[row.kind].get(row.event_type))
+            touched[bucket].add(start)
+            boundary = _floor(now, TIMER_MS) + TIMER_MS
             if boundary > next_timer:
                 self.handle.registerTimer(boundary)
                 next_timer = boundary
             yield self._snapshot(key, row.kind, row.seq, now, counts, sent, last_activity)
         for bucket, starts in touched.items():
             for start in starts:
-                cell = counts[bucket][start]
-                self.buckets[bucket].updateValue((start,), tuple(cell.values()))
+                self.buckets[bucket].updateValue((start,), tuple(counts[bucket].cells[start]))
         for channel in touched_channels:
             self.last_sent.updateValue((channel,), (sent[channel],))
         self.marks.update((last_activity, next_timer))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         now = expiredTimerInfo.getExpiryTimeInMs()
-        counts, sent, (last_activity, _) = self._load()
-        for bucket, cells in counts.items():
+        for bucket, state in self.buckets.items():
             oldest = _floor(now - RETENTION_MS[bucket], BUCKET_MS[bucket])
-            for start in [s for s in cells if s < oldest]:
-                del cells[start]
-                self.buckets[bucket].removeKey((start,))
-        for channel in [c for c, ts in sent.items() if ts < now - LAST_SENT_RETENTION_MS]:
-            del sent[channel]
+            for start in [k[0] for k in state.keys() if k[0] < oldest]:
+                state.removeKey((start,))
+        for channel in [k[0] for k, v in self.last_sent.iterator() if v[0] < now - LAST_SENT_RETENTION_MS]:
             self.last_sent.removeKey((channel,))
+        counts, sent, last_activity, _ = self._load()
         yield self._snapshot(key, "TIMER", None, now, counts, sent, last_activity)
 
     def close(self) -> None:
         pass
 
     def _load(self):
-        names = {"minute": tuple(ACTIVITY_COUNTERS.values()), "hour": tuple(MESSAGE_COUNTERS.values())}
-        counts = {bucket: {k[0]: dict(zip(names[bucket], v)) for k, v in state.iterator()}
+        counts = {bucket: BucketCounts({k[0]: list(v) for k, v in state.iterator()}, len(COUNTERS[bucket]))
                   for bucket, state in self.buckets.items()}
         sent = {k[0]: v[0] for k, v in self.last_sent.iterator()}
-        marks = self.marks.get() if self.marks.exists() else (0, 0)
-        return counts, sent, marks
-
-    @staticmethod
-    def _count(counts, touched, bucket: str, now: int, counter: str | None) -> None:
-        names = (ACTIVITY_COUNTERS if bucket == "minute" else MESSAGE_COUNTERS).values()
-        start = _floor(now, BUCKET_MS[bucket])
-        cell = counts[bucket].setdefault(start, dict.fromkeys(names, 0))
-        if counter:
-            cell[counter] += 1
-        touched[bucket].add(start)
+        last_activity, next_timer = self.marks.get() if self.marks.exists() else (0, 0)
+        return counts, sent, last_activity, next_timer
 
     @staticmethod
     def _snapshot(key, kind, seq, now, counts, sent, last_activity) -> Row:
-        values = {}
-        for name, (counter, bucket, size, back) in TRAILING.items():
-            oldest = _floor(now - back * size, size)
-            values[name] = sum(c[counter] for s, c in counts[bucket].items() if s >= oldest)
-        return Row(kind=kind, seq=seq, member_id=key[0], snapshot_ts_ms=now,
-                   last_activity_ts_ms=last_activity, **values,
-                   last_sent_ts_by_channel=dict(sent))
+        trailing = [
+            counts[bucket].since(_floor(now - back * size, size))[COUNTERS[bucket].index(counter)]
+            for counter, bucket, size, back in TRAILING.values()]
+        return Snapshot(kind, seq, key[0], now, last_activity, *trailing, dict(sent))
 
 
 def _floor(ts_ms: int, size: int) -> int:
