@@ -79,6 +79,19 @@ def member_events(spark: SparkSession, folder: str) -> DataFrame:
     return unify(activity.where(named), messages.where(named))
 
 
+def member_messages(spark: SparkSession, folder: str, kind: str) -> DataFrame:
+    """Member events of one kind as JSON text, each followed by a copy that was cut short."""
+    rows = member_events(spark, folder).where(F.col("kind") == kind)
+    own = {"ACTIVITY": [F.lit("tv").alias("device")],
+           "MESSAGE": ["channel", F.concat(F.lit("msg-"), F.col("seq").cast("string")).alias("messageId")]}
+    text = F.to_json(F.struct(
+        F.col("member_id").alias("memberId"), F.col("event_type").alias("eventType"),
+        F.col("ts_ms").alias("eventTsMs"), *own[kind]))
+    copies = F.array(F.struct(F.col("seq").alias("offset"), text.alias("value")),
+                     F.struct((F.col("seq") + LATE_OFFSET).alias("offset"), F.left(text, F.lit(20)).alias("value")))
+    return rows.select(F.explode(copies).alias("m")).select("m.*")
+
+
 def order_mutations(spark: SparkSession, folder: str) -> DataFrame:
     """Creates, status patches and amount patches of orders, and patches of unknown orders."""
     orders = read_table(spark, folder, "orders")

@@ -212,6 +212,9 @@ MARKED = """marked AS (
     9223372036854775807 FROM me)"""
 
 ORACLES["unified_events"] = _with("SELECT * FROM me", MEMBERS)
+ORACLES["member_events_decoded"] = ORACLES["unified_events"]
+ORACLES["member_events_quarantined"] = """
+SELECT event_id + 1000000000000 AS seq, 'malformed_json' AS reason FROM events"""
 ORACLES["activity_buckets"] = _with("""
 SELECT member_id, ts_ms // 60000 * 60000 AS bucket_ms, event_type, count(*) AS count
 FROM me WHERE kind = 'ACTIVITY' GROUP BY 1, 2, 3""", MEMBERS)

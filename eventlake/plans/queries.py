@@ -13,7 +13,7 @@ from eventlake.operators import (
     capture, features, freshness, index, quality, rollups, serving, warehouse)
 from eventlake.plans import fixtures as fx
 from eventlake.session import apply_settings, scratch_dir, streaming_session
-from eventlake.sources import tables
+from eventlake.sources import members, tables
 from eventlake.sources.streams import file_stream
 from eventlake.sources.validate import (
     check_changes, parse_envelopes, quarantined, usable, validate_events)
@@ -233,6 +233,25 @@ def unified_events(spark, folder):
     return fx.member_events(spark, folder)
 
 
+def _decoded(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return (members.activity_events(fx.member_messages(spark, folder, "ACTIVITY")),
+            members.messaging_events(fx.member_messages(spark, folder, "MESSAGE")))
+
+
+@query
+def member_events_decoded(spark, folder):
+    activity, messages = _decoded(spark, folder)
+    twice = messages.unionByName(messages.withColumn("seq", F.col("seq") + 2 * fx.LATE_OFFSET))
+    return features.unify(usable(activity), members.without_redeliveries(usable(twice)))
+
+
+@query
+def member_events_quarantined(spark, folder):
+    activity, messages = _decoded(spark, folder)
+    return quarantined(activity).select("seq", "reason").unionByName(
+        quarantined(messages).select("seq", "reason"))
+
+
 @query
 def activity_buckets(spark, folder):
     return features.activity_buckets(fx.member_events(spark, folder))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import bisect
+import sys
 from collections.abc import Iterator
 from typing import Any
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -14,6 +16,9 @@ from eventlake.operators.features import (
     ACTIVITY_COUNTERS, FEATURE_COLUMNS, MESSAGE_COUNTERS, TIMER_MS, TRAILING, with_eligibility)
 from eventlake.sources.schemas import record
 
+# The processor travels to the executors whole, so they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 WATERMARK_DELAY = "30 seconds"
 RETENTION_MS = {"minute": DAY_MS, "hour": 7 * DAY_MS}
 BUCKET_MS = {"minute": MINUTE_MS, "hour": HOUR_MS}
@@ -26,6 +31,15 @@ OUTPUT = record(
 Snapshot = Row(*OUTPUT.names)
 
 COUNTERS = {"minute": list(ACTIVITY_COUNTERS.values()), "hour": list(MESSAGE_COUNTERS.values())}
+STATE = T.StructType([
+    T.StructField("last_activity", T.LongType()),
+    T.StructField("last_boundary", T.LongType()),
+    *[T.StructField(name, T.ArrayType(T.LongType()))
+      for bucket, names in COUNTERS.items() for name in (f"{bucket}_starts", *names)],
+    T.StructField("channels", T.ArrayType(T.StringType())),
+    T.StructField("sent_at", T.ArrayType(T.LongType())),
+    T.StructField("boundaries", T.ArrayType(T.LongType())),
+])
 PLACE = {"ACTIVITY": {t: i for i, t in enumerate(ACTIVITY_COUNTERS)},
          "MESSAGE": {t: i for i, t in enumerate(MESSAGE_COUNTERS)}}
 
@@ -73,78 +87,98 @@ class BucketCounts:
         return [a - b for a, b in zip(self.total, self.before[position])]
 
 
+class Member:
+    """What is remembered of one member, in the form it is worked with."""
+
+    def __init__(self, stored: tuple | None):
+        self.last_activity, self.last_boundary = stored[:2] if stored else (0, 0)
+        self.counts = {}
+        columns = list(stored[2:]) if stored else [[]] * (len(STATE.names) - 2)
+        for bucket, names in COUNTERS.items():
+            starts, *counts = columns[:1 + len(names)]
+            del columns[:1 + len(names)]
+            cells = {start: list(cell) for start, *cell in zip(starts, *counts)}
+            self.counts[bucket] = BucketCounts(cells, len(names))
+        channels, sent_at, boundaries = columns
+        self.sent, self.boundaries = dict(zip(channels, sent_at)), list(boundaries)
+
+    def stored(self) -> tuple:
+        columns = []
+        for counts in self.counts.values():
+            columns.append(list(counts.starts))
+            columns += [[counts.cells[s][i] for s in counts.starts] for i in range(counts.width)]
+        return (self.last_activity, self.last_boundary, *columns, list(self.sent),
+                list(self.sent.values()), self.boundaries)
+
+    def take(self, row: Row) -> None:
+        """Count one event and note the timer boundary that follows it."""
+        now = row.ts_ms
+        bucket = "minute" if row.kind == "ACTIVITY" else "hour"
+        if bucket == "minute":
+            self.last_activity = max(self.last_activity, now)
+        elif row.event_type == "sent" and row.channel is not None:
+            self.sent[row.channel] = now
+        self.counts[bucket].add(_floor(now, BUCKET_MS[bucket]), PLACE[row.kind].get(row.event_type))
+        boundary = _floor(now, TIMER_MS) + TIMER_MS
+        if boundary > self.last_boundary:
+            self.boundaries.append(boundary)
+            self.last_boundary = boundary
+
+    def forget(self, now: int) -> None:
+        """Drop what no snapshot from ``now`` on can see."""
+        for bucket, counts in self.counts.items():
+            oldest = _floor(now - RETENTION_MS[bucket], BUCKET_MS[bucket])
+            if counts.starts and counts.starts[0] < oldest:
+                kept = {start: cell for start, cell in counts.cells.items() if start >= oldest}
+                self.counts[bucket] = BucketCounts(kept, counts.width)
+        self.sent = {c: ts for c, ts in self.sent.items() if ts >= now - LAST_SENT_RETENTION_MS}
+
+    def snapshot(self, key: Any, kind: str, seq: int | None, now: int) -> Row:
+        trailing = [
+            self.counts[bucket].since(_floor(now - back * size, size))[COUNTERS[bucket].index(counter)]
+            for counter, bucket, size, back in TRAILING.values()]
+        return Snapshot(kind, seq, key[0], now, self.last_activity, *trailing, dict(self.sent))
+
+
 class MemberFeatures(StatefulProcessor):
-    """Bucket counts, last sends and the 5-minute timer of one member.
+    """Keeps a ``Member`` per key: one read, one write and one timer per key and micro-batch.
 
-    State is read once and written once per micro-batch. Rows are taken in arrival order (``seq``),
-    so the last send to arrive wins, while the last activity is the latest one. A micro-batch holds
-    as many rows of a member as the source's rate cap lets through.
+    Rows are taken in arrival order (``seq``), so the last send to arrive wins, while the last
+    activity is the latest one. A micro-batch holds as many rows of a member as the source's rate
+    cap lets through. Boundaries wait in the state; the timer stands at the first of them.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buckets = {
-            bucket: handle.getMapState(name, "start bigint", ", ".join(
-                f"{c} bigint" for c in COUNTERS[bucket]))
-            for bucket, name in (("minute", "activity"), ("hour", "messages"))}
-        self.last_sent = handle.getMapState("last_sent", "channel string", "ts bigint")
-        self.marks = handle.getValueState("marks", "last_activity bigint, next_timer bigint")
+        self.state = handle.getValueState("member", STATE)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        counts, sent, last_activity, next_timer = self._load()
-        touched: dict[str, set[int]] = {"minute": set(), "hour": set()}
-        touched_channels = set()
+        member = self._load()
+        waiting = bool(member.boundaries)
         for row in sorted(rows, key=lambda r: r.seq):
-            now = row.ts_ms
-            if row.kind == "ACTIVITY":
-                bucket, last_activity = "minute", max(last_activity, now)
-            else:
-                bucket = "hour"
-                if row.event_type == "sent" and row.channel is not None:
-                    sent[row.channel] = now
-                    touched_channels.add(row.channel)
-            start = _floor(now, BUCKET_MS[bucket])
-            counts[bucket].add(start, PLACE[row.kind].get(row.event_type))
-            touched[bucket].add(start)
-            boundary = _floor(now, TIMER_MS) + TIMER_MS
-            if boundary > next_timer:
-                self.handle.registerTimer(boundary)
-                next_timer = boundary
-            yield self._snapshot(key, row.kind, row.seq, now, counts, sent, last_activity)
-        for bucket, starts in touched.items():
-            for start in starts:
-                self.buckets[bucket].updateValue((start,), tuple(counts[bucket].cells[start]))
-        for channel in touched_channels:
-            self.last_sent.updateValue((channel,), (sent[channel],))
-        self.marks.update((last_activity, next_timer))
+            member.take(row)
+            yield member.snapshot(key, row.kind, row.seq, row.ts_ms)
+        if not waiting and member.boundaries:
+            self.handle.registerTimer(member.boundaries[0])
+        self.state.update(member.stored())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        for bucket, state in self.buckets.items():
-            oldest = _floor(now - RETENTION_MS[bucket], BUCKET_MS[bucket])
-            for start in [k[0] for k in state.keys() if k[0] < oldest]:
-                state.removeKey((start,))
-        for channel in [k[0] for k, v in self.last_sent.iterator() if v[0] < now - LAST_SENT_RETENTION_MS]:
-            self.last_sent.removeKey((channel,))
-        counts, sent, last_activity, _ = self._load()
-        yield self._snapshot(key, "TIMER", None, now, counts, sent, last_activity)
+        member = self._load()
+        watermark = timerValues.getCurrentWatermarkInMs()
+        due = [b for b in member.boundaries if b <= watermark]
+        member.boundaries = member.boundaries[len(due):]
+        for boundary in due:
+            member.forget(boundary)
+            yield member.snapshot(key, "TIMER", None, boundary)
+        if member.boundaries:
+            self.handle.registerTimer(member.boundaries[0])
+        self.state.update(member.stored())
 
     def close(self) -> None:
         pass
 
-    def _load(self):
-        counts = {bucket: BucketCounts({k[0]: list(v) for k, v in state.iterator()}, len(COUNTERS[bucket]))
-                  for bucket, state in self.buckets.items()}
-        sent = {k[0]: v[0] for k, v in self.last_sent.iterator()}
-        last_activity, next_timer = self.marks.get() if self.marks.exists() else (0, 0)
-        return counts, sent, last_activity, next_timer
-
-    @staticmethod
-    def _snapshot(key, kind, seq, now, counts, sent, last_activity) -> Row:
-        trailing = [
-            counts[bucket].since(_floor(now - back * size, size))[COUNTERS[bucket].index(counter)]
-            for counter, bucket, size, back in TRAILING.values()]
-        return Snapshot(kind, seq, key[0], now, last_activity, *trailing, dict(sent))
+    def _load(self) -> Member:
+        return Member(self.state.get() if self.state.exists() else None)
 
 
 def _floor(ts_ms: int, size: int) -> int:

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+from eventlake.sources.members import activity_events, messaging_events, without_redeliveries
 from eventlake.sources.validate import (
     check_changes, decodable, parse_envelopes, quarantined, usable, validate_events)
 
@@ -69,3 +70,24 @@ def test_change_operations(spark):
     df = spark.createDataFrame([("d", "r", "upsert", 1), ("d", "r", "merge", 1), ("d", None, "delete", 1)],
                                "dataset string, record_id string, op string, version long")
     assert [r.reason for r in check_changes(df).collect()] == [None, "unknown_op", "missing_key"]
+
+
+def test_member_events_need_a_member_and_a_time(spark):
+    cases = {
+        '{"memberId":"m","eventType":"play","eventTsMs":5,"new":{"a":1}}': None,
+        '{"memberId":"m","eventTsMs":5}': None,
+        '{"eventType":"play","eventTsMs":5}': "missing_member",
+        '{"memberId":"m","eventType":"play"}': "missing_time",
+        '{"memberId":"m"': "malformed_json",
+        None: "malformed_json",
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "`offset` long, value string")
+    assert [r.reason for r in activity_events(df).orderBy("seq").collect()] == list(cases.values())
+
+
+def test_redelivered_messages_count_once(spark):
+    texts = ['{"memberId":"m","eventType":"sent","eventTsMs":5,"messageId":"a","channel":"push"}'] * 2
+    texts += ['{"memberId":"m","eventType":"open","eventTsMs":6,"messageId":"a"}']
+    texts += ['{"memberId":"m","eventType":"open","eventTsMs":7}'] * 2
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "`offset` long, value string")
+    assert sorted(r.seq for r in without_redeliveries(usable(messaging_events(df))).collect()) == [0, 2, 3, 4]
