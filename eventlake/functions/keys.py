@@ -27,18 +27,18 @@ def clean_dims(dims: Column) -> Column:
 
 
 def ascii_json(text: Column) -> Column:
-    """Escape every non-ASCII character of JSON text as UTF-16 ``\\uXXXX`` units."""
+    """Escape every character of JSON text beyond ``~`` as UTF-16 ``\\uXXXX`` units."""
     escaped = F.array_join(
         F.transform(
             F.split(text, ""),
             lambda ch: F.when(
-                ch.rlike(r"[^\x00-\x7F]"),
+                ch.rlike(r"[^\x00-\x7E]"),
                 F.regexp_replace(F.lower(F.hex(F.encode(ch, "UTF-16BE"))), "(.{4})", r"\\u$1"),
             ).otherwise(ch),
         ),
         "",
     )
-    return F.when(text.rlike(r"[^\x00-\x7F]"), escaped).otherwise(text)
+    return F.when(text.rlike(r"[^\x00-\x7E]"), escaped).otherwise(text)
 
 
 def json_scalar(value: Column) -> Column:

@@ -158,7 +158,7 @@ def feature_changelog(events: DataFrame, channels: Sequence[str] = CHANNELS,
     snapshots = split_heavy(
         prepared, ["member_id"],
         lambda part: _whole_member(part, latest),
-        lambda part: _member_in_chunks(part, latest, heavy_rows), heavy_rows)
+        lambda part: _member_in_chunks(part, latest, heavy_rows), heavy_rows, counted=events)
     sent = [part for i, c in enumerate(channels) for part in (F.lit(c), F.col(_sent_column(i)))]
     shaped = snapshots.withColumns({
         "snapshot_ts_ms": F.col("ts_ms"),

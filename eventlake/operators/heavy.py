@@ -26,14 +26,15 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], heavy_rows: int = HEAVY_ROWS)
 
 
 def split_heavy(df: DataFrame, keys: Sequence[str], light: Callable[[DataFrame], DataFrame],
-                heavy: Callable[[DataFrame], DataFrame],
-                heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                heavy: Callable[[DataFrame], DataFrame], heavy_rows: int = HEAVY_ROWS,
+                counted: DataFrame | None = None) -> DataFrame:
     """``light`` over the rows of ordinary keys, ``heavy`` over the rest, put together.
 
     Looks for heavy keys right away, with one job that reads only the key columns. Usually there is
-    none, and the plan is the plain one with a single shuffle.
+    none, and the plan is the plain one with a single shuffle. ``counted`` are the rows to count when
+    ``df`` is costlier to read than they are.
     """
-    listed = heavy_keys(df, keys, heavy_rows)
+    listed = heavy_keys(df if counted is None else counted, keys, heavy_rows)
     if listed.isEmpty():
         return light(df)
     listed = F.broadcast(listed)

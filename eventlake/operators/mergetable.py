@@ -59,6 +59,11 @@ class MergeTable:
         target = f"{self.path}/gen={self._generation() + 1}/{BASE}"
         rows.select(*self.schema.names).write.mode("overwrite").parquet(target)
 
+    def drop_old_generations(self) -> None:
+        """Free the space of generations no reader can still be on."""
+        for generation in range(self._generation()):
+            self._files().delete(self._file(f"{self.path}/gen={generation}"), True)
+
     def _generation_path(self) -> str:
         return f"{self.path}/gen={self._generation()}"
 

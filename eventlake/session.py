@@ -9,7 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings every operator relies on: event times are UTC, AQE re-plans joins and splits
-# skewed partitions, and stream state lives off-heap.
+# skewed partitions, and stream state lives off-heap and is saved as changes, not as whole snapshots.
 SQL_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +17,7 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"

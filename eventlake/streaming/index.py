@@ -14,10 +14,10 @@ from eventlake.streaming.sinks import each_batch
 
 
 def follow_log(log: DataFrame, store: IndexStore, run: str, checkpoint: str,
-               every: str | None = None,
-               clock: Callable[[], float] = time.time) -> StreamingQuery:
+               every: str | None = None, clock: Callable[[], float] = time.time,
+               compact_every: int | None = None) -> StreamingQuery:
     """Apply every change of a log; rows with an unknown operation are left out."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         store.apply_batch(usable(check_changes(batch)), int(clock()), run, batch_id)
 
-    return each_batch(log, apply, checkpoint, "append", every)
+    return each_batch(log, apply, checkpoint, "append", every, store.compact, compact_every)

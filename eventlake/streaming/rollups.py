@@ -78,11 +78,11 @@ class RollupStore:
                                 ["window", "metric", *self.dims, "user_id"], ["count"])
 
     def follow(self, events: DataFrame, run: str, checkpoint: str, every: str | None = None,
-               **options) -> StreamingQuery:
+               compact_every: int | None = None, **options) -> StreamingQuery:
         """Keep the store up to date with a stream; ``options`` are those of ``user_cells``."""
         cells = user_cells(events, dims=self.dims, sum_type=self.sum_type, **options)
         return each_batch(cells, lambda batch, batch_id: self.cells.write(batch, run, batch_id),
-                          checkpoint, "update", every)
+                          checkpoint, "update", every, self.cells.compact, compact_every)
 
     def read(self) -> DataFrame:
         totals = _per_group(self.cells.read(), "window", self.dims, self.sum_type)

@@ -36,9 +36,19 @@ def writer(stream: DataFrame, checkpoint: str, output_mode: str,
 
 
 def each_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
-               output_mode: str = "append", every: str | None = None) -> StreamingQuery:
-    """Run ``handle(batch, batch_id)`` on every micro-batch; it must tolerate a repeated batch."""
-    return writer(stream, checkpoint, output_mode, every).foreachBatch(handle).start()
+               output_mode: str = "append", every: str | None = None,
+               compact: Callable[[], None] | None = None,
+               compact_every: int | None = None) -> StreamingQuery:
+    """Run ``handle(batch, batch_id)`` on every micro-batch; it must tolerate a repeated batch.
+
+    Before every ``compact_every``-th batch the target is compacted, when no write is under way.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        if compact and compact_every and batch_id and batch_id % compact_every == 0:
+            compact()
+        handle(batch, batch_id)
+
+    return writer(stream, checkpoint, output_mode, every).foreachBatch(run).start()
 
 
 def to_files(stream: DataFrame, path: str, checkpoint: str,

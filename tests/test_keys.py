@@ -10,7 +10,7 @@ from eventlake.functions.keys import (
 TEXT = st.text(st.characters(min_codepoint=32, exclude_categories=("Cs",)), max_size=12)
 
 
-@settings(max_examples=8, deadline=None)
+@settings(max_examples=5, deadline=None)
 @given(rows=st.lists(st.tuples(TEXT, st.one_of(st.none(), TEXT), st.integers(-2**62, 2**62)),
                      min_size=1, max_size=30))
 def test_keys_equal_plain_json_hashing(spark, rows):

@@ -39,6 +39,7 @@ def test_merge_table_retry_and_compaction(spark, tmp_path):
     table.compact()
     assert table.batches().count() == 2
     assert {tuple(r) for r in table.read().collect()} == expected
+    table.drop_old_generations()
     table.write(rows(("b", 7, 9, 9)), "r", 2)
     assert {tuple(r) for r in table.read().collect()} == {("a", 2, 5, 1), ("b", 7, 9, 1)}
 
