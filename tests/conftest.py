@@ -5,15 +5,13 @@ import pytest
 
 sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).parent.parent)]
 
-from eventlake.session import CHECKPOINT_SETTING, build_session  # noqa: E402
+from eventlake.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session("eventlake-tests", "local[8]", spark__sql__shuffle__partitions="8",
                             spark__driver__memory="8g")
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get(CHECKPOINT_SETTING, None):
-        session.conf.set(CHECKPOINT_SETTING, str(tmp_path_factory.mktemp("scratch")))
     yield session
     session.stop()
