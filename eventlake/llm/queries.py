@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventlake.llm import neighbours, packing, simhash
+from eventlake.llm import chat, neighbours, packing, secret_scan, simhash, winnowing
 from eventlake.sources.tables import read_table
 
 
@@ -37,9 +37,38 @@ def packed_pieces(spark: SparkSession, folder: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def winnowed_overlaps(spark: SparkSession, folder: str) -> DataFrame:
+    found = winnowing.overlaps(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+    ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(ids, 256).alias("items_sha256"), "contaminated")
+
+
+def secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(read_table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("secret_spans")
+    kinds = F.transform(spans, lambda p: p["kind"])
+    of_kind = [(F.size(spans) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{secret_scan.KINDS[k]}")
+               for k in range(3)]
+    base = secret_scan.written(F.filter(spans, lambda p: p["kind"] < 3))
+    return found.select("doc_id", *of_kind, F.sha2(base, 256).alias("base_sha256"), secret_scan.written(spans).alias("spans"))
+
+
+def chat_windows(spark: SparkSession, folder: str) -> DataFrame:
+    given = read_table(spark, folder, "conversations").select(
+        F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat.digests(chat.windows(given.union(probe)))
+
+
 QUERIES = {
     "op1_quality_neighbours": quality_neighbours,
+    "op2_winnowed_overlaps": winnowed_overlaps,
+    "op4_secret_spans": secret_spans,
     "op5_simhash_classes": simhash_classes,
+    "op6_chat_windows": chat_windows,
     "op7_packed_pieces": packed_pieces,
 }
 
