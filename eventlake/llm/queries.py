@@ -6,7 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from eventlake.llm import chat, neighbours, packing, secret_scan, simhash, winnowing
+from eventlake.llm import (
+    chat, licences, line_blocks, neighbours, packing, quality_rules, secret_scan, sharding, simhash, winnowing)
 from eventlake.sources.tables import read_table
 
 
@@ -63,13 +64,42 @@ def chat_windows(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.windows(given.union(probe)))
 
 
+SHARDS = 8
+
+
+def shuffled_shards(spark: SparkSession, folder: str) -> DataFrame:
+    done = sharding.shuffle(read_table(spark, folder, "documents"), SHARDS)
+    return done.select(
+        "doc_id", sharding.record_size(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
+def risk_controlled_rules(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality_rules.judge(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+    return judged.drop("failed_rules")
+
+
+def page_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return line_blocks.extract(read_table(spark, folder, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def licence_labels(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan_licences(read_table(spark, folder, "documents").select("doc_id", "text"))
+    return found.drop("text")
+
+
 QUERIES = {
     "op1_quality_neighbours": quality_neighbours,
     "op2_winnowed_overlaps": winnowed_overlaps,
+    "op3_shuffled_shards": shuffled_shards,
     "op4_secret_spans": secret_spans,
     "op5_simhash_classes": simhash_classes,
     "op6_chat_windows": chat_windows,
     "op7_packed_pieces": packed_pieces,
+    "op8_risk_controlled_rules": risk_controlled_rules,
+    "op9_page_texts": page_texts,
+    "op10_licence_labels": licence_labels,
 }
 
 ORACLES: dict[str, str] = {}
