@@ -19,7 +19,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventlake.llm.common import beside, bound_batches, fresh, on_texts, stored, text_key
+from eventlake.llm.common import bound_batches, fresh, on_texts, stored, text_key
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 3, 42
 FANOUT = 16
@@ -300,8 +300,8 @@ def one_of_each(docs: DataFrame, **how) -> DataFrame:
     found = near_duplicates(docs, **how)
     best = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("print")).alias("at")).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("best"))
-    chosen = best.select(F.col("best.doc_id").alias("id_"), F.col("best.text_key").alias("key_"))
-    key = fresh(docs, "text_key")
+    key, id_, key_ = fresh(docs, "text_key"), fresh(docs, "kept_id"), fresh(docs, "kept_key")
+    chosen = best.select(F.col("best.doc_id").alias(id_), F.col("best.text_key").alias(key_))
     once = docs.withColumn(key, text_key(F.col("text"))).dropDuplicates(["doc_id", key])
-    same = F.col("doc_id").eqNullSafe(F.col("id_")) & F.col(key).eqNullSafe(F.col("key_"))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(key_))
     return once.join(chosen, same, "left_semi").drop(key)

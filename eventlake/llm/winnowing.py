@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from eventlake.llm.common import alnum_words, bind, fresh, stored, text_key
-from eventlake.operators.joins import checked_broadcast
+from eventlake.operators.joins import BROADCAST_ROWS
 
 SPAN, GRAM = 13, 5
 SHARE = 20                 # contaminated from one word in so many
@@ -75,26 +75,33 @@ def _item_side(benchmark: DataFrame) -> tuple[DataFrame, list[tuple[int, int]]]:
         F.collect_set("item_id").alias("items"))), classes
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def overlaps(docs: DataFrame, benchmark: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, text_key, n_words, n_hit, items, contaminated), one row per document.
 
     ``n_hit`` counts the document's words inside any occurrence of an item window, ``items`` lists
     the items that have one. A document is contaminated if at least one word in ``SHARE`` is hit.
     Null, empty and wordless texts have no words and no hits; so has every text when the benchmark
     is empty. Repeated rows stay repeated, items without an id count hits but are not listed, and
-    other columns are not read.
+    other columns are not read. A benchmark with more fingerprints than ``broadcast_rows`` is joined
+    by a shuffle, for which every fingerprint brings the words around it.
     """
     items, classes = _item_side(benchmark)
     texts = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), alnum_words(F.col("text")).alias("words"))
     whole = F.struct(F.lit(0).alias("span"), F.xxhash64("doc_id", "text_key").alias("packed"))
     rows = texts.select("doc_id", "text_key", "words", F.explode(F.concat(
         F.array(whole), _fingerprints(F.col("words"), classes))).alias("f")).select("doc_id", "text_key", "words", "f.*")
-    same = (F.col("span") == F.col("item_span")) & (F.col("hash") == F.col("item_hash"))
-    met = _spread(rows).join(checked_broadcast(items), same, "left").where((F.col("span") == 0) | F.col("items").isNotNull())
+    rows = _spread(rows).withColumn("n", F.size("words"))
     before, after = _around(F.col("words"), F.col("span"), _gram_of(F.col("span")), F.col("at"))
-    hit = F.col("items").isNotNull()
-    met = met.select("doc_id", "text_key", "span", "at", "items", F.size("words").alias("n"), "item_before", "item_after",
-                     F.when(hit, before).alias("before"), F.when(hit, after).alias("after"))
+    around = [F.when(F.col("span") > 0, before).alias("before"), F.when(F.col("span") > 0, after).alias("after")]
+    same = (F.col("span") == F.col("item_span")) & (F.col("hash") == F.col("item_hash"))
+    plain = ["doc_id", "text_key", "span", "hash", "at", "n"]
+    met = (F.col("span") == 0) | F.col("items").isNotNull()
+    if items.limit(broadcast_rows + 1).count() <= broadcast_rows:
+        # only hits take the words around them along
+        met = rows.join(F.broadcast(items), same, "left").where(met).select(
+            *plain, "items", "item_before", "item_after", *around)
+    else:
+        met = rows.select(*plain, *around).join(items, same, "left").where(met)
     runs = met.select("doc_id", "text_key", "span", "at", "items", "n",
                       F.when(hit, _run(F.col("before"), F.col("item_before"))).alias("left"),
                       F.when(hit, _run(F.col("after"), F.col("item_after"))).alias("right"))
@@ -117,8 +124,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without its contaminated documents, all columns as they are."""
+    key, id_, key_ = fresh(docs, "text_key"), fresh(docs, "found_id"), fresh(docs, "found_key")
     found = overlaps(docs, benchmark).where("contaminated").select(
-        F.col("doc_id").alias("id_"), F.col("text_key").alias("key_")).distinct()
-    key = fresh(docs, "text_key")
-    same = F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col(key) == F.col("key_"))
+        F.col("doc_id").alias(id_), F.col("text_key").alias(key_)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(key_))
     return docs.withColumn(key, text_key(F.col("text"))).join(found, same, "left_anti").drop(key)

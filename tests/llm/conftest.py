@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import types as T
 
 SF = "/root/testdata/sf0.001"
-EXTRA = ["Score", "text_key", "words", "found", "place", "span", "shard", "slot", "n_words", "print", "scan", "key", "id_",
+EXTRA = ["Score", "kept_id", "found_id", "text_key", "words", "found", "place", "span", "shard", "slot", "n_words", "print", "scan", "key", "id_",
          "hash_", "row", "items", "secret_spans", "kept", "copy", "labels"]
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                        T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),

@@ -49,10 +49,9 @@ def test_odd_texts_and_short_items(spark, odd_docs):
     same_bag(digest(winnowing.overlaps(odd_docs, items)), brute(odd_texts(), ITEMS))
 
 
-def test_shuffle_join_gives_the_same(spark, odd_docs, monkeypatch):
-    monkeypatch.setattr(winnowing, "checked_broadcast", lambda df: df)
+def test_shuffle_join_gives_the_same(spark, odd_docs):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
-    same_bag(digest(winnowing.overlaps(odd_docs, items)), brute(odd_texts(), ITEMS))
+    same_bag(digest(winnowing.overlaps(odd_docs, items, broadcast_rows=0)), brute(odd_texts(), ITEMS))
 
 
 def test_empty_tables(spark, odd_docs, no_docs):
