@@ -1,15 +1,17 @@
 """Quality rules whose cutoffs carry a guarantee against rejecting good documents.
 
 Every rule is a statistic of the text that is large for junk. In each stratum (language) the labelled
-rows are the holdout: a cutoff qualifies if an exact binomial test shows, at a level divided by the
-number of all (stratum, rule, cutoff) tests, that it rejects fewer good documents than the rule's
-share of the allowed risk. Of those the one worth most is used (the middle one of equals), and all bounds hold together.
+rows are the holdout: a cutoff qualifies if an exact binomial test shows that it rejects fewer good
+documents than the rule's share of the allowed risk. The level is divided by the number of (stratum,
+rule) pairs; within a pair cutoffs are tested from the laxest on and the first failure ends the
+sequence, so they need no further division. All bounds hold together. Of the qualified cutoffs the
+one worth most is used, the middle one of equals.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import islice
+from itertools import islice, takewhile
 
 import numpy as np
 import pandas as pd
@@ -21,13 +23,13 @@ from eventlake.operators.joins import checked_broadcast
 SPACES = b" \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
-RISK = 0.02               # of good documents in a stratum may be rejected, over all rules together
+RISK = 0.05               # of good documents in a stratum may be rejected, over all rules together
 CONFIDENCE = 0.95
 LOSS = 30                 # a good document lost weighs as much as so many poor ones caught
 LEAST_WORDS, MOST_REPEATED = 10, 20   # base rule: fewer words, or more per cent in repeated windows
 STEPS = 64                # cutoffs a rule chooses from
 # Rules: a share between 0 and 1; cutoffs are k / STEPS.
-RULES = ["repeated", "symbols", "capitals", "dup_lines", "echoes", "marks"]
+RULES = ["symbols", "capitals", "dup_lines", "echoes", "marks"]
 STATISTICS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
               + ", ".join(f"{r}_step int" for r in RULES))
 
@@ -65,7 +67,7 @@ def statistics(text: str | None) -> tuple:
     repeated = repeated_words(words)
     echoes = sum(a == b for a, b in zip(words, islice(words, 1, None)))
     letters = len(data.translate(None, NOT_LETTERS))
-    shares = (repeated / max(n, 1), symbols / max(chars, 1), len(data.translate(None, NOT_CAPITALS)) / max(letters, 1),
+    shares = (symbols / max(chars, 1), len(data.translate(None, NOT_CAPITALS)) / max(letters, 1),
               dup_lines / max(len(lines), 1), echoes / max(n, 1), min(1.0, text.count("!") / max(n, 1)))
     return (n, chars, symbols, dup_lines, repeated, *(min(STEPS, math.ceil(s * STEPS)) for s in shares))
 
@@ -96,10 +98,10 @@ def _choose(level: float):
             # a cutoff c rejects steps above c
             lost, gained = good.sum() - np.cumsum(good), bad.sum() - np.cumsum(bad)
             n, worth = int(good.sum()), gained - LOSS * lost
-            sure = [cut for cut in range(STEPS) if n and worth[cut] > 0 and chance_of_at_most(
-                int(lost[cut]), n, RISK / len(RULES)) <= level]
-            if sure:
-                best = max(worth[cut] for cut in sure)
+            sure = list(takewhile(lambda cut: n and chance_of_at_most(int(lost[cut]), n, RISK / len(RULES)) <= level,
+                                  range(STEPS - 1, -1, -1)))
+            best = max((worth[cut] for cut in sure), default=0)
+            if best > 0:
                 equal = [cut for cut in sure if worth[cut] == best]
                 chosen[rule] = equal[len(equal) // 2]
         out = {"stratum": [counts["stratum"].iloc[0]]} | {f"{r}_cut": pd.array([chosen.get(r)], dtype="Int64") for r in RULES}
@@ -121,7 +123,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str) -> DataFrame:
     counts = stored(counts.groupBy("stratum", "s.rule", "s.step").agg(
         F.sum(F.col("quality").cast("long")).alias("good"), F.sum((1 - F.col("quality")).cast("long")).alias("bad")))
     strata = counts.select("stratum").distinct().count()
-    level = (1 - CONFIDENCE) / max(1, strata * len(RULES) * STEPS)
+    level = (1 - CONFIDENCE) / max(1, strata * len(RULES))
     schema = "stratum string, " + ", ".join(f"{r}_cut int" for r in RULES)
     return counts.groupBy("stratum").applyInPandas(_choose(level), schema)
 

@@ -1,0 +1,71 @@
+import re
+from collections import Counter
+
+import pyarrow.parquet as pq
+import pytest
+from conftest import SF, odd_texts, same_bag
+
+from eventlake.llm import quality_rules
+from eventlake.llm.queries import QUERIES
+
+LARGER = "/root/testdata/sf0.1"
+
+
+def base(text):
+    text = text or ""
+    words = re.findall("[^\x20\x09-\x0d]+", text)
+    windows = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+    often = Counter(windows)
+    repeated = {i + k for i, w in enumerate(windows) if often[w] > 1 for k in range(5)}
+    lines = [x for x in text.split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+    n = len(words)
+    return (n, sum(map(len, words)), len(re.findall("[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(repeated),
+            n < 10 or 100 * len(repeated) > 20 * n)
+
+
+def test_query_against_brute_force(spark, given_docs):
+    rows = QUERIES["op8_risk_controlled_rules"](spark, SF).collect()
+    same_bag([tuple(r)[:7] for r in rows], [(d["doc_id"], *base(d["text"])) for d in given_docs])
+    assert not any(r["kept"] and r["base_failed"] for r in rows)
+
+
+def test_odd_texts(spark, odd_docs, no_docs):
+    labels = spark.createDataFrame([(4, 1), (40, 0), (41, 1), (41, 0), (None, 1)], "doc_id long, quality int")
+    rows = quality_rules.judge(odd_docs, labels).collect()
+    same_bag([tuple(r)[:7] for r in rows], [(i, *base(t)) for i, t in odd_texts()])
+    empty = spark.createDataFrame([], "doc_id long, quality int")
+    assert all(not r["failed_rules"] for r in quality_rules.judge(odd_docs, empty).collect())
+    assert quality_rules.judge(no_docs, labels).count() == 0
+
+
+def test_rules_catch_junk_and_spare_good_documents(spark):
+    kept = {r["doc_id"]: r for r in QUERIES["op8_risk_controlled_rules"](spark, LARGER).collect()}
+    labels = pq.read_table(f"{LARGER}/labels.parquet").to_pylist()
+    good = [kept[r["doc_id"]] for r in labels if r["quality"] == 1]
+    poor = [kept[r["doc_id"]] for r in labels if r["quality"] == 0]
+    method_lost = sum(not r["kept"] and not r["base_failed"] for r in good)
+    assert method_lost <= quality_rules.RISK * len(good)
+    assert sum(not r["kept"] for r in poor) >= 0.7 * len(poor)
+
+
+@pytest.mark.parametrize("n,p", [(1, 0.3), (40, 0.02), (3000, 0.003), (20_000, 0.5)])
+def test_binomial_tail(n, p):
+    terms, term = [], (1 - p) ** n
+    if term:
+        for k in range(min(n, 60)):
+            terms.append(term)
+            term *= (n - k) / (k + 1) * p / (1 - p)
+        for k in range(0, min(n, 60), 7):
+            assert quality_rules.chance_of_at_most(k, n, p) == pytest.approx(min(1, sum(terms[:k + 1])), rel=1e-6)
+    assert quality_rules.chance_of_at_most(n, n, p) == 1
+    assert 0 <= quality_rules.chance_of_at_most(n // 2, n, p) <= 1
+
+
+def test_a_cutoff_needs_proof():
+    """200 good rows cannot show a false rejection under 5 % / 5 at the corrected level; 20,000 can."""
+    import pandas as pd
+
+    choose = quality_rules._choose(0.05 / 1000)
+    of = lambda good: pd.DataFrame({"stratum": "en", "rule": "symbols", "step": [0, 40], "good": [good, 0], "bad": [0, 50]})
+    assert choose(of(200))["symbols_cut"].isna().all()
+    assert 0 <= choose(of(20_000))["symbols_cut"].iloc[0] < 40
