@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlake.llm import (
     chat, licences, line_blocks, neighbours, packing, quality_rules, secret_scan, sharding, simhash, winnowing)
+from eventlake.llm.oracles import ORACLES
 from eventlake.sources.tables import read_table
 
+__all__ = ["ORACLES", "QUERIES"]
+
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """A public vocabulary file: in the folder TOKENIZER_DIR names, or where the package has it."""
@@ -101,5 +104,3 @@ QUERIES = {
     "op9_page_texts": page_texts,
     "op10_licence_labels": licence_labels,
 }
-
-ORACLES: dict[str, str] = {}
