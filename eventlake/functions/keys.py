@@ -26,8 +26,21 @@ def clean_dims(dims: Column) -> Column:
     return F.map_filter(cleaned, lambda _, value: value.isNotNull())
 
 
+# Control characters that ``to_json`` writes with capital hex digits.
+CAPITAL_ESCAPES = ("0B", "0E", "0F", "1A", "1B", "1C", "1D", "1E", "1F")
+
+
+def _small_hex(text: Column) -> Column:
+    """Escapes of control characters in small letters; a doubled backslash starts no escape."""
+    changed = text
+    for digits in CAPITAL_ESCAPES:
+        changed = F.regexp_replace(changed, r"(?<!\\)((?:\\\\)*\\u00)" + digits, "$1" + digits.lower())
+    return F.when(text.contains("\\u00"), changed).otherwise(text)
+
+
 def ascii_json(text: Column) -> Column:
-    """Escape every character of JSON text beyond ``~`` as UTF-16 ``\\uXXXX`` units."""
+    """Escape every character of JSON text beyond ``~`` as UTF-16 ``\\uXXXX`` units, in small letters."""
+    text = _small_hex(text)
     escaped = F.array_join(
         F.transform(
             F.split(text, ""),

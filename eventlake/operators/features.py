@@ -16,7 +16,7 @@ from eventlake.functions.times import (
 from eventlake.operators.heavy import HEAVY_ROWS, chunk_of, before_chunk, heavy_keys, split_heavy
 
 TIMER_MS = 5 * MINUTE_MS
-CHANNELS = ("push", "email", "interstitial")
+MOST_CHANNELS = 100  # entries of the last-sent map; more are a fault in the data
 
 # Event names that are counted, the feature they feed, and the rule per channel.
 ACTIVITY_COUNTERS = {"play": "plays", "browse": "browses", "search": "searches"}
@@ -135,19 +135,31 @@ def timer_marks(events: DataFrame) -> DataFrame:
                            F.lit(2 ** 63 - 1).alias("seq"))
 
 
-def feature_changelog(events: DataFrame, channels: Sequence[str] = CHANNELS,
+def sent_channels(events: DataFrame) -> list[str]:
+    """The channels messages were sent on; refuses more than ``MOST_CHANNELS``."""
+    found = events.where(_is_sent()).select("channel").distinct().limit(MOST_CHANNELS + 1).collect()
+    if len(found) > MOST_CHANNELS:
+        raise ValueError(f"more than {MOST_CHANNELS} channels")
+    return sorted(r["channel"] for r in found)
+
+
+def feature_changelog(events: DataFrame, channels: Sequence[str] | None = None,
                       timers: bool = False, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """A snapshot per event, with ``timers`` also per 5-minute boundary after an event.
 
-    ``channels`` are the channels that get an entry in the last-sent map. ``kind`` and ``seq`` tell
-    what caused a row; timer rows sort after the events of their own millisecond.
+    ``channels`` are the channels that get an entry in the last-sent map; without them they are
+    taken from the events. A send on a channel that is not listed stops the job. ``kind`` and ``seq``
+    tell what caused a row; timer rows sort after the events of their own millisecond.
     """
+    channels = sent_channels(events) if channels is None else list(channels)
     rows = events.select("kind", "member_id", "event_type", "channel", "ts_ms", "seq")
     if timers:
         rows = rows.unionByName(timer_marks(events))
     flags = _flags()
+    unlisted = F.coalesce(_is_sent(), F.lit(False)) & ~F.col("channel").isin(*channels)
+    kind = F.when(unlisted, F.raise_error(F.concat(F.lit("unlisted channel "), F.col("channel")))).otherwise(F.col("kind"))
     prepared = rows.select(
-        "kind", "member_id", "ts_ms", "seq",
+        kind.alias("kind"), "member_id", "ts_ms", "seq",
         bucket_number(F.col("ts_ms"), MINUTE_MS).alias("minute"),
         bucket_number(F.col("ts_ms"), HOUR_MS).alias("hour"),
         *[F.coalesce(flags[c], F.lit(False)).cast("int").alias(c) for c in COUNTERS],
@@ -164,7 +176,7 @@ def feature_changelog(events: DataFrame, channels: Sequence[str] = CHANNELS,
         "snapshot_ts_ms": F.col("ts_ms"),
         "last_activity_ts_ms": F.coalesce("activity_ms", F.lit(0)),
         "last_sent_ts_by_channel": F.map_filter(
-            F.create_map(*sent), lambda _, ts: ts.isNotNull()),
+            F.create_map(*sent).cast("map<string,bigint>"), lambda _, ts: ts.isNotNull()),
     })
     return with_eligibility(shaped).select("kind", "seq", *FEATURE_COLUMNS)
 

@@ -13,6 +13,7 @@ from eventlake.operators.heavy import HEAVY_ROWS, running_max
 DEFAULT_DIMS = ("customer_id", "endpoint", "status", "event_type")
 DEFAULT_WINDOW_SECONDS = 60
 LATENESS_WINDOWS = 5
+SKETCH_ERROR = 0.05  # of a user sketch at its default precision, about three standard errors
 ROLLUP_KEY = ("window_start", "window_end", "metric", "dims_hash")
 
 
@@ -125,25 +126,43 @@ def sliding_uniques(events: DataFrame, window_seconds: int = 300,
     """Distinct users in every sliding window ``[start, start + window)`` that has any.
 
     Users are reduced to one row per slide first; only those rows are copied to the windows they
-    belong to.
+    belong to. Where the slide does not divide the window, the first part of a slide belongs to one
+    window more, so it is kept apart.
     """
-    steps = window_seconds // slide_seconds
+    steps, rest = divmod(window_seconds, slide_seconds)
+    slide = window_start(F.col("ts"), slide_seconds)
+    early = F.unix_seconds("ts") - F.unix_seconds(slide) < rest
     seen = events.where(person(F.col("user_id")).isNotNull()).select(
-        window_start(F.col("ts"), slide_seconds).alias("slide"), "user_id").distinct()
+        slide.alias("slide"), early.alias("early"), "user_id").distinct()
+    last = F.when(F.col("early"), steps).otherwise(steps - 1)
+    seen = seen.where(last >= 0)
     ends = F.explode(F.transform(
-        F.sequence(F.lit(0), F.lit(steps - 1)),
+        F.sequence(F.lit(0), last),
         lambda i: F.timestamp_seconds(F.unix_seconds("slide") - i * F.lit(slide_seconds))))
     return seen.select(ends.alias("window_start"), "user_id").groupBy("window_start").agg(
         F.countDistinct("user_id").alias("uniques")) \
         .withColumn("window_end", window_end(F.col("window_start"), window_seconds))
 
 
-def spikes(series: DataFrame, keys: Sequence[str], value: str, trailing: int = 24,
+def without_gaps(series: DataFrame, keys: Sequence[str], value: str, window_seconds: int) -> DataFrame:
+    """``series`` with a zero for every window without a row, from a key's first window to the last
+    window of the whole series."""
+    last = series.agg(F.max("window_start")).scalar()
+    first = series.groupBy(*keys).agg(F.min("window_start").alias("first"))
+    starts = F.sequence(F.unix_seconds("first"), F.unix_seconds(last), F.lit(window_seconds).cast("long"))
+    calendar = first.select(*keys, F.explode(starts).alias("at")).select(
+        *keys, F.timestamp_seconds("at").alias("window_start"))
+    return calendar.join(series, [*keys, "window_start"], "left").fillna(0, [value])
+
+
+def spikes(series: DataFrame, keys: Sequence[str], value: str, window_seconds: int, trailing: int = 24,
            factor: float = 2.0, slo: float | None = None) -> DataFrame:
-    """Flag points far above or below the mean of the ``trailing`` points before them.
+    """Flag points far above or below the mean of the ``trailing`` windows before them.
 
-    ``series`` has one row per key and window, so its size follows the calendar, not the events.
+    ``series`` has at most one row per key and window, so its size follows the calendar, not the
+    events. A window without a row counts as zero, so an outage is a drop.
     """
+    series = without_gaps(series, keys, value, window_seconds)
     before = Window.partitionBy(*keys).orderBy("window_start").rowsBetween(-trailing, -1)
     flagged = series.withColumns({
         "trailing_mean": F.avg(value).over(before),

@@ -14,10 +14,11 @@ from eventlake.operators.capture import (
 from eventlake.operators.features import unify
 from eventlake.sources.tables import read_table
 
-ENDPOINTS = ("/api/search", "/api/orders", "/api/tickets", "/api/login", "/api/profile")
-STATUSES = ("200", "200", "400", "401", "404", "500", " \t ")
+ENDPOINTS = ("/v1/find", "/v1/basket", "/v1/help", "/v1/enter", "/v1/account")
+STATUSES = ("201", "204", "302", "409", "422", "503", " \t ")
+CHANNELS = ("push", "email", "interstitial")
 ORDER_STATUS = {"F": "DELIVERED", "P": "SHIPPED", "O": "PAID"}
-TOPIC = "cdc.orders"
+TOPIC = "shop-order-changes"
 TOPIC_PARTITIONS = 6
 LATE_OFFSET = 1_000_000_000_000
 
@@ -63,7 +64,7 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
                          F.when(number % 17 == 0, F.left(text, F.lit(40))).otherwise(text).alias("value"))
 
 
-def member_events(spark: SparkSession, folder: str) -> DataFrame:
+def member_events(spark: SparkSession, folder: str, channels: tuple[str, ...] = CHANNELS) -> DataFrame:
     """Activity and messaging events of members, as one unified stream."""
     events = read_table(spark, folder, "events").select(
         F.concat(F.lit("m"), F.expr("user_id div 3").cast("string")).alias("member_id"),
@@ -74,7 +75,7 @@ def member_events(spark: SparkSession, folder: str) -> DataFrame:
     reaction = _pick(("open", "click", "delivered"), F.col("seq"))
     messages = events.withColumn("event_type", F.when(source == "purchase", "Sent")
                                  .when(source == "error", reaction)) \
-        .withColumn("channel", _pick(("push", "email", "interstitial"), F.expr("seq div 3")))
+        .withColumn("channel", _pick(channels, F.expr("seq div 3")))
     named = F.col("event_type").isNotNull()
     return unify(activity.where(named), messages.where(named))
 

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from eventlake.operators.features import TRAILING
-
 ORACLES: dict[str, str] = {}
 
+# Restated, not imported: feature -> (counter, bucket column, bucket ms, whole buckets before the current one).
+TRAILING = {
+    "plays_1h": ("plays", "minute", 60_000, 60), "plays_24h": ("plays", "minute", 60_000, 1440),
+    "browses_1h": ("browses", "minute", 60_000, 60), "browses_24h": ("browses", "minute", 60_000, 1440),
+    "searches_1h": ("searches", "minute", 60_000, 60), "searches_24h": ("searches", "minute", 60_000, 1440),
+    "messages_sent_24h": ("sent", "hour", 3_600_000, 24), "opens_7d": ("opens", "hour", 3_600_000, 168),
+    "clicks_7d": ("clicks", "hour", 3_600_000, 168),
+}
+
 
 def _floor(expr: str, seconds: int) -> str:
     """Start of the tumbling window around a timestamp expression."""
@@ -25,10 +32,10 @@ EVENTS = """ev AS (
     CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 17 = 0 THEN ''
          ELSE 'u-' || user_id END AS raw_user_id,
     'cust_' || (CAST(regexp_extract(props, '[0-9]+') AS BIGINT) % 10) AS customer_id,
-    CASE event_id % 5 WHEN 0 THEN '/api/search' WHEN 1 THEN '/api/orders' WHEN 2 THEN '/api/tickets'
-         WHEN 3 THEN '/api/login' ELSE '/api/profile' END AS endpoint,
-    CASE event_id % 7 WHEN 0 THEN '200' WHEN 1 THEN '200' WHEN 2 THEN '400' WHEN 3 THEN '401'
-         WHEN 4 THEN '404' WHEN 5 THEN '500' ELSE NULL END AS status
+    CASE event_id % 5 WHEN 0 THEN '/v1/find' WHEN 1 THEN '/v1/basket' WHEN 2 THEN '/v1/help'
+         WHEN 3 THEN '/v1/enter' ELSE '/v1/account' END AS endpoint,
+    CASE event_id % 7 WHEN 0 THEN '201' WHEN 1 THEN '204' WHEN 2 THEN '302' WHEN 3 THEN '409'
+         WHEN 4 THEN '422' WHEN 5 THEN '503' ELSE NULL END AS status
   FROM events)"""
 
 JSON_DIMS = {
@@ -68,6 +75,9 @@ ORACLES["rollup_60s"] = _with("SELECT * FROM rollups", EVENTS, MINUTES)
 ORACLES["rollup_hourly"] = _with(
     "SELECT * FROM rollups", EVENTS, _rollup_cte(3600, ("endpoint", "status")))
 ORACLES["rollup_daily"] = _with("SELECT * FROM rollups", EVENTS, _rollup_cte(86400, ()))
+ORACLES["rollup_sketched"] = _with(
+    "SELECT window_start, metric, count, sum, uniques, true AS within_bound FROM rollups",
+    EVENTS, _rollup_cte(86400, ()))
 ORACLES["rollup_deduplicated"] = _with("SELECT * FROM rollups", EVENTS, HOURLY_ENDPOINT)
 ORACLES["rollup_stored_rows"] = _with("""
 SELECT *, TIMESTAMP '2024-01-15 00:00:00' AS updated_at FROM rollups
@@ -115,6 +125,11 @@ SELECT window_start, window_start + to_seconds(300) AS window_end, count(DISTINC
 FROM (SELECT make_timestamp((epoch_us(ts) // 60000000 - i) * 60000000) AS window_start, user_id
       FROM ev, (SELECT unnest([0, 1, 2, 3, 4]) AS i) WHERE user_id IS NOT NULL)
 GROUP BY 1""", EVENTS)
+ORACLES["sliding_uniques_any_slide"] = _with("""
+SELECT window_start, window_start + to_seconds(300) AS window_end, count(DISTINCT user_id) AS uniques
+FROM (SELECT make_timestamp((epoch_us(ts) // 90000000 - i) * 90000000) AS window_start, user_id, ts
+      FROM ev, (SELECT unnest([0, 1, 2, 3]) AS i) WHERE user_id IS NOT NULL)
+WHERE ts < window_start + to_seconds(300) GROUP BY 1""", EVENTS)
 ORACLES["spend_per_category"] = f"""
 SELECT {_floor('l_shipdate', 60)} AS window_start, p_brand AS category, count(*) AS purchases,
   CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS spend
@@ -127,8 +142,13 @@ FROM (
   SELECT *, avg(events) OVER before AS trailing_mean, count(events) OVER before AS trailing_points
   FROM hourly
   WINDOW before AS (PARTITION BY metric ORDER BY window_start
-                    ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))""", EVENTS, f"""hourly AS (
-  SELECT {_floor('ts', 3600)} AS window_start, metric, count(*) AS events FROM ev GROUP BY 1, 2)""")
+                    ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING))""", EVENTS, f"""seen AS (
+  SELECT {_floor('ts', 3600)} AS window_start, metric, count(*) AS events FROM ev GROUP BY 1, 2),
+hourly AS (
+  SELECT window_start, metric, coalesce(events, 0) AS events FROM (
+    SELECT metric, unnest(generate_series(min(window_start), (SELECT max(window_start) FROM seen),
+      INTERVAL 1 HOUR)) AS window_start FROM seen GROUP BY metric)
+  LEFT JOIN seen USING (metric, window_start))""")
 ORACLES["hot_keys"] = _with("""
 SELECT endpoint, metric, count(*) AS rows, count(*) / (SELECT count(*) FROM ev) AS share,
   count(*) / (SELECT count(*) FROM ev) >= 0.05 AS is_hot
@@ -154,7 +174,9 @@ ORACLES["quarantine_events"] = _with(
 
 # --- member features -----------------------------------------------------------------------------
 
-MEMBERS = """me AS (
+def _members_cte(channels: tuple[str, ...]) -> str:
+    picked = " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(channels))
+    return f"""me AS (
   SELECT CASE WHEN event_type IN ('purchase', 'error') THEN 'MESSAGE' ELSE 'ACTIVITY' END AS kind,
     'm' || (user_id // 3) AS member_id,
     CASE event_type WHEN 'view' THEN 'play' WHEN 'click' THEN 'browse' WHEN 'signup' THEN 'search'
@@ -162,10 +184,12 @@ MEMBERS = """me AS (
       ELSE (CASE event_id % 3 WHEN 0 THEN 'open' WHEN 1 THEN 'click' ELSE 'delivered' END)
     END AS event_type,
     CASE WHEN event_type IN ('purchase', 'error') THEN
-      (CASE (event_id // 3) % 3 WHEN 0 THEN 'push' WHEN 1 THEN 'email' ELSE 'interstitial' END)
+      (CASE (event_id // 3) % {len(channels)} {picked} END)
     END AS channel,
     epoch_us(ts) // 1000 AS ts_ms, event_id AS seq
   FROM events)"""
+
+
 FLAGS = {
     "plays": "kind = 'ACTIVITY' AND event_type = 'play'",
     "browses": "kind = 'ACTIVITY' AND event_type = 'browse'",
@@ -175,6 +199,8 @@ FLAGS = {
     "clicks": "kind = 'MESSAGE' AND event_type = 'click'",
 }
 CHANNELS = ("push", "email", "interstitial")
+MORE_CHANNELS = (*CHANNELS, "sms")
+MEMBERS = _members_cte(CHANNELS)
 RULES = """
   snapshot_ts_ms - coalesce(last_sent_push, 0) >= 21600000 AS eligible_push,
   snapshot_ts_ms - coalesce(last_sent_email, 0) >= 86400000 AS eligible_email,
@@ -184,7 +210,7 @@ RULES = """
     AS reason_email"""
 
 
-def _changelog_cte(source: str) -> str:
+def _changelog_cte(source: str, channels: tuple[str, ...] = CHANNELS) -> str:
     """Running counts minus the counts that have left each trailing window."""
     columns = []
     for name, (counter, bucket, _, back) in TRAILING.items():
@@ -192,7 +218,7 @@ def _changelog_cte(source: str) -> str:
             f"count(*) FILTER ({FLAGS[counter]}) OVER so_far - count(*) FILTER ({FLAGS[counter]}) OVER "
             f"(PARTITION BY member_id ORDER BY {bucket} "
             f"RANGE BETWEEN UNBOUNDED PRECEDING AND {back + 1} PRECEDING) AS {name}")
-    for channel in CHANNELS:
+    for channel in channels:
         columns.append(f"max(ts_ms) FILTER ({FLAGS['sent']} AND channel = '{channel}') OVER so_far "
                        f"AS last_sent_{channel}")
     listed = ",\n    ".join(columns)
@@ -225,6 +251,8 @@ SELECT member_id, ts_ms // 3600000 * 3600000 AS bucket_ms,
 FROM me WHERE kind = 'MESSAGE' GROUP BY 1, 2""", MEMBERS)
 ORACLES["features_per_event"] = _with(
     f"SELECT *, {RULES} FROM changes", MEMBERS, _changelog_cte("me"))
+ORACLES["features_all_channels"] = _with(
+    f"SELECT *, {RULES} FROM changes", _members_cte(MORE_CHANNELS), _changelog_cte("me", MORE_CHANNELS))
 ORACLES["features_timer"] = _with(
     f"SELECT * EXCLUDE (kind, seq), {RULES} FROM changes WHERE kind = 'TIMER'",
     MEMBERS, MARKED, _changelog_cte("marked"))
@@ -232,10 +260,8 @@ ORACLES["features_latest"] = _with(f"""
 SELECT * EXCLUDE (kind, seq), {RULES} FROM changes
 QUALIFY row_number() OVER (PARTITION BY member_id ORDER BY snapshot_ts_ms DESC, seq DESC) = 1""",
     MEMBERS, _changelog_cte("me"))
-ORACLES["feature_messages"] = _with("""
-SELECT member_id AS key, snapshot_ts_ms, plays_24h,
-  snapshot_ts_ms - coalesce(last_sent_push, 0) >= 21600000 AS eligible_push
-FROM changes
+ORACLES["feature_messages"] = _with(f"""
+SELECT member_id AS key, member_id, * EXCLUDE (kind, seq, member_id), {RULES} FROM changes
 QUALIFY row_number() OVER (PARTITION BY member_id ORDER BY snapshot_ts_ms DESC, seq DESC) = 1""",
     MEMBERS, _changelog_cte("me"))
 
@@ -350,13 +376,16 @@ payloads AS (
     || CASE WHEN event_type = 'order.updated' THEN
          ', "updated_at": "' || strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00"' ELSE '' END
     || '}' AS payload FROM images),
+digests AS (
+  SELECT *, sha256(event_type || '|' || order_id || '|' || seq) AS digest FROM payloads),
 outbox AS (
-  SELECT 'order' AS aggregate_type, order_id AS aggregate_id, event_type, payload,
+  SELECT substr(digest, 1, 8) || '-' || substr(digest, 9, 4) || '-' || substr(digest, 13, 4) || '-'
+      || substr(digest, 17, 4) || '-' || substr(digest, 21, 12) AS event_id, 'order' AS aggregate_type, order_id AS aggregate_id, event_type, payload,
     sha256('{"id": "' || order_id || '", "p": ' || payload || ', "t": "' || event_type || '"}')
       AS idempotency_key,
     CAST(0 AS BIGINT) AS publish_attempts, created_at, seq,
     customer_id, amount_kobo, currency, status
-  FROM payloads)"""
+  FROM digests)"""
 OUTBOX_ROWS = "SELECT * EXCLUDE (customer_id, amount_kobo, currency, status) FROM outbox"
 
 ORACLES["outbox_created"] = _with(f"{OUTBOX_ROWS} WHERE event_type = 'order.created'", IMAGES)
@@ -367,10 +396,11 @@ ORDER BY created_at, seq LIMIT 200""", IMAGES)
 ORACLES["outbox_publish"] = _with("""
 SELECT seq, aggregate_id AS key,
   '{"aggregate_id": "' || aggregate_id || '", "aggregate_type": "order", "emitted_at": "'
-  || strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00", "event_id": "", "event_type": "'
+  || strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00", "event_id": "' || event_id || '", "event_type": "'
   || event_type || '", "idempotency_key": "' || idempotency_key || '", "payload": ' || payload
   || ', "schema_version": 1}' AS value,
-  idempotency_key AS header_idempotency_key
+  'event_type=' || event_type || ',aggregate_type=order,aggregate_id=' || aggregate_id
+    || ',idempotency_key=' || idempotency_key AS headers
 FROM outbox""", IMAGES)
 BATCH = "batch AS (SELECT seq FROM outbox ORDER BY created_at, seq LIMIT 200)"
 ORACLES["outbox_mark"] = _with("""
@@ -401,17 +431,17 @@ first AS (
   QUALIFY row_number() OVER (PARTITION BY idempotency_key ORDER BY "offset") = 1)"""
 WAREHOUSE = """wh AS (
   SELECT aggregate_id AS order_id, customer_id, amount_kobo, currency, status,
-    event_type AS last_event_type, idempotency_key AS last_idempotency_key,
+    event_type AS last_event_type, event_id AS last_event_id, idempotency_key AS last_idempotency_key,
     applied_at AS updated_at,
     min(applied_at) OVER (PARTITION BY aggregate_id) AS created_at, "offset" AS last_offset
   FROM first
   QUALIFY row_number() OVER (PARTITION BY aggregate_id ORDER BY "offset" DESC) = 1)"""
 READABLE = """readable AS (
-  SELECT seq // 4 % 6 AS "partition", "offset", applied_at, event_type, aggregate_id, idempotency_key,
+  SELECT seq // 4 % 6 AS "partition", "offset", applied_at, event_id, event_type, aggregate_id, idempotency_key,
     strftime(created_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' AS emitted_at,
     replace(replace(payload, '": ', '":'), ', "', ',"') AS payload_json FROM sent
   UNION ALL
-  SELECT "partition", "offset", TIMESTAMP '1999-01-01', '', '', '', NULL, '{}' FROM pings)"""
+  SELECT "partition", "offset", TIMESTAMP '1999-01-01', '', '', '', '', NULL, '{}' FROM pings)"""
 
 ORACLES["wh_dedup"] = _with("""
 SELECT idempotency_key, aggregate_id AS order_id, "offset" FROM first
@@ -419,9 +449,9 @@ WHERE event_type <> 'order.created'""", IMAGES, MESSAGES)
 for _name in ("wh_current", "wh_replay_twice", "wh_rebuild", "stream_warehouse"):
     ORACLES[_name] = _with("SELECT * FROM wh", IMAGES, MESSAGES, WAREHOUSE)
 ORACLES["wh_ledger"] = _with(
-    'SELECT idempotency_key, applied_at, "offset" FROM first', IMAGES, MESSAGES)
+    'SELECT idempotency_key, event_id, applied_at, "offset" FROM first', IMAGES, MESSAGES)
 ORACLES["wh_checkpoints"] = _with("""
-SELECT 'cdc.orders' AS topic, "partition", max("offset") AS "offset",
+SELECT 'shop-order-changes' AS topic, "partition", max("offset") AS "offset",
   arg_max(applied_at, "offset") AS updated_at FROM readable GROUP BY "partition" """,
     IMAGES, MESSAGES, READABLE)
 ORACLES["wh_recent"] = _with(
@@ -434,7 +464,7 @@ SELECT (SELECT count(*) FROM sent) + (SELECT count(*) FROM cut) + (SELECT count(
     AS processed,
   (SELECT count(*) FROM cut) AS bad, (SELECT count(*) FROM pings) AS rejected""", IMAGES, MESSAGES)
 ORACLES["lake_append"] = _with("""
-SELECT DATE '2024-01-31' AS date, "partition", "offset", event_type, aggregate_id,
+SELECT DATE '2024-01-31' AS date, "partition", "offset", event_id, event_type, aggregate_id,
   idempotency_key, CAST(1 AS BIGINT) AS schema_version, emitted_at, payload_json FROM readable""",
     IMAGES, MESSAGES, READABLE)
 

@@ -14,9 +14,10 @@ from eventlake.operators import (
 from eventlake.plans import fixtures as fx
 from eventlake.session import apply_settings, scratch_dir, streaming_session
 from eventlake.sources import members, tables
+from eventlake.sources.schemas import record
 from eventlake.sources.streams import file_stream
 from eventlake.sources.validate import (
-    check_changes, parse_envelopes, quarantined, usable, validate_events)
+    check_changes, decodable, parse_envelopes, quarantined, usable, validate_events)
 from eventlake.streaming import (
     features as feature_streams, index as index_streams, progress, rollups as rollup_streams,
     sinks, warehouse as warehouse_streams)
@@ -99,7 +100,12 @@ def rollup_stored_rows(spark, folder):
 def rollup_sketched(spark, folder):
     events = fx.metric_events(spark, folder)
     sketches = rollups.rollup_sketches(events, HOUR, ("endpoint",), sum_type=MONEY)
-    return _flat(rollups.merge_sketches(sketches, DAY, ["metric"]))
+    merged = rollups.merge_sketches(sketches, DAY, ["metric"])
+    exact = rollups.rollup(events, DAY, (), sum_type=MONEY).select("window_start", "metric", "uniques")
+    error = F.abs(F.col("uniques_estimate") - F.col("uniques"))
+    bound = F.greatest(F.lit(1.0), rollups.SKETCH_ERROR * F.col("uniques"))
+    return _flat(merged.join(exact, ["window_start", "metric"]).withColumn(
+        "within_bound", error <= bound).drop("uniques_estimate"))
 
 
 @query
@@ -178,6 +184,12 @@ def sliding_uniques_5m(spark, folder):
     return _flat(rollups.sliding_uniques(fx.metric_events(spark, folder)))
 
 
+@query
+def sliding_uniques_any_slide(spark, folder):
+    """Windows of 300 s every 90 s: the slide does not divide the window."""
+    return _flat(rollups.sliding_uniques(fx.metric_events(spark, folder), 300, 90))
+
+
 @query
 def spend_per_category(spark, folder):
     spent = tables.read_table(spark, folder, "lineitem").join(
@@ -190,7 +202,7 @@ def spend_per_category(spark, folder):
 @query
 def spike_flags(spark, folder):
     hourly = rollups.count_by(fx.metric_events(spark, folder), ["metric"], HOUR, "events")
-    flags = rollups.spikes(hourly, ["metric"], "events", trailing=24, factor=2.0, slo=10)
+    flags = rollups.spikes(hourly, ["metric"], "events", HOUR, trailing=24, factor=2.0, slo=10)
     return _flat(flags.withColumn("trailing_mean", F.round("trailing_mean", 6)))
 
 
@@ -220,10 +232,10 @@ def quarantine_events(spark, folder):
 
 # --- member features -----------------------------------------------------------------------------
 
-def _flat_features(df: DataFrame) -> DataFrame:
+def _flat_features(df: DataFrame, channels: tuple[str, ...] = fx.CHANNELS) -> DataFrame:
     sent, reasons = F.col("last_sent_ts_by_channel"), F.col("suppression_reasons")
     return df.withColumns({
-        **{f"last_sent_{c}": sent[c] for c in features.CHANNELS},
+        **{f"last_sent_{c}": sent[c] for c in channels},
         **{f"reason_{c}": reasons[c] for c in features.COOLDOWN_MS},
     }).drop("last_sent_ts_by_channel", "suppression_reasons")
 
@@ -267,6 +279,13 @@ def features_per_event(spark, folder):
     return _flat_features(features.feature_changelog(fx.member_events(spark, folder)))
 
 
+@query
+def features_all_channels(spark, folder):
+    """Members also get messages on a channel that has no cooldown rule."""
+    channels = (*fx.CHANNELS, "sms")
+    return _flat_features(features.feature_changelog(fx.member_events(spark, folder, channels)), channels)
+
+
 @query
 def features_timer(spark, folder):
     changes = features.feature_changelog(fx.member_events(spark, folder), timers=True)
@@ -295,10 +314,10 @@ def features_latest(spark, folder):
 @query
 def feature_messages(spark, folder):
     changes = features.feature_changelog(fx.member_events(spark, folder))
-    return sinks.feature_messages(features.latest_features(changes)).select(
-        "key", F.get_json_object("value", "$.snapshotTsMs").cast("long").alias("snapshot_ts_ms"),
-        F.get_json_object("value", "$.plays_24h").cast("long").alias("plays_24h"),
-        F.get_json_object("value", "$.eligiblePush").cast("boolean").alias("eligible_push"))
+    newest = features.latest_features(changes)
+    spec = record(**{field: newest.schema[c].dataType for c, field in sinks.FEATURE_FIELDS.items()})
+    read = sinks.feature_messages(newest).select("key", F.from_json("value", spec).alias("m"))
+    return _flat_features(read.select("key", *[F.col("m")[field].alias(c) for c, field in sinks.FEATURE_FIELDS.items()]))
 
 
 # --- change capture ------------------------------------------------------------------------------
@@ -317,13 +336,13 @@ def source_state(spark, folder):
 @query
 def outbox_created(spark, folder):
     rows = capture.outbox(capture.after_images(fx.order_mutations(spark, folder)))
-    return _flat(rows.where(F.col("event_type") == "order.created").drop("published_at", "event_id"))
+    return _flat(rows.where(F.col("event_type") == "order.created").drop("published_at"))
 
 
 @query
 def outbox_updated(spark, folder):
     rows = capture.outbox(capture.after_images(fx.order_mutations(spark, folder)))
-    return _flat(rows.where(F.col("event_type") == "order.updated").drop("published_at", "event_id"))
+    return _flat(rows.where(F.col("event_type") == "order.updated").drop("published_at"))
 
 
 @query
@@ -335,11 +354,9 @@ def outbox_next_batch(spark, folder):
 @query
 def outbox_publish(spark, folder):
     sent = capture.envelopes(fx.order_outbox(spark, folder), keep=("seq",))
-    header = F.filter("headers", lambda h: h["key"] == "idempotency_key")[0]["value"]
-    # The event id is a hash of the row's identity; the rest of the message is compared whole.
-    body = F.regexp_replace("value", '"event_id": "[^"]*"', '"event_id": ""')
-    return sent.select("seq", "key", body.alias("value"),
-                       header.cast("string").alias("header_idempotency_key"))
+    headers = F.array_join(F.transform(
+        "headers", lambda h: F.concat(h["key"], F.lit("="), h["value"].cast("string"))), ",")
+    return sent.select("seq", "key", "value", headers.alias("headers"))
 
 
 def _mark(spark, folder, errors):
@@ -386,12 +403,12 @@ def wh_dedup(spark, folder):
 
 @query
 def wh_current(spark, folder):
-    return _flat(warehouse.order_rows(_applied(spark, folder)).drop("last_event_id"))
+    return _flat(warehouse.order_rows(_applied(spark, folder)))
 
 
 @query
 def wh_ledger(spark, folder):
-    return _flat(warehouse.ledger_rows(_applied(spark, folder)).drop("event_id"))
+    return _flat(warehouse.ledger_rows(_applied(spark, folder)))
 
 
 @query
@@ -402,7 +419,7 @@ def wh_checkpoints(spark, folder):
 @query
 def wh_recent(spark, folder):
     orders = warehouse.order_rows(_applied(spark, folder))
-    return _flat(serving.recent_orders(orders).drop("last_event_id"))
+    return _flat(serving.recent_orders(orders))
 
 
 @query
@@ -419,7 +436,7 @@ def consume_counters(spark, folder):
 @query
 def lake_append(spark, folder):
     rows = warehouse.lake_rows(_order_envelopes(spark, folder), _moment("2024-01-31"))
-    return _flat(rows.select("date", "partition", "offset", "event_type", "aggregate_id",
+    return _flat(rows.select("date", "partition", "offset", "event_id", "event_type", "aggregate_id",
                              "idempotency_key", "schema_version", "emitted_at", "payload_json"))
 
 
@@ -435,14 +452,14 @@ def wh_replay_twice(spark, folder):
     store = _stored_warehouse(spark, folder)
     for _ in range(2):
         store.apply_batch(_order_envelopes(spark, folder), "again", 0, _moment("2024-02-01"))
-    return _flat(store.orders.read().drop("last_event_id"))
+    return _flat(store.orders.read())
 
 
 @query
 def wh_rebuild(spark, folder):
     store = _stored_warehouse(spark, folder)
     lake = tables.read_lake(spark, store.lake_path, date(2024, 1, 31), date(2024, 1, 31))
-    return _flat(warehouse.rebuild_orders(lake).drop("last_event_id"))
+    return _flat(warehouse.rebuild_orders(lake))
 
 
 # --- index ---------------------------------------------------------------------------------------
@@ -556,7 +573,7 @@ def run_counters(spark, folder):
 @query
 def schema_drift(spark, folder):
     known = ("order_id", "customer_id", "amount_kobo", "currency", "status")
-    envelopes = usable(_order_envelopes(spark, folder))
+    envelopes = decodable(_order_envelopes(spark, folder))
     return quality.payload_keys(envelopes, "payload", known, "offset")
 
 
@@ -638,7 +655,7 @@ def stream_warehouse(spark, folder):
     store = warehouse.Warehouse(session, scratch_dir(session, "stream-warehouse"))
     warehouse_streams.ingest(
         messages, store, "run", scratch_dir(session, "stream-checkpoint")).awaitTermination()
-    return _flat(store.orders.read().drop("last_event_id"))
+    return _flat(store.orders.read())
 
 
 @query

@@ -27,9 +27,16 @@ def _first_reason(checks: Sequence[tuple[str, Column]]) -> Column:
     return F.coalesce(*[F.when(failed, F.lit(reason)) for reason, failed in checks])
 
 
-def _closed(text: Column) -> Column:
-    """Does JSON object text end with its brace? Text after it is not looked at by the parsers."""
-    return F.rtrim(text, F.lit(" \t\r\n")).endswith("}")
+def _one_value(text: Column) -> tuple[Column, Column]:
+    """The parsed value of a text that is one JSON value and nothing else, and a test of that.
+
+    The parsers stop after the first value and do not look at the rest. Inside a list and inside an
+    object the rest is looked at: what ends the one early is an error in the other.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"a":'), text, F.lit("}")))
+    alone = F.size(F.try_variant_get(listed, "$", "array<variant>")) == 1
+    return F.try_variant_get(named, "$.a", "variant"), named.isNotNull() & F.coalesce(alone, F.lit(False))
 
 
 def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -57,8 +64,8 @@ def validate_events(messages: DataFrame, value: str = "value") -> DataFrame:
     kept = [c for c in messages.columns if c != value]
     names = (*REQUIRED_TEXT, "ts", *OPTIONAL_TEXT, "value", "extra")
     spec = ", ".join(f"{n}: variant" for n in names)
-    text = F.col(value)
-    parsed = F.when(_closed(text) | ~text.startswith("{"), F.try_parse_json(text))
+    only, alone = _one_value(F.col(value))
+    parsed = F.when(alone, only)
     # A cast of an object to a struct keeps absent fields (null) and JSON nulls (VOID) apart.
     fields = F.try_variant_get(F.col("parsed"), "$", f"struct<{spec}>")
     read = _computed_once(_computed_once(messages, "parsed", parsed), "record", fields).withColumns(
@@ -103,11 +110,9 @@ def parse_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     text = F.ltrim(F.col(value), F.lit(" \t\r\n"))
     is_object = text.startswith("{")
     read = _computed_once(messages, "read", F.when(is_object, F.from_json(value, schema, options)))
-    json = F.try_parse_json(F.col(value))  # only looked at for records that are odd already
-    shape = F.when(
-        is_object,
-        F.when(~_closed(text) | (F.col("read.unreadable").isNotNull() & json.isNull()), "malformed_json"),
-    ).otherwise(F.when(json.isNotNull(), "not_an_object").otherwise("malformed_json"))
+    _, alone = _one_value(F.col(value))
+    read = _computed_once(read, "alone", F.coalesce(alone, F.lit(False)))
+    shape = F.when(~F.col("alone"), "malformed_json").when(~is_object, "not_an_object")
     typed = read.select(
         *kept, F.col(value).alias("raw"), shape.alias("shape"),
         *[F.coalesce(f"read.{n}", F.lit("")).alias(n) for n in texts],

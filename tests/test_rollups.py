@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from eventlake.operators import rollups, serving
 from eventlake.functions.times import window_end, window_start
 
-START = datetime(2026, 2, 7, 12, 0, 0)
+START = datetime(2025, 5, 4, 10, 20, 0)
 EVENT = ("event_id string, event_type string, metric string, value double, user_id string, "
          "customer_id string, endpoint string, status string, ts timestamp")
 
@@ -62,7 +62,7 @@ def test_sliding_windows_equal_brute_force(spark):
 def test_spikes_and_drops(spark):
     series = [("m", START + timedelta(minutes=i), v) for i, v in enumerate([10, 10, 10, 50, 2, 10])]
     df = spark.createDataFrame(series, "metric string, window_start timestamp, v long")
-    rows = rollups.spikes(df, ["metric"], "v", trailing=3, factor=2.0, slo=40).orderBy(
+    rows = rollups.spikes(df, ["metric"], "v", 60, trailing=3, factor=2.0, slo=40).orderBy(
         "window_start").collect()
     assert [r.is_spike for r in rows] == [False, False, False, True, False, False]
     assert [r.is_drop for r in rows] == [False, False, False, False, True, True]
@@ -81,8 +81,8 @@ def test_history_limits_and_latest(spark):
     df = spark.createDataFrame([event(i, second=i * 60) for i in range(5)], EVENT)
     rows = rollups.rollup(df, 60)
     newest = serving.history(rows, "requests", F.lit(START), F.lit(START + timedelta(minutes=4)), 2)
-    assert [r.window_start.minute for r in newest.collect()] == [3, 2]
-    assert serving.latest(rows, "requests").first().window_start.minute == 4
+    assert [r.window_start.minute for r in newest.collect()] == [23, 22]
+    assert serving.latest(rows, "requests").first().window_start.minute == 24
     for limit in (0, 2001):
         with pytest.raises(ValueError):
             serving.history(rows, "requests", F.lit(START), F.lit(START), limit)
@@ -99,3 +99,22 @@ def test_key_shares(spark):
     df = spark.range(10).select(F.when(F.col("id") < 4, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     got = {r.k: (r.share, r.is_hot) for r in rollups.key_shares(df, ["k"], 0.3).collect()}
     assert got["hot"] == (0.4, True) and got["9"] == (0.1, False)
+
+
+def test_an_outage_is_a_drop(spark):
+    """No row at all in the last window of one metric, while the other goes on."""
+    hours = [START.replace(minute=0) + timedelta(hours=h) for h in range(31)]
+    rows = [("a", t, 50) for t in hours[:30]] + [("b", t, 50) for t in hours]
+    series = spark.createDataFrame(rows, "metric string, window_start timestamp, n long")
+    flags = {(r.metric, r.window_start): r for r in rollups.spikes(series, ["metric"], "n", 3600).collect()}
+    assert flags["a", hours[30]].is_drop and flags["a", hours[30]].n == 0
+    assert not flags["b", hours[30]].is_drop and len(flags) == 62
+
+
+@pytest.mark.parametrize("window,slide", [(300, 90), (300, 60), (60, 60), (100, 70)])
+def test_sliding_windows_equal_sparks_own(spark, window, slide):
+    rows = [event(i, user=f"u{i % 7}", second=i * 37) for i in range(60)]
+    df = spark.createDataFrame(rows, EVENT)
+    got = {(r.window_start, r.uniques) for r in rollups.sliding_uniques(df, window, slide).collect()}
+    own = df.groupBy(F.window("ts", f"{window} seconds", f"{slide} seconds")).agg(F.countDistinct("user_id").alias("n"))
+    assert got == {(r["window"].start, r.n) for r in own.collect()}

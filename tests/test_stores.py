@@ -92,8 +92,8 @@ LOG = "`offset` long, dataset string, record_id string, op string, payload strin
 
 def change_log(spark):
     return spark.createDataFrame([
-        (1, "cases", "CASE-9", "upsert", "v1", 1, 100), (2, "cases", "CASE-9", "upsert", "v2", 2, 101),
-        (3, "kb", "KB-1", "upsert", None, 1, 102), (4, "kb", "KB-1", "delete", None, 2, 103)], LOG)
+        (1, "tickets", "R-701", "upsert", "first text", 1, 100), (2, "tickets", "R-701", "upsert", "second text", 2, 101),
+        (3, "notes", "N-51", "upsert", None, 1, 102), (4, "notes", "N-51", "delete", None, 2, 103)], LOG)
 
 
 def test_index_ignores_duplicates(spark, tmp_path):
@@ -103,37 +103,37 @@ def test_index_ignores_duplicates(spark, tmp_path):
     store.apply_batch(change_log(spark), 300, "again", 0)
     got = {r.record_id: (r.payload, r.version, r.tombstone, r.indexed_at)
            for r in store.index().collect()}
-    assert got["CASE-9"] == ("v2", 2, 0, 200) or got["CASE-9"][:3] == ("v2", 2, 0)
-    assert got["KB-1"][:3] == (None, 2, 1)
+    assert got["R-701"] == ("second text", 2, 0, 200) or got["R-701"][:3] == ("second text", 2, 0)
+    assert got["N-51"][:3] == (None, 2, 1)
 
 
 def test_increment_is_limited_per_dataset(spark):
     log = change_log(spark)
     none = spark.createDataFrame([], "dataset string, last_offset long")
     got = {(r.dataset, r.offset) for r in index.next_increment(log, none, limit=1).collect()}
-    assert got == {("cases", 1), ("kb", 3)}
-    assert index.next_increment(log, none, datasets=["kb"]).count() == 2
+    assert got == {("tickets", 1), ("notes", 3)}
+    assert index.next_increment(log, none, datasets=["notes"]).count() == 2
 
 
 def test_rebuild_drops_tombstones_and_replay_is_gated(spark, tmp_path):
     store = index.IndexStore(spark, str(tmp_path))
     log = change_log(spark)
     store.apply_batch(log, 200, "r", 0)
-    source = spark.createDataFrame([("kb", "KB-2", "x", 3), ("cases", "CASE-9", "other", 9)],
+    source = spark.createDataFrame([("notes", "N-52", "x", 3), ("tickets", "R-701", "other", 9)],
                                    "dataset string, record_id string, payload string, version long")
-    store.rebuild(read_dataset(source, "kb"), "kb", 300)
+    store.rebuild(read_dataset(source, "notes"), "notes", 300)
     rows = {r.record_id: (r.payload, r.version) for r in store.index().collect()}
-    assert rows == {"CASE-9": ("v2", 2), "KB-2": ("x", 3)}
+    assert rows == {"R-701": ("second text", 2), "N-52": ("x", 3)}
     marks = {r.dataset: (r.last_offset, r.last_event_ts) for r in store.checkpoints().collect()}
-    assert marks == {"cases": (2, 101), "kb": (0, 0)}
+    assert marks == {"tickets": (2, 101), "notes": (0, 0)}
     store.apply_batch(index.pending_changes(log, store.checkpoints()), 400, "r", 1)
     rows = {r.record_id: (r.payload, r.version, r.tombstone) for r in store.index().collect()}
-    assert rows == {"CASE-9": ("v2", 2, 0), "KB-2": ("x", 3, 0), "KB-1": (None, 2, 1)}
-    store.replay("cases", 1, 500)
+    assert rows == {"R-701": ("second text", 2, 0), "N-52": ("x", 3, 0), "N-51": (None, 2, 1)}
+    store.replay("tickets", 1, 500)
     marks = {r.dataset: (r.last_offset, r.last_event_ts) for r in store.checkpoints().collect()}
-    assert marks == {"cases": (1, 0), "kb": (4, 103)}
+    assert marks == {"tickets": (1, 0), "notes": (4, 103)}
     store.apply_batch(index.pending_changes(log, store.checkpoints()), 600, "r", 2)
-    assert {r.dataset: r.last_offset for r in store.checkpoints().collect()} == {"cases": 2, "kb": 4}
+    assert {r.dataset: r.last_offset for r in store.checkpoints().collect()} == {"tickets": 2, "notes": 4}
     before = sorted(map(tuple, store.index().collect()))
     store.compact()
     assert sorted(map(tuple, store.index().collect())) == before
@@ -153,13 +153,13 @@ def test_recreated_record_loses_by_version_and_wins_by_offset(spark):
 
 
 def test_checkpoints_move(spark):
-    marks = spark.createDataFrame([("cases", 1, 500, 0), ("x", 7, 7, 0)],
+    marks = spark.createDataFrame([("tickets", 1, 500, 0), ("x", 7, 7, 0)],
                                   "dataset string, last_offset long, last_event_ts long, updated_at long")
     got = {r.dataset: tuple(r)[1:] for r in index.advance_checkpoints(
         marks, change_log(spark), F.lit(9)).collect()}
-    assert got == {"cases": (2, 500, 9), "kb": (4, 103, 9), "x": (7, 7, 0)}
+    assert got == {"tickets": (2, 500, 9), "notes": (4, 103, 9), "x": (7, 7, 0)}
     got = {r.dataset: tuple(r)[1:] for r in index.set_checkpoint(marks, "new", 5, F.lit(9)).collect()}
-    assert got == {"cases": (1, 500, 0), "x": (7, 7, 0), "new": (5, 0, 9)}
+    assert got == {"tickets": (1, 500, 0), "x": (7, 7, 0), "new": (5, 0, 9)}
 
 
 def test_lag_falls_after_indexing(spark, tmp_path):
@@ -167,7 +167,7 @@ def test_lag_falls_after_indexing(spark, tmp_path):
     log = change_log(spark)
     before = freshness.dataset_metrics(log, store.checkpoints(), 1000)
     assert {r.dataset: (r.backlog_offsets, r.freshness_lag_seconds, r.ok) for r in before.collect()} == {
-        "cases": (2, 101, True), "kb": (4, 103, True)}
+        "tickets": (2, 101, True), "notes": (4, 103, True)}
     store.apply_batch(log, 200, "r", 0)
     after = freshness.dataset_metrics(log, store.checkpoints(), 1000)
     assert all(r.backlog_offsets == 0 and r.checkpoint_last_event_ts == r.max_event_ts
@@ -178,11 +178,11 @@ def test_lag_falls_after_indexing(spark, tmp_path):
 
 def test_unread_dataset_is_not_ok(spark):
     log = change_log(spark).withColumn("event_ts", F.lit(1_700_000_000).cast("long"))
-    marks = spark.createDataFrame([("kb", 4, 1_699_999_800, 0)],
+    marks = spark.createDataFrame([("notes", 4, 1_699_999_800, 0)],
                                   "dataset string, last_offset long, last_event_ts long, updated_at long")
     got = {r.dataset: (r.freshness_lag_seconds, r.ok)
            for r in freshness.dataset_metrics(log, marks, 0).collect()}
-    assert got == {"cases": (1_700_000_000, False), "kb": (200, True)}
+    assert got == {"tickets": (1_700_000_000, False), "notes": (200, True)}
 
 
 def test_publish_marks(spark):

@@ -1,10 +1,11 @@
+import pytest
 from datetime import datetime
 
 from eventlake.sources.members import activity_events, messaging_events, without_redeliveries
 from eventlake.sources.validate import (
     check_changes, decodable, parse_envelopes, quarantined, usable, validate_events)
 
-GOOD = '"event_id":"a","event_type":"t","metric":"m","ts":"2026-02-07T12:00:05Z"'
+GOOD = '"event_id":"a","event_type":"t","metric":"m","ts":"2025-05-04T10:20:30Z"'
 
 
 def reasons(spark, parse, texts):
@@ -26,9 +27,9 @@ def test_event_rules(spark):
         "{" + GOOD + "} tail": "malformed_json",
         "[1]": "not_an_object",
         None: "malformed_json",
-        '{"event_type":"t","metric":"m","ts":"2026-02-07"}': "missing_event_id",
-        '{"event_id":5,"event_type":"t","metric":"m","ts":"2026-02-07"}': "bad_event_id",
-        '{"event_id":"a","event_type":"t","metric":null,"ts":"2026-02-07"}': "missing_metric",
+        '{"event_type":"t","metric":"m","ts":"2025-05-04"}': "missing_event_id",
+        '{"event_id":5,"event_type":"t","metric":"m","ts":"2025-05-04"}': "bad_event_id",
+        '{"event_id":"a","event_type":"t","metric":null,"ts":"2025-05-04"}': "missing_metric",
         '{"event_id":"a","event_type":"t","metric":"m","ts":"soon"}': "bad_ts",
         '{"event_id":"a","event_type":"t","metric":"m","ts":1770465605}': None,
     }
@@ -37,12 +38,12 @@ def test_event_rules(spark):
 
 def test_event_values(spark):
     texts = ["{" + GOOD + "}", "{" + GOOD + ',"value":3}',
-             '{"event_id":"a","event_type":"t","metric":"m","ts":"2026-02-07T13:00:05+01:00"}',
-             '{"event_id":"a","event_type":"t","metric":"m","ts":1770465605000}']
+             '{"event_id":"a","event_type":"t","metric":"m","ts":"2025-05-04T12:20:30+02:00"}',
+             '{"event_id":"a","event_type":"t","metric":"m","ts":1746354030000}']
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
     rows = usable(validate_events(df)).orderBy("i").collect()
     assert [r.value for r in rows] == [1.0, 3.0, 1.0, 1.0]
-    assert {r.ts for r in rows} == {datetime(2026, 2, 7, 12, 0, 5)}
+    assert {r.ts for r in rows} == {datetime(2025, 5, 4, 10, 20, 30)}
 
 
 def test_envelope_rules(spark):
@@ -91,3 +92,15 @@ def test_redelivered_messages_count_once(spark):
     texts += ['{"memberId":"m","eventType":"open","eventTsMs":7}'] * 2
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "`offset` long, value string")
     assert sorted(r.seq for r in without_redeliveries(usable(messaging_events(df))).collect()) == [0, 2, 3, 4]
+
+
+@pytest.mark.parametrize("tail", ['{"x":1}', " junk}", "}", ",{}", '],[{"x":1}', ',"b":{}', "]", " null"])
+@pytest.mark.parametrize("lead", ["", " ", "\n"])
+def test_text_after_a_record_is_malformed(spark, lead, tail):
+    event, envelope = lead + "{" + GOOD + "}", lead + '{"idempotency_key":"k","payload":{"order_id":"o"}}'
+    df = spark.createDataFrame([(0, event), (1, event + " \n"), (2, event + tail), (3, envelope), (4, envelope + "\t"), (5, envelope + tail)],
+                               "i int, value string")
+    events = {r.i: r.reason for r in validate_events(df.where("i < 3")).collect()}
+    assert events == {0: None, 1: None, 2: "malformed_json"}
+    orders = {r.i: r.reason for r in parse_envelopes(df.where("i > 2")).collect()}
+    assert orders == {3: None, 4: None, 5: "malformed_json"}
