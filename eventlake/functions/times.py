@@ -28,11 +28,6 @@ def window_end(start: Column, seconds: int) -> Column:
     return F.timestamp_seconds(F.unix_seconds(start) + F.lit(seconds))
 
 
-def as_utc(ts: Column) -> Column:
-    """A zone-less timestamp read as UTC (the session time zone is UTC)."""
-    return ts.cast("timestamp")
-
-
 def zoneless(ts: Column) -> Column:
     return ts.cast("timestamp_ntz")
 
@@ -42,11 +37,6 @@ def iso_utc(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
-def parse_iso(text: Column) -> Column:
-    """ISO-8601 text to a timestamp; text without an offset is UTC, unreadable text is null."""
-    return text.try_cast("timestamp")
-
-
 def next_boundary(ts_ms: Column, every_ms: int) -> Column:
     """First multiple of ``every_ms`` strictly after ``ts_ms``."""
     return bucket_floor(ts_ms, every_ms) + F.lit(every_ms)

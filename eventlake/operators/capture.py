@@ -11,6 +11,7 @@ from eventlake.functions.keys import (
 from eventlake.functions.times import iso_utc
 from eventlake.operators.heavy import (
     HEAVY_ROWS, before_chunk, chunk_of, forward_fill, split_heavy)
+from eventlake.sources.schemas import record
 
 RECORD_KEY = ("dataset", "record_id")
 PUBLISH_BATCH = 200
@@ -21,15 +22,24 @@ DEFAULT_AMOUNT = 0
 DEFAULT_CURRENCY = "NGN"
 DEFAULT_STATUS = "CREATED"
 ORDER_FIELDS = ("order_id", "customer_id", "amount_kobo", "currency", "status")
+OUTBOX_STATUS = record(event_id="string", publish_attempts="long", published_at="timestamp")
 
 
-def assign_versions(mutations: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def assign_versions(mutations: DataFrame, existing: DataFrame | None = None,
+                    heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Turn a mutation log (dataset, record_id, op, payload, seq, …) into versioned change events.
 
     Each mutation gets the previous version plus one; the count starts again at 1 after a delete,
     and a delete carries no payload. A version is the distance to the last delete before it.
+    ``existing`` are the records (dataset, record_id, version) that are alive before the log begins;
+    without it the log is taken to be the first.
     """
     keys = list(RECORD_KEY)
+    if existing is None:
+        mutations = mutations.withColumn("known", F.lit(0).cast("long"))
+    else:
+        known = existing.select(*keys, F.col("version").cast("long").alias("known"))
+        mutations = mutations.join(known, keys, "left").fillna(0, ["known"])
     deleted = F.col("op") == "delete"
 
     def place(rows: DataFrame, partition: list[str]) -> DataFrame:
@@ -40,8 +50,8 @@ def assign_versions(mutations: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataF
 
     def version(rows: DataFrame) -> DataFrame:
         return rows.withColumn(
-            "version", F.col("place") - F.coalesce("last_delete", F.lit(0))
-        ).drop("place", "last_delete")
+            "version", F.col("place") + F.coalesce(-F.col("last_delete"), F.col("known"))
+        ).drop("place", "last_delete", "known")
 
     def chunked(rows: DataFrame) -> DataFrame:
         placed = place(rows.withColumn("chunk", chunk_of(F.col("seq"), heavy_rows)), [*keys, "chunk"])
@@ -62,6 +72,13 @@ def assign_versions(mutations: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataF
     return events.withColumn("payload", F.when(~deleted, F.col("payload")))
 
 
+def last_changes(events: DataFrame) -> DataFrame:
+    """The last event of every record, deletes included: what a store keeps between batches."""
+    kept = [c for c in events.columns if c not in RECORD_KEY]
+    return events.groupBy(*RECORD_KEY).agg(
+        F.max_by(F.struct(*kept), "seq").alias("last")).select(*RECORD_KEY, "last.*")
+
+
 def source_state(events: DataFrame) -> DataFrame:
     """Source-of-truth rows after a versioned mutation log; deleted records are absent."""
     last = events.groupBy(*RECORD_KEY).agg(F.max_by(
@@ -91,11 +108,20 @@ def patched_orders(patches: DataFrame) -> DataFrame:
         given("status", "string"), "created_at")
 
 
-def after_images(mutations: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Whole orders after each mutation: every field is its last given value, else the default."""
+def after_images(mutations: DataFrame, existing: DataFrame | None = None,
+                 heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Whole orders after each mutation: every field is its last given value, else the default.
+
+    ``existing`` are the orders (``ORDER_FIELDS``) as they were before the first mutation.
+    """
     filled = forward_fill(mutations, ["order_id"], "seq", ORDER_FIELDS[1:], heavy_rows)
     defaults = dict(zip(ORDER_FIELDS[1:], (
         DEFAULT_CUSTOMER, DEFAULT_AMOUNT, DEFAULT_CURRENCY, DEFAULT_STATUS)))
+    if existing is not None:
+        known = existing.select("order_id", *[F.col(c).alias(f"known_{c}") for c in ORDER_FIELDS[1:]])
+        filled = filled.join(known, "order_id", "left").withColumns(
+            {c: F.coalesce(c, f"known_{c}") for c in ORDER_FIELDS[1:]}).drop(
+            *[f"known_{c}" for c in ORDER_FIELDS[1:]])
     return filled.withColumns({c: F.coalesce(c, F.lit(v)) for c, v in defaults.items()})
 
 
@@ -157,6 +183,25 @@ def mark_published(outbox_rows: DataFrame, batch: DataFrame, as_of: Column,
     return marked.drop("tried")
 
 
+def with_status(outbox_rows: DataFrame, status: DataFrame) -> DataFrame:
+    """Outbox rows with what earlier publish runs stored of them (``OUTBOX_STATUS``)."""
+    known = status.select("event_id", F.col("publish_attempts").alias("tried"),
+                          F.col("published_at").alias("sent_at"))
+    return outbox_rows.join(known, "event_id", "left").withColumns({
+        "publish_attempts": F.coalesce("tried", "publish_attempts"),
+        "published_at": F.coalesce("sent_at", "published_at")}).drop("tried", "sent_at")
+
+
+def status_after(batch: DataFrame, as_of: Column, errors: int = 0) -> DataFrame:
+    """What one publish run changes: a row for each row of its batch, and for no other.
+
+    Every row counts one more attempt; they become published only if no delivery failed.
+    """
+    published = F.col("published_at") if errors else as_of
+    return batch.select("event_id", (F.col("publish_attempts") + 1).alias("publish_attempts"),
+                        published.cast("timestamp").alias("published_at"))
+
+
 def publish_counts(batch: DataFrame, errors: int = 0) -> DataFrame:
     """Run counters of one publish run."""
     return batch.agg(F.count(F.lit(1)).alias("published")).withColumn("errors", F.lit(errors).cast("long"))

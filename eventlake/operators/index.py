@@ -11,6 +11,7 @@ from eventlake.operators.heavy import first_per_key
 from eventlake.operators.joins import checked_broadcast
 from eventlake.operators.mergetable import MergeTable, fold
 from eventlake.sources.schemas import CHECKPOINT, INDEX_RECORD, record
+from eventlake.sources.tables import read_dataset
 
 RECORD_KEY = ["dataset", "record_id"]
 BATCH_PER_DATASET = 200
@@ -94,7 +95,7 @@ def set_checkpoint(checkpoints: DataFrame, dataset: str, offset: int, updated_at
 
 def source_index_rows(source: DataFrame, dataset: str, indexed_at: Column) -> DataFrame:
     """Index rows of one dataset taken straight from its source-of-truth records."""
-    return source.where(F.col("dataset") == F.lit(dataset)).select(
+    return read_dataset(source, dataset).select(
         *RECORD_KEY, "payload", "version", indexed_at.cast("long").alias("indexed_at"),
         F.lit(0).alias("tombstone"))
 

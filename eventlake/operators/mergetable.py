@@ -58,10 +58,11 @@ class MergeTable:
         rows = self.read() if merged is None else merged
         target = f"{self.path}/gen={self._generation() + 1}/{BASE}"
         rows.select(*self.schema.names).write.mode("overwrite").parquet(target)
+        self.drop_old_generations(keep=2)
 
-    def drop_old_generations(self) -> None:
-        """Free the space of generations no reader can still be on."""
-        for generation in range(self._generation()):
+    def drop_old_generations(self, keep: int = 1) -> None:
+        """Free the space of all but the last ``keep`` generations; readers may be on the one before."""
+        for generation in range(max(0, self._generation() - keep + 1)):
             self._files().delete(self._file(f"{self.path}/gen={generation}"), True)
 
     def _generation_path(self) -> str:

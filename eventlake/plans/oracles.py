@@ -343,6 +343,7 @@ MERGED = """merged AS (
     PARTITION BY dataset, record_id ORDER BY version DESC, stored DESC) = 1)"""
 
 ORACLES["capture_versions"] = _with("SELECT * FROM log", LOG)
+ORACLES["capture_versions_in_steps"] = ORACLES["capture_versions"]
 ORACLES["source_state"] = _with("SELECT * FROM source", LOG, SOURCE)
 
 IMAGES = """steps AS (
@@ -390,6 +391,12 @@ OUTBOX_ROWS = "SELECT * EXCLUDE (customer_id, amount_kobo, currency, status) FRO
 
 ORACLES["outbox_created"] = _with(f"{OUTBOX_ROWS} WHERE event_type = 'order.created'", IMAGES)
 ORACLES["outbox_updated"] = _with(f"{OUTBOX_ROWS} WHERE event_type = 'order.updated'", IMAGES)
+ORACLES["outbox_in_steps"] = _with(OUTBOX_ROWS, IMAGES)
+ORACLES["outbox_two_runs"] = _with("""
+SELECT event_id, CAST(CASE WHEN place <= 200 THEN 1 ELSE 2 END AS BIGINT) AS publish_attempts,
+  CASE WHEN place <= 200 THEN TIMESTAMP '2024-01-29' ELSE TIMESTAMP '2024-01-31' END AS published_at
+FROM (SELECT event_id, row_number() OVER (ORDER BY created_at, seq) AS place FROM outbox)
+WHERE place <= 400""", IMAGES)
 ORACLES["outbox_next_batch"] = _with("""
 SELECT seq, aggregate_id, event_type, idempotency_key, created_at FROM outbox
 ORDER BY created_at, seq LIMIT 200""", IMAGES)
@@ -550,6 +557,16 @@ FULL JOIN wh ON c.order_id = wh.order_id GROUP BY 1""", IMAGES, MESSAGES, WAREHO
 
 for _name in ("stream_rollup", "stream_rollup_early"):
     ORACLES[_name] = _with("SELECT * FROM rollups", EVENTS, HOURLY_ENDPOINT)
+VALID = f"""valid AS (
+  SELECT * REPLACE (CASE WHEN event_id % 29 = 0 THEN 1.0 ELSE value END AS value) FROM ev
+  WHERE {REASON} IS NULL)"""
+ORACLES["stream_history"] = _with(
+    "SELECT *, window_end AS updated_at FROM rollups", EVENTS, VALID, _rollup_cte(3600, ("endpoint",), "valid"))
 ORACLES["stream_features"] = ORACLES["features_per_event"]
+ORACLES["stream_features_json"] = ORACLES["features_per_event"]
+ORACLES["stream_features_timer"] = _with("""
+SELECT member_id, count(*) AS timers, count(*) AS boundaries, CAST(0 AS BIGINT) AS off_boundary
+FROM (SELECT DISTINCT member_id, ts_ms // 300000 * 300000 + 300000 AS boundary FROM me)
+WHERE boundary <= (SELECT max(ts_ms) FROM me) - 30000 GROUP BY member_id""", MEMBERS)
 ORACLES["stream_progress"] = """
-SELECT count(*) AS input_rows, CAST(0 AS BIGINT) AS dropped_late_rows FROM events"""
+SELECT count(*) + 1 AS input_rows, CAST(0 AS BIGINT) AS dropped_late_rows FROM events"""

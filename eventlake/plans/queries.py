@@ -11,6 +11,7 @@ from eventlake.functions.keys import clean_dim, clean_dims, dims_hash, dims_json
 from eventlake.functions.times import zoneless
 from eventlake.operators import (
     capture, features, freshness, index, quality, rollups, serving, warehouse)
+from eventlake.operators.mergetable import MergeTable, fold
 from eventlake.plans import fixtures as fx
 from eventlake.session import apply_settings, scratch_dir, streaming_session
 from eventlake.sources import members, tables
@@ -28,7 +29,6 @@ MONEY = "decimal(18,2)"
 AS_OF_S = 1_706_659_200  # 2024-01-31 00:00:00 UTC
 AS_OF_MS = AS_OF_S * 1000
 HOUR, DAY = 3600, 86400
-MONTH_OF_HOURS = 31 * 24  # lateness that covers the whole table, whatever order its files arrive in
 TRIGGER_BYTES = 1 << 30
 
 QUERIES: dict[str, Query] = {}
@@ -333,6 +333,51 @@ def source_state(spark, folder):
     return capture.source_state(fx.change_log(spark, folder))
 
 
+def _in_three(rows: DataFrame, step: int) -> DataFrame:
+    """The ``step``-th third of a log by sequence number."""
+    return rows.where(F.floor(F.col("seq") * 3 / (rows.agg(F.max("seq")).scalar() + 1)) == step)
+
+
+@query
+def capture_versions_in_steps(spark, folder):
+    """The log in three batches; versions go on from the stored records."""
+    mutations, out = fx.record_mutations(spark, folder), scratch_dir(spark, "versions")
+    kept = record(dataset="string", record_id="string", op="string", version="long", seq="long")
+    store = MergeTable(spark, scratch_dir(spark, "records"), kept, list(capture.RECORD_KEY), ["seq"])
+    for step in range(3):
+        alive = store.read().where(F.col("op") != "delete")
+        events = capture.assign_versions(_in_three(mutations, step), alive)
+        events.write.parquet(f"{out}/step={step}")
+        events = spark.read.parquet(f"{out}/step={step}")
+        store.write(capture.last_changes(events.select(*kept.names)), "run", step)
+    return spark.read.parquet(out).select(
+        F.col("seq").alias("offset"), "dataset", "record_id", "op", "payload", "version", "event_ts")
+
+
+@query
+def outbox_in_steps(spark, folder):
+    """Order changes in three batches; patches go on from the stored orders."""
+    mutations, out = fx.order_mutations(spark, folder), scratch_dir(spark, "outbox")
+    kept = record(**{n: "long" if n == "amount_kobo" else "string" for n in capture.ORDER_FIELDS}, seq="long")
+    store = MergeTable(spark, scratch_dir(spark, "orders"), kept, ["order_id"], ["seq"])
+    for step in range(3):
+        images = capture.after_images(_in_three(mutations, step), store.read())
+        images.write.parquet(f"{out}/step={step}")
+        store.write(fold(spark.read.parquet(f"{out}/step={step}").select(*kept.names), ["order_id"], ["seq"]), "run", step)
+    return _flat(capture.outbox(spark.read.parquet(out).drop("step")).drop("published_at"))
+
+
+@query
+def outbox_two_runs(spark, folder):
+    """A run publishes a batch, the next one fails, a third sends the failed batch again."""
+    rows = fx.order_outbox(spark, folder)
+    store = MergeTable(spark, scratch_dir(spark, "status"), capture.OUTBOX_STATUS, ["event_id"], ["publish_attempts"])
+    for run, errors in enumerate((0, 1, 0)):
+        batch = capture.next_to_publish(capture.with_status(rows, store.read()))
+        store.write(capture.status_after(batch, _moment(("2024-01-29", "2024-01-30", "2024-01-31")[run]), errors), "run", run)
+    return _flat(store.read())
+
+
 @query
 def outbox_created(spark, folder):
     rows = capture.outbox(capture.after_images(fx.order_mutations(spark, folder)))
@@ -598,63 +643,163 @@ def _created_source(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- streams -------------------------------------------------------------------------------------
 
+STREAM_PARTS = 4
+
+
 def _as_stream(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
-    """Rows written to the shared folder and read back as a stream."""
+    """Rows written to the shared folder and read back as a stream of ``STREAM_PARTS`` micro-batches."""
     folder = scratch_dir(spark, purpose)
-    rows.write.parquet(folder)
-    return file_stream(spark, folder, rows.schema, max_bytes_per_trigger=TRIGGER_BYTES)
+    files = max(STREAM_PARTS, spark.sparkContext.defaultParallelism // STREAM_PARTS * STREAM_PARTS)
+    rows.repartition(files).write.parquet(folder)
+    return file_stream(spark, folder, rows.schema, max_files_per_trigger=files // STREAM_PARTS)
+
 
+def _span(events: DataFrame, ts: Column) -> int:
+    """Seconds from the first to the last event: lateness that lets files come in any order."""
+    first, last = events.agg(F.min(ts), F.max(ts)).first()
+    return int(last - first) + 1 if first is not None else 1
 
-def _closing_event(events: DataFrame) -> DataFrame:
+
+def _lateness(events: DataFrame, window_seconds: int) -> int:
+    return _span(events, F.unix_seconds("ts")) // window_seconds + 1
+
+
+def _closing_event(events: DataFrame, after_s: int) -> DataFrame:
     """One event long after the rest, whose arrival closes every earlier window."""
     blank = {c: F.lit(None).cast(events.schema[c].dataType) for c in events.columns}
-    end = events.agg((F.max("ts") + F.expr("INTERVAL 100 DAYS")).alias("ts"))
+    end = events.agg(F.timestamp_seconds(F.unix_seconds(F.max("ts")) + 2 * after_s).alias("ts"))
     return end.select(*[{**blank, "ts": F.col("ts")}[c].alias(c) for c in events.columns])
 
 
+def _closed_stream(session: SparkSession, folder: str) -> tuple[DataFrame, dict]:
+    """The event stream, a far later event that closes its last window, and the options it needs."""
+    events = fx.metric_events(session, folder)
+    lateness = _lateness(events, HOUR)
+    # The closing event comes with a later file: first all events, then it alone.
+    source = scratch_dir(session, "stream-events")
+    files = max(STREAM_PARTS, session.sparkContext.defaultParallelism // STREAM_PARTS * STREAM_PARTS)
+    events.repartition(files).write.parquet(source)
+    stream = file_stream(session, source, events.schema, max_files_per_trigger=files // STREAM_PARTS)
+    _closing_event(events, (lateness + 2) * HOUR).write.mode("append").parquet(source)
+    return stream, {"window_seconds": HOUR, "dims": ("endpoint",), "sum_type": MONEY, "lateness_windows": lateness}
+
+
 @query
 def stream_rollup(spark, folder):
-    """Final hourly rollups of the event stream; a far later event closes the last window."""
+    """Final hourly rollups of the event stream."""
     session = streaming_session(spark)
-    events = fx.metric_events(session, folder)
-    stream = _as_stream(session, events.unionByName(_closing_event(events)), "stream-events")
-    out = scratch_dir(session, "stream-rollups")
-    final = rollup_streams.closed_rollups(stream, HOUR, ("endpoint",), sum_type=MONEY,
-                                          lateness_windows=MONTH_OF_HOURS)
-    sinks.to_files(final, out, scratch_dir(session, "stream-checkpoint")).awaitTermination()
+    stream, options = _closed_stream(session, folder)
+    out, log = scratch_dir(session, "stream-rollups"), progress.ProgressLog(session, scratch_dir(session, "progress"))
+    final = rollup_streams.closed_rollups(stream, **options)
+    log.complete(sinks.to_files(final, out, scratch_dir(session, "stream-checkpoint")))
     return _flat(spark.read.schema(final.schema).parquet(out))
 
 
+@query
+def stream_history(spark, folder):
+    """Raw JSON text, checked and rolled up as a stream, written to the history table."""
+    session = streaming_session(spark)
+    messages = fx.raw_messages(session, folder)
+    events = usable(validate_events(messages))
+    lateness = _lateness(events, HOUR)
+    end = _closing_event(events, (lateness + 2) * HOUR).select(
+        F.lit(-1).cast("long").alias("offset"), F.to_json(F.struct(
+            F.lit("end").alias("event_id"), F.lit("end").alias("event_type"), F.lit("end").alias("metric"),
+            F.unix_millis("ts").alias("ts"))).alias("value"))
+    source = scratch_dir(session, "stream-text")
+    messages.repartition(STREAM_PARTS).write.parquet(source)
+    end.write.mode("append").parquet(source)
+    stream = usable(validate_events(file_stream(session, source, messages.schema, max_files_per_trigger=1)))
+    table = rollup_streams.history_table(session, scratch_dir(session, "stream-history"))
+    log = progress.ProgressLog(session, scratch_dir(session, "progress"))
+    log.complete(rollup_streams.follow_history(
+        stream, table, "run", scratch_dir(session, "stream-checkpoint"), F.col("window_end"), every=None, compact_every=2,
+        window_seconds=HOUR, dims=("endpoint",), sum_type=MONEY, lateness_windows=lateness))
+    return _flat(table.read())
+
+
 @query
 def stream_rollup_early(spark, folder):
-    """Rollups readable while their windows are open."""
+    """Rollups readable while their windows are open; two runs over the two halves add up."""
     session = streaming_session(spark)
-    stream = _as_stream(session, fx.metric_events(session, folder), "stream-events")
+    events = fx.metric_events(session, folder)
     store = rollup_streams.RollupStore(session, scratch_dir(session, "stream-cells"), ("endpoint",),
                                        sum_type=MONEY)
-    store.follow(stream, "run", scratch_dir(session, "stream-checkpoint"),
-                 window_seconds=HOUR, lateness_windows=MONTH_OF_HOURS).awaitTermination()
+    for half in (0, 1):
+        part = events.where(F.col("event_id").cast("long") % 2 == half)
+        log = progress.ProgressLog(session, scratch_dir(session, "progress"))
+        log.complete(store.follow(
+            _as_stream(session, part, "stream-events"), f"run-{half}", scratch_dir(session, "stream-checkpoint"),
+            compact_every=2, window_seconds=HOUR, lateness_windows=_lateness(events, HOUR)))
     return _flat(store.read())
 
 
+def _member_stream(spark: SparkSession, folder: str, rows: DataFrame, unify) -> DataFrame:
+    """Feature snapshots of member rows that arrive in time order, in three runs of one stream.
+
+    ``unify`` turns the stream of ``rows`` into member events. Every run goes on from the checkpoint.
+    """
+    session = rows.sparkSession
+    source, out, checkpoint = (scratch_dir(session, p) for p in ("stream-members", "stream-features", "stream-checkpoint"))
+    last = rows.agg(F.max("seq")).scalar()
+    snapshots = None
+    for part in range(3):
+        arrived = F.floor(F.col("seq") * 3 / (last + 1)) == part
+        rows.where(arrived).write.mode("append").parquet(source)
+        stream = unify(file_stream(session, source, rows.schema, max_bytes_per_trigger=TRIGGER_BYTES))
+        snapshots = feature_streams.feature_stream(stream)
+        log = progress.ProgressLog(session, scratch_dir(session, "progress"))
+        log.complete(sinks.to_files(snapshots, out, checkpoint))
+    return spark.read.schema(snapshots.schema).parquet(out)
+
+
 @query
 def stream_features(spark, folder):
     session = streaming_session(spark)
-    stream = _as_stream(session, fx.member_events(session, folder), "stream-members")
-    out = scratch_dir(session, "stream-features")
-    snapshots = feature_streams.feature_stream(stream, delay="31 days")
-    sinks.to_files(snapshots, out, scratch_dir(session, "stream-checkpoint")).awaitTermination()
-    rows = spark.read.schema(snapshots.schema).parquet(out)
+    rows = _member_stream(spark, folder, fx.member_events(session, folder), lambda stream: stream)
     return _flat_features(rows.where(F.col("kind") != "TIMER"))
 
 
+@query
+def stream_features_timer(spark, folder):
+    """The timer rows of the member stream: one for each boundary its last watermark has passed."""
+    session = streaming_session(spark)
+    rows = _member_stream(spark, folder, fx.member_events(session, folder), lambda stream: stream)
+    return rows.where(F.col("kind") == "TIMER").groupBy("member_id").agg(
+        F.count(F.lit(1)).alias("timers"), F.countDistinct("snapshot_ts_ms").alias("boundaries"),
+        F.count_if(F.col("snapshot_ts_ms") % features.TIMER_MS != 0).alias("off_boundary"))
+
+
+@query
+def stream_features_json(spark, folder):
+    """Both topics as JSON text, broken records among them: decode, unify, features."""
+    session = streaming_session(spark)
+    topics = fx.member_messages(session, folder, "ACTIVITY").withColumn("topic", F.lit("activity")).unionByName(
+        fx.member_messages(session, folder, "MESSAGE").withColumn("topic", F.lit("messages")))
+    rows = topics.withColumn("seq", F.col("offset") % fx.LATE_OFFSET)
+
+    def unify(stream: DataFrame) -> DataFrame:
+        of = lambda topic: stream.where(F.col("topic") == topic).select("offset", "value")
+        return features.unify(usable(members.activity_events(of("activity"))), usable(members.messaging_events(of("messages"))))
+
+    found = _member_stream(spark, folder, rows, unify)
+    return _flat_features(found.where(F.col("kind") != "TIMER"))
+
+
 @query
 def stream_warehouse(spark, folder):
+    """The topic arrives in three parts, in offset order, with second deliveries in later parts; every
+    part is a run of the same stream, going on from its checkpoint."""
     session = streaming_session(spark)
-    messages = _as_stream(session, fx.order_messages(session, folder), "stream-orders")
+    messages = fx.order_messages(session, folder)
+    last = messages.where(F.col("offset") < fx.LATE_OFFSET).agg(F.max("offset")).scalar()
+    source, checkpoint = scratch_dir(session, "stream-orders"), scratch_dir(session, "stream-checkpoint")
     store = warehouse.Warehouse(session, scratch_dir(session, "stream-warehouse"))
-    warehouse_streams.ingest(
-        messages, store, "run", scratch_dir(session, "stream-checkpoint")).awaitTermination()
+    for part in range(3):
+        arrived = F.least(F.lit(2), F.floor(F.col("offset") * 3 / (last + 1))) == part
+        messages.where(arrived).write.mode("append").parquet(source)
+        stream = file_stream(session, source, messages.schema, max_bytes_per_trigger=TRIGGER_BYTES)
+        warehouse_streams.ingest(stream, store, "run", checkpoint, compact_every=2).awaitTermination()
     return _flat(store.orders.read())
 
 
@@ -670,14 +815,12 @@ def stream_index(spark, folder):
 
 @query
 def stream_progress(spark, folder):
-    """Rows a rollup stream reports to have read and to have dropped as late."""
+    """Rows a rollup stream reports to have read and to have dropped as late, from the stored reports."""
     session = streaming_session(spark)
-    stream = _as_stream(session, fx.metric_events(session, folder), "stream-events")
-    final = rollup_streams.closed_rollups(stream, HOUR, ("endpoint",), sum_type=MONEY,
-                                          lateness_windows=MONTH_OF_HOURS)
-    started = sinks.to_files(final, scratch_dir(session, "stream-rollups"),
-                             scratch_dir(session, "stream-checkpoint"))
-    started.awaitTermination()
-    reports = progress.progress_table(session, started.recentProgress)
+    stream, options = _closed_stream(session, folder)
+    log = progress.ProgressLog(session, scratch_dir(session, "progress"), every=2)
+    reports = log.complete(sinks.to_files(
+        rollup_streams.closed_rollups(stream, **options), scratch_dir(session, "stream-rollups"),
+        scratch_dir(session, "stream-checkpoint")))
     return reports.agg(F.sum("input_rows").alias("input_rows"),
                        F.sum("dropped_late_rows").alias("dropped_late_rows"))

@@ -29,3 +29,8 @@ CHECKPOINT = record(
 INDEX_RECORD = record(
     dataset="string", record_id="string", payload="string", version="long", indexed_at="long",
     tombstone="integer")
+LAKE = record(
+    ingested_at="timestamp", event_id="string", event_type="string", aggregate_id="string",
+    idempotency_key="string", schema_version="integer", payload_json="string", emitted_at="string",
+    topic="string", partition="integer", offset="long", applied_at="timestamp", date="date",
+    run="string", batch_id="long")

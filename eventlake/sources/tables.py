@@ -6,6 +6,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from eventlake.sources.schemas import LAKE
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One Parquet table, with zone-less timestamps read as UTC timestamps."""
@@ -15,9 +17,13 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def read_lake(spark: SparkSession, root: str, first: date | None = None,
-              last: date | None = None) -> DataFrame:
-    """The raw envelope lake, pruned to the ingest dates ``first`` to ``last`` inclusive."""
-    lake = spark.read.option("mergeSchema", "true").parquet(root)
+              last: date | None = None, schema: T.StructType = LAKE) -> DataFrame:
+    """The raw envelope lake, pruned to the ingest dates ``first`` to ``last`` inclusive.
+
+    The schema is given, so that no file footer is opened before the folders are pruned; columns a
+    file lacks are null.
+    """
+    lake = spark.read.schema(schema).parquet(root)
     if first is not None:
         lake = lake.where(F.col("date") >= F.lit(first))
     if last is not None:

@@ -23,6 +23,8 @@ WATERMARK_DELAY = "30 seconds"
 RETENTION_MS = {"minute": DAY_MS, "hour": 7 * DAY_MS}
 BUCKET_MS = {"minute": MINUTE_MS, "hour": HOUR_MS}
 LAST_SENT_RETENTION_MS = 90 * DAY_MS
+# How long a member's parts outlive the last event that wrote them.
+IDLE_MS = {"minute": 26 * HOUR_MS, "hour": 8 * DAY_MS, "sent": LAST_SENT_RETENTION_MS}
 
 OUTPUT = record(
     kind="string", seq="long", member_id="string", snapshot_ts_ms="long", last_activity_ts_ms="long",
@@ -133,6 +135,20 @@ class Member:
                 self.counts[bucket] = BucketCounts(kept, counts.width)
         self.sent = {c: ts for c, ts in self.sent.items() if ts >= now - LAST_SENT_RETENTION_MS}
 
+    def leaves_at(self) -> int | None:
+        """When the next part of an idle member may go; None if there is none."""
+        newest = {bucket: counts.starts[-1] if counts.starts else None for bucket, counts in self.counts.items()}
+        newest["sent"] = max(self.sent.values(), default=None)
+        return min((at + IDLE_MS[part] for part, at in newest.items() if at is not None), default=None)
+
+    def let_go(self, now: int) -> None:
+        """Drop the parts of an idle member whose time is over."""
+        for bucket, counts in self.counts.items():
+            if counts.starts and counts.starts[-1] + IDLE_MS[bucket] <= now:
+                self.counts[bucket] = BucketCounts({}, counts.width)
+        if self.sent and max(self.sent.values()) + IDLE_MS["sent"] <= now:
+            self.sent = {}
+
     def snapshot(self, key: Any, kind: str, seq: int | None, now: int) -> Row:
         trailing = [
             self.counts[bucket].since(_floor(now - back * size, size))[COUNTERS[bucket].index(counter)]
@@ -145,7 +161,8 @@ class MemberFeatures(StatefulProcessor):
 
     Rows are taken in arrival order (``seq``), so the last send to arrive wins, while the last
     activity is the latest one. A micro-batch holds as many rows of a member as the source's rate
-    cap lets through. Boundaries wait in the state; the timer stands at the first of them.
+    cap lets through. Boundaries wait in the state; the timer stands at the first of them. After the
+    last one it stands where a part of the idle member may go, and with the last part goes the state.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -162,7 +179,18 @@ class MemberFeatures(StatefulProcessor):
             self.handle.registerTimer(member.boundaries[0])
         self.state.update(member.stored())
 
+    def _wait(self, member: Member) -> None:
+        """Stand the timer at what comes next and keep the state, or end both."""
+        at = member.boundaries[0] if member.boundaries else member.leaves_at()
+        if at is None:
+            self.state.clear()
+        else:
+            self.handle.registerTimer(at)
+            self.state.update(member.stored())
+
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+        if not self.state.exists():
+            return
         member = self._load()
         watermark = timerValues.getCurrentWatermarkInMs()
         due = [b for b in member.boundaries if b <= watermark]
@@ -170,9 +198,9 @@ class MemberFeatures(StatefulProcessor):
         for boundary in due:
             member.forget(boundary)
             yield member.snapshot(key, "TIMER", None, boundary)
-        if member.boundaries:
-            self.handle.registerTimer(member.boundaries[0])
-        self.state.update(member.stored())
+        if not member.boundaries:
+            member.let_go(watermark)
+        self._wait(member)
 
     def close(self) -> None:
         pass

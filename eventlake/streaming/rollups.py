@@ -16,7 +16,7 @@ from eventlake.operators.rollups import (
     DEFAULT_DIMS, DEFAULT_WINDOW_SECONDS, LATENESS_WINDOWS, ROLLUP_KEY, clean_dim_columns,
     exact_sum, person, with_dims_key)
 from eventlake.sources.schemas import record
-from eventlake.streaming.sinks import each_batch
+from eventlake.streaming.sinks import COMPACT_EVERY, FLUSH_INTERVAL, each_batch
 
 ROLLUP_COLUMNS = ("window_start", "window_end", "metric", "dims_hash", "dims", "count", "sum",
                   "uniques")
@@ -64,8 +64,10 @@ def closed_rollups(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECON
 class RollupStore:
     """Rollups that are readable early and corrected while late events come in.
 
-    Each micro-batch stores the user cells it changed. A cell only ever grows, so the largest count
-    is its newest state, whatever order batches or reruns are read in.
+    Each micro-batch stores the user cells it changed. Inside a run (a checkpoint) a cell only ever
+    grows, so its largest count is its newest state, whatever order batches are read in. Runs follow
+    one another over different events, so their cells are added up. Reading the same events again is
+    a replay: it starts a new generation without the earlier cells.
     """
 
     def __init__(self, spark: SparkSession, root: str, dims: Sequence[str] = DEFAULT_DIMS,
@@ -73,20 +75,34 @@ class RollupStore:
         self.dims, self.sum_type = list(dims), sum_type
         schema = record(
             window=record(start="timestamp", end="timestamp"), metric="string",
-            **{name: "string" for name in [*self.dims, "user_id"]}, count="long", sum="double")
-        self.cells = MergeTable(spark, f"{root}/cells", schema,
-                                ["window", "metric", *self.dims, "user_id"], ["count"])
+            **{name: "string" for name in [*self.dims, "user_id", "source"]}, count="long", sum="double")
+        self.cell_key = ["window", "metric", *self.dims, "user_id"]
+        self.cells = MergeTable(spark, f"{root}/cells", schema, [*self.cell_key, "source"], ["count"])
+        self.runs = MergeTable(spark, f"{root}/runs", record(source="string", checkpoint="string"),
+                               ["source"], ["checkpoint"])
 
     def follow(self, events: DataFrame, run: str, checkpoint: str, every: str | None = None,
-               compact_every: int | None = None, **options) -> StreamingQuery:
-        """Keep the store up to date with a stream; ``options`` are those of ``user_cells``."""
+               compact_every: int | None = COMPACT_EVERY, replay: bool = False, **options) -> StreamingQuery:
+        """Keep the store up to date with a stream; ``options`` are those of ``user_cells``.
+
+        A run goes on from its own checkpoint. The name of a run with another checkpoint is refused,
+        because it would be unclear whether its events were counted before.
+        """
+        known = self.runs.read().where(F.col("source") == F.lit(run)).first()
+        if replay:
+            self.cells.compact(self.cells.read().limit(0))
+        elif known and known["checkpoint"] != checkpoint:
+            raise ValueError(f"run {run!r} has another checkpoint; name a new run or ask for a replay")
+        self.runs.write(self.runs.spark.createDataFrame([(run, checkpoint)], self.runs.schema), run, 0)
         cells = user_cells(events, dims=self.dims, sum_type=self.sum_type, **options)
-        return each_batch(cells, lambda batch, batch_id: self.cells.write(batch, run, batch_id),
-                          checkpoint, "update", every, self.cells.compact, compact_every)
+        return each_batch(
+            cells, lambda batch, batch_id: self.cells.write(batch.withColumn("source", F.lit(run)), run, batch_id),
+            checkpoint, "update", every, self.cells.compact, compact_every)
 
     def read(self) -> DataFrame:
-        totals = _per_group(self.cells.read(), "window", self.dims, self.sum_type)
-        return _finish(totals, self.dims)
+        cells = self.cells.read().groupBy(*self.cell_key).agg(
+            F.sum("count").alias("count"), exact_sum(F.col("sum"), self.sum_type).alias("sum"))
+        return _finish(_per_group(cells, "window", self.dims, self.sum_type), self.dims)
 
 
 HISTORY = record(
@@ -95,6 +111,20 @@ HISTORY = record(
     updated_at="timestamp")
 
 
+def follow_history(events: DataFrame, table: MergeTable, run: str, checkpoint: str,
+                   updated_at=None, every: str | None = FLUSH_INTERVAL,
+                   compact_every: int | None = COMPACT_EVERY, **options) -> StreamingQuery:
+    """Write every finished rollup of a stream into ``history_table`` at the flush cadence.
+
+    ``every=None`` stops after what is there. ``updated_at`` is the time of the flush unless given.
+    """
+    stamp = F.current_timestamp() if updated_at is None else updated_at
+    final = closed_rollups(events, **options)
+    return each_batch(
+        final, lambda batch, batch_id: table.write(batch.withColumn("updated_at", stamp), run, batch_id),
+        checkpoint, "append", every, table.compact, compact_every)
+
+
 def history_table(spark: SparkSession, path: str) -> MergeTable:
     """Durable rollups by natural key: writing a key again replaces its values."""
     return MergeTable(spark, path, HISTORY, list(ROLLUP_KEY), ["updated_at"])

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 FLUSH_INTERVAL = "2 seconds"
 FEATURE_INTERVAL = "30 seconds"
 POLL_INTERVAL = "1 second"
+COMPACT_EVERY = 500  # micro-batches between two compactions of a merged table
 
 # Field names of the feature message.
 FEATURE_FIELDS = {
@@ -38,7 +39,7 @@ def writer(stream: DataFrame, checkpoint: str, output_mode: str,
 def each_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str,
                output_mode: str = "append", every: str | None = None,
                compact: Callable[[], None] | None = None,
-               compact_every: int | None = None) -> StreamingQuery:
+               compact_every: int | None = COMPACT_EVERY) -> StreamingQuery:
     """Run ``handle(batch, batch_id)`` on every micro-batch; it must tolerate a repeated batch.
 
     Before every ``compact_every``-th batch the target is compacted, when no write is under way.

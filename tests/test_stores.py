@@ -224,3 +224,12 @@ def test_scratch_folder_comes_from_the_session(spark):
     path = scratch_dir(spark, "x")
     assert path.startswith(base.rstrip("/") + "/x-") if base else "eventlake-scratch/x-" in path
     assert scratch_dir(spark, "x") != path
+
+
+def test_a_retry_after_midnight_replaces_the_batch(spark, tmp_path):
+    """The ingest date comes from the messages, so it does not matter when the batch runs."""
+    store = warehouse.Warehouse(spark, str(tmp_path))
+    for _ in range(2):
+        store.apply_batch(envelope(spark, (1, order("k1")), (86_500, order("k2", "o-2"))), "r", 0)
+    lake = read_lake(spark, store.lake_path)
+    assert sorted((r.offset, str(r.date)) for r in lake.collect()) == [(1, "1970-01-02"), (86_500, "1970-01-02")]
