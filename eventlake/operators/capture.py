@@ -10,7 +10,7 @@ from eventlake.functions.keys import (
     derived_uuid, idempotency_key, idempotency_text, spaced_json)
 from eventlake.functions.times import iso_utc
 from eventlake.operators.heavy import (
-    HEAVY_ROWS, before_chunk, chunk_of, forward_fill, split_heavy)
+    HEAVY_ROWS, before_chunk, forward_fill, in_chunks, split_heavy)
 from eventlake.sources.schemas import record
 
 RECORD_KEY = ("dataset", "record_id")
@@ -54,7 +54,7 @@ def assign_versions(mutations: DataFrame, existing: DataFrame | None = None,
         ).drop("place", "last_delete", "known")
 
     def chunked(rows: DataFrame) -> DataFrame:
-        placed = place(rows.withColumn("chunk", chunk_of(F.col("seq"), heavy_rows)), [*keys, "chunk"])
+        placed = place(in_chunks(rows, [*keys, "seq"], heavy_rows=heavy_rows), [*keys, "chunk"])
         totals = placed.groupBy(*keys, "chunk").agg(
             F.max("place").alias("rows"), F.max(F.when(deleted, F.col("place"))).alias("final_delete"))
         earlier = before_chunk(keys, ["chunk"])

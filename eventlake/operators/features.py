@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventlake.functions.times import (
     DAY_MS, HOUR_MS, MINUTE_MS, bucket_floor, bucket_number, next_boundary)
-from eventlake.operators.heavy import HEAVY_ROWS, chunk_of, before_chunk, heavy_keys, split_heavy
+from eventlake.operators.heavy import HEAVY_ROWS, before_chunk, in_chunks, split_heavy
 
 TIMER_MS = 5 * MINUTE_MS
 MOST_CHANNELS = 100  # entries of the last-sent map; more are a fault in the data
@@ -208,17 +208,13 @@ def _whole_member(rows: DataFrame, latest: Sequence[str]) -> DataFrame:
 
 
 def _member_in_chunks(rows: DataFrame, latest: Sequence[str], heavy_rows: int) -> DataFrame:
-    """Members with very many rows: one chunk per minute, and smaller ones inside a heavy minute.
+    """Members with very many rows: one chunk per minute, and several for a minute with many rows.
 
-    Chunk totals of a member are bounded by the calendar; a heavy minute is cut by millisecond and,
-    within one, by blocks of the unique sequence number.
+    Chunk totals of a member are bounded by the calendar plus the number of ranges its rows take.
     """
     chunk = ["slice", "block"]
-    crowded = heavy_keys(rows, ["member_id", "minute"], heavy_rows).withColumn("crowded", F.lit(True))
-    rows = rows.join(F.broadcast(crowded), ["member_id", "minute"], "left").withColumns({
-        "slice": F.when(F.col("crowded"), F.col("ts_ms")).otherwise(F.col("minute") * MINUTE_MS),
-        "block": F.when(F.col("crowded"), chunk_of(F.col("seq"), heavy_rows)).otherwise(F.lit(0)),
-    })
+    rows = in_chunks(rows, ["member_id", "ts_ms", "seq"], "block", heavy_rows).withColumn(
+        "slice", F.col("minute") * MINUTE_MS)
     totals = rows.groupBy("member_id", "minute", "hour", *chunk).agg(
         *[F.sum(c).alias(c) for c in COUNTERS], *[F.max(c).alias(c) for c in latest])
     earlier = before_chunk(["member_id"], chunk)

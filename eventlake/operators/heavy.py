@@ -2,17 +2,19 @@
 
 A window partitioned by a key runs in one task per key, which fails when one key owns a large share
 of the rows. Keys with more than ``heavy_rows`` rows therefore take another road: their rows are cut
-into ordered chunks of bounded size, every chunk is worked on by itself, and a small table of chunk
+into ordered chunks of about equal size, every chunk is worked on by itself, and a small table of chunk
 totals carries the running state from chunk to chunk. Both roads give the same rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from eventlake.functions.times import bucket_number
+from eventlake.operators.joins import checked_broadcast
+from eventlake.session import stored
 
 # Rows one task may hold for one key. It also bounds the broadcast list of heavy keys: a table of N
 # rows has fewer than N / HEAVY_ROWS of them.
@@ -37,14 +39,21 @@ def split_heavy(df: DataFrame, keys: Sequence[str], light: Callable[[DataFrame],
     listed = heavy_keys(df if counted is None else counted, keys, heavy_rows)
     if listed.isEmpty():
         return light(df)
-    listed = F.broadcast(listed)
+    listed = checked_broadcast(listed)
     return light(df.join(listed, list(keys), "left_anti")).unionByName(
         heavy(df.join(listed, list(keys), "left_semi")))
 
 
-def chunk_of(sequence: Column, heavy_rows: int = HEAVY_ROWS) -> Column:
-    """Chunk number by a unique integer order: a chunk holds at most ``heavy_rows`` rows."""
-    return bucket_number(sequence, heavy_rows)
+def in_chunks(df: DataFrame, order: Sequence[str], name: str = "chunk",
+              heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """``df`` with the number of its chunk: stretches of about ``heavy_rows`` rows in ``order``.
+
+    Chunks are the ranges of a range partitioning, so they follow the rank of the rows and not the
+    values, however sparse those are. Rows are stored once with their numbers, because ranges are
+    sampled and every use has to see the same.
+    """
+    chunks = max(1, math.ceil(df.count() / heavy_rows))
+    return stored(df.repartitionByRange(chunks, *order).withColumn(name, F.spark_partition_id().cast("long")))
 
 
 def before_chunk(keys: Sequence[str], chunk: Sequence[str]):
@@ -63,7 +72,7 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order: str, columns: Sequen
         return part.withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in columns})
 
     def chunked(part: DataFrame) -> DataFrame:
-        part = part.withColumn("chunk", chunk_of(F.col(order), heavy_rows))
+        part = in_chunks(part, [*keys, order], heavy_rows=heavy_rows)
         totals = part.groupBy(*keys, "chunk").agg(*[
             F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns])
         earlier = before_chunk(keys, ["chunk"])
@@ -84,7 +93,7 @@ def running_max(df: DataFrame, order: str, value: str, name: str,
     The log is one single group, so it is always cut into chunks; only one row per chunk meets in
     the window that has no partition key.
     """
-    chunked = df.withColumn("chunk", chunk_of(F.col(order), heavy_rows))
+    chunked = in_chunks(df, [order], heavy_rows=heavy_rows)
     totals = chunked.groupBy("chunk").agg(F.max(value).alias("chunk_max"))
     carry = totals.select(
         "chunk", F.max("chunk_max").over(before_chunk([], ["chunk"])).alias("carry_max"))

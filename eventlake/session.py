@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every operator relies on: event times are UTC, AQE re-plans joins and splits
 # skewed partitions, and stream state lives off-heap and is saved as changes, not as whole snapshots.
@@ -72,3 +72,11 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
         base = os.path.join(tempfile.gettempdir(), "eventlake-scratch")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once and written to the shared checkpoint folder, with its lineage cut."""
+    spark = df.sparkSession
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoints"))
+    return df.checkpoint()

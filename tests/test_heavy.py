@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 from eventlake.operators.capture import assign_versions
 from eventlake.operators.features import (
     feature_changelog, features_as_of, latest_features, unify)
-from eventlake.operators.heavy import first_per_key, forward_fill, heavy_keys, running_max
+from eventlake.operators.heavy import first_per_key, forward_fill, heavy_keys, in_chunks, running_max
 from eventlake.operators.index import apply_changes, index_rows
 from simulate import indexed, member_snapshots, versions
 
@@ -36,7 +36,7 @@ def mutations(spark, log):
 
 @pytest.mark.parametrize("heavy_rows", [PLAIN, CHUNKED, 1])
 def test_versions_equal_simulation(mutations, log, heavy_rows):
-    got = assign_versions(mutations, heavy_rows).orderBy("seq").collect()
+    got = assign_versions(mutations, heavy_rows=heavy_rows).orderBy("seq").collect()
     assert [r.version for r in got] == versions([(m[1], m[2]) for m in log])
     assert all((r.payload is None) == (r.op == "delete") for r in got)
 
@@ -168,3 +168,12 @@ def test_index_equals_one_by_one(spark, mutations, log):
     first = index_rows(events.where("offset <= 150"), F.lit(9).cast("long"))
     stepped = apply_changes(first, events.where("offset > 100"), F.lit(10).cast("long"))
     assert {r.record_id: (r.payload, r.version, r.tombstone) for r in stepped.collect()} == expected
+
+
+def test_sparse_sequences_make_no_more_chunks(spark):
+    """1,000 numbers spaced by 2^22: as many chunks as their rank asks for, in order."""
+    df = spark.range(1000).select((F.col("id") * (1 << 22)).alias("seq"))
+    parts = in_chunks(df, ["seq"], heavy_rows=100).groupBy("chunk").agg(
+        F.count(F.lit(1)).alias("n"), F.min("seq").alias("low"), F.max("seq").alias("high")).orderBy("chunk").collect()
+    assert 8 <= len(parts) <= 10 and max(p.n for p in parts) < 250
+    assert all(a.high < b.low for a, b in zip(parts, parts[1:]))
