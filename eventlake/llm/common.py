@@ -1,14 +1,16 @@
-"""What the operators share: result columns beside any input columns, word splitting, lineage cuts."""
+"""What the operators share: result columns beside any input columns, whole texts in batches, words."""
 
 from __future__ import annotations
 
-import os
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from eventlake.session import stored
+
+__all__ = ["alnum_words", "ascii_lower", "beside", "bind", "bound_batches", "fresh", "on_texts", "quoted", "stored", "text_key"]
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ARROW_ROWS, ARROW_BYTES = "2000", str(16 << 20)
 
@@ -55,20 +57,6 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the shared checkpoint folder, with its lineage cut."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        if not base:
-            if not context.master.startswith("local[") and context.master != "local":
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            base = os.path.join(tempfile.gettempdir(), "eventlake-scratch")
-        context.setCheckpointDir(base)
-    return df.checkpoint()
-
-
 def ascii_lower(text: Column) -> Column:
     """``text`` with A-Z in small letters and every other character as it is; null gives ''."""
     text = F.coalesce(text, F.lit(""))
