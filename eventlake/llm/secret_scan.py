@@ -44,22 +44,37 @@ FALSE_DISCOVERIES = 0.05
 STEPS = 20                # p-values are grouped by the STEPS-th part of a power of ten, rounded up
 SMALLEST = 7.0            # powers of ten
 MASK = "[SECRET]"
+SPANS = "array<struct<start:int,end:int,text:string>>"
+BLOCK = 256
 
 
 def _places(text: Column, form: str, keep: Callable[[Column], Column] | None = None) -> Column:
     """Start and end of every match of ``form``, leftmost and non-overlapping, in code points."""
     gaps = F.transform(F.split(text, form, -1), F.char_length)
     found = F.regexp_extract_all(text, F.lit(form), F.lit(0))
-    none = F.array().cast("array<struct<start:int,end:int,text:string>>")
+    none = F.array().cast(SPANS)
 
     def walk(parts: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-        one = lambda s, i: F.struct((s["at"] + parts["gaps"][i]).alias("start"),
-                                    (s["at"] + parts["gaps"][i] + F.char_length(parts["found"][i])).alias("end"),
-                                    parts["found"][i].alias("text"))
-        return F.aggregate(F.sequence(F.lit(0), F.size(parts["found"]) - 1), start, lambda s, i: bind(
-            one(s, i), lambda p: F.struct(p["end"].alias("at"), F.concat(s["out"], F.array(p)).alias("out"))),
-            lambda s: s["out"])
+        last = F.size(parts["found"]) - 1
+
+        def one(at: Column, i: Column) -> Column:
+            start = at + parts["gaps"][i]
+            return F.struct(start.alias("start"), (start + F.char_length(parts["found"][i])).alias("end"),
+                            parts["found"][i].alias("text"))
+
+        def step(s: Column, i: Column) -> Column:
+            return bind(one(s["at"], i), lambda p: F.struct(
+                p["end"].alias("at"), F.concat(s["out"], F.array(p)).alias("out")))
+
+        def block(s: Column, first: Column) -> Column:
+            start = F.struct(s["at"].alias("at"), none.alias("out"))
+            inner = F.aggregate(F.sequence(first, F.least(first + BLOCK - 1, last)), start, step)
+            return bind(inner, lambda e: F.struct(
+                e["at"].alias("at"), F.concat(s["out"], F.array(e["out"])).alias("out")))
+
+        # in blocks, so that a text with very many matches does not copy all of them for each
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("out"))
+        return F.flatten(F.aggregate(F.sequence(F.lit(0), last, F.lit(BLOCK)), start, block, lambda s: s["out"]))
 
     spans = F.when(F.rlike(text, F.lit(form)), bind(F.struct(gaps.alias("gaps"), found.alias("found")), walk)).otherwise(none)
     return F.filter(spans, lambda p: keep(p["text"])) if keep else spans
