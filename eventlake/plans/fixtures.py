@@ -49,7 +49,8 @@ def arriving_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Metric events as JSON text; some cut short, some without a metric, with a null or no value."""
+    """Metric events as JSON text; some cut short or followed by more text, some without a metric, with
+    a null or no value."""
     events = metric_events(spark, folder)
     number = F.col("event_id").cast("long")
     metric = F.when(number % 19 != 0, F.col("metric"))
@@ -60,8 +61,9 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
     no_value = F.to_json(F.struct(*fields))
     null_value = F.concat(F.lit('{"value":null,'), F.substring(no_value, F.lit(2), F.length(no_value)))
     text = F.when(number % 23 == 0, null_value).when(number % 29 == 0, no_value).otherwise(with_value)
-    return events.select(number.alias("offset"),
-                         F.when(number % 17 == 0, F.left(text, F.lit(40))).otherwise(text).alias("value"))
+    value = F.when(number % 17 == 0, F.left(text, F.lit(40))) \
+        .when(number % 31 == 0, F.concat(text, F.lit('{"x":1}'))).otherwise(text)
+    return events.select(number.alias("offset"), value.alias("value"))
 
 
 def member_events(spark: SparkSession, folder: str, channels: tuple[str, ...] = CHANNELS) -> DataFrame:
@@ -153,12 +155,13 @@ def order_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def record_mutations(spark: SparkSession, folder: str) -> DataFrame:
-    """A mutation log over records: each event writes its user's record, every tenth deletes it."""
+    """A mutation log over records: each event writes its user's record, every tenth deletes it, and
+    some write it without a payload."""
     op = F.when(F.col("event_id") % 10 == 3, "delete").otherwise("upsert")
     return read_table(spark, folder, "events").select(
         F.col("event_type").alias("dataset"),
         F.concat(F.lit("R-"), F.col("user_id").cast("string")).alias("record_id"),
-        op.alias("op"), F.when(op == "upsert", F.col("props")).alias("payload"),
+        op.alias("op"), F.when((op == "upsert") & (F.col("event_id") % 7 != 0), F.col("props")).alias("payload"),
         (F.col("event_id") + 1).alias("seq"), F.unix_seconds("ts").alias("event_ts"))
 
 
@@ -167,6 +170,15 @@ def change_log(spark: SparkSession, folder: str) -> DataFrame:
     return assign_versions(record_mutations(spark, folder)).withColumn("offset", F.col("seq"))
 
 
+def odd_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """``change_log`` and copies of its rows that no consumer knows what to do with."""
+    log = change_log(spark, folder)
+    strange = log.where(F.col("offset") % 41 == 0).withColumns(
+        {"op": F.lit("touch"), "version": F.col("version") + 1000})
+    return log.unionByName(strange).unionByName(
+        log.where(F.col("offset") % 43 == 0).withColumn("version", F.lit(None).cast("long")))
+
+
 def log_checkpoints(log: DataFrame, updated_at_s: int) -> DataFrame:
     """Progress through half of the log; ``view`` is at its end and ``signup`` was never read."""
     half = log.agg(F.expr("max(offset) div 2")).scalar()

@@ -85,8 +85,9 @@ WHERE window_end <= TIMESTAMP '2024-01-14 23:59:00'""", EVENTS, HOURLY_ENDPOINT)
 ORACLES["dims_normalize"] = _with(
     f"SELECT CAST(event_id AS VARCHAR) AS event_id, {_dims(ALL_DIMS)} AS dims FROM ev", EVENTS)
 ORACLES["dims_hash_rollup"] = _with(f"""
-SELECT substr(sha256(dims), 1, 32) AS dims_hash, dims, count(*) AS rows
-FROM (SELECT {_dims(ALL_DIMS)} AS dims FROM ev) GROUP BY dims""", EVENTS)
+SELECT substr(sha256(replace(dims, '\\u001F', '\\u001f')), 1, 32) AS dims_hash, dims, count(*) AS rows
+FROM (SELECT {_dims(ALL_DIMS)} AS dims FROM (SELECT * REPLACE (CASE WHEN event_id % 11 = 0
+        THEN replace(endpoint, '/v1', '/v1\\u001F') ELSE endpoint END AS endpoint) FROM ev)) GROUP BY dims""", EVENTS)
 ORACLES["rollup_history"] = _with("""
 SELECT * FROM rollups
 WHERE metric = 'purchase' AND window_start >= TIMESTAMP '2024-01-05'
@@ -162,7 +163,7 @@ FROM (
   FROM (SELECT event_id, ts,
           (event_id + event_id * 37 % 41) * 64 + event_id * 37 % 41 AS arrival FROM events))"""
 
-REASON = """CASE WHEN event_id % 17 = 0 THEN 'malformed_json'
+REASON = """CASE WHEN event_id % 17 = 0 OR event_id % 31 = 0 THEN 'malformed_json'
   WHEN event_id % 19 = 0 THEN 'missing_metric' WHEN event_id % 23 = 0 THEN 'bad_value' END"""
 ORACLES["validate_events_usable"] = _with(f"""
 SELECT event_id AS "offset", CAST(event_id AS VARCHAR) AS event_id, event_type, metric,
@@ -292,7 +293,7 @@ ORACLES["features_asof_arrival"] = _with(
 LOG = """mutations AS (
   SELECT event_type AS dataset, 'R-' || user_id AS record_id,
     CASE WHEN event_id % 10 = 3 THEN 'delete' ELSE 'upsert' END AS op,
-    CASE WHEN event_id % 10 = 3 THEN NULL ELSE props END AS payload,
+    CASE WHEN event_id % 10 = 3 OR event_id % 7 = 0 THEN NULL ELSE props END AS payload,
     event_id + 1 AS seq, CAST(epoch_us(ts) // 1000000 AS BIGINT) AS event_ts
   FROM events),
 lives AS (
@@ -480,6 +481,9 @@ SELECT DATE '2024-01-31' AS date, "partition", "offset", event_id, event_type, a
 ORACLES["index_increment"] = _with("SELECT * FROM increment", LOG, _marks_cte(NOW), PENDING, INCREMENT)
 for _name in ("index_current", "stream_index"):
     ORACLES[_name] = _with("SELECT * FROM idx", LOG, _index_cte("idx", "log", str(NOW)))
+ORACLES["changes_quarantined"] = _with("""
+SELECT "offset", 'unknown_op' AS reason FROM log WHERE "offset" % 41 = 0
+UNION ALL SELECT "offset", 'missing_version' FROM log WHERE "offset" % 43 = 0""", LOG)
 ORACLES["index_current_by_offset"] = _with(
     "SELECT * FROM idx", LOG, _index_cte("idx", "log", str(NOW), '"offset" DESC'))
 ORACLES["index_replay"] = _with(

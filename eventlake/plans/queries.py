@@ -117,7 +117,11 @@ def dims_normalize(spark, folder):
 
 @query
 def dims_hash_rollup(spark, folder):
-    events = rollups.clean_dim_columns(fx.metric_events(spark, folder), rollups.DEFAULT_DIMS)
+    """Some endpoints hold a control character, which JSON text escapes."""
+    given = fx.metric_events(spark, folder)
+    odd = F.when(F.col("event_id").cast("long") % 11 == 0, F.replace("endpoint", F.lit("/v1"), F.lit("/v1\x1f")))
+    events = rollups.clean_dim_columns(
+        given.withColumn("endpoint", F.coalesce(odd, F.col("endpoint"))), rollups.DEFAULT_DIMS)
     counts = events.groupBy(*rollups.DEFAULT_DIMS).agg(F.count(F.lit(1)).alias("rows"))
     text = dims_json({c: F.col(c) for c in rollups.DEFAULT_DIMS})
     return counts.select(dims_hash(text).alias("dims_hash"), text.alias("dims"), "rows")
@@ -522,10 +526,15 @@ def index_increment(spark, folder):
 
 @query
 def index_current(spark, folder):
-    changes = usable(check_changes(fx.change_log(spark, folder)))
+    changes = usable(check_changes(fx.odd_changes(spark, folder)))
     return _flat(index.index_rows(changes, _now()).drop("offset"))
 
 
+@query
+def changes_quarantined(spark, folder):
+    return quarantined(check_changes(fx.odd_changes(spark, folder))).select("offset", "reason")
+
+
 @query
 def index_current_by_offset(spark, folder):
     changes = usable(check_changes(fx.change_log(spark, folder)))
