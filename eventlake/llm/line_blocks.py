@@ -28,37 +28,45 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
 ASIDE = {"nav", "footer", "aside", "form", "menu", "dialog", "fieldset"}
 ARTICLE = {"article", "main"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu"}
-HINTS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo|banner|nav|navbar|navigation|menu|breadcrumbs?|"
-    r"sidebar|side|aside|footer|foot|masthead|site-header|header|cookies?|consent|notice|gdpr|newsletter|subscribe|signup|"
-    r"popup|modal|comments?|commentlist|respond|replies|disqus|share|sharing|social|related|recommended|widget|toolbar|"
-    r"pagination|pager|login|search)(?:$|[\s_-])", re.I)
-CONTENT = re.compile(r"(?:^|[\s_-])(?:article|content|story|post|entry|main|body)(?:$|[\s_-])", re.I)
+# Parts of class names and ids: those of noise, those that are noise unless the name also speaks of
+# content, those of content, and first or last parts of names that only tell a state.
+NOISE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "cookie", "cookies",
+         "consent", "gdpr", "comment", "comments", "commentlist", "respond", "replies", "disqus", "sidebar", "nav", "navbar",
+         "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "newsletter", "popup", "modal", "banner", "masthead",
+         "pagination", "widget"}
+PERHAPS = {"header", "head", "foot", "side", "aside", "notice", "promo", "subscribe", "signup", "share", "sharing", "social",
+           "related", "recommended", "toolbar", "pager", "login", "search", "form"}
+CONTENT = {"article", "content", "story", "post", "entry", "main", "body", "text"}
+STATES = {"has", "no", "with", "without", "not", "is", "open", "closed", "enabled", "disabled"}
 # elements that end when another of their kind begins or their parent ends
 SELF_ENDING = {"p", "li", "dt", "dd", "tr", "td", "th", "option", "thead", "tbody", "tfoot"}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|"
                    r"[^<]+|<", re.S)
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
-NAMED = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+NAMED = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 SPACE = re.compile(r"\s+")
 
 
-def _is_aside(name: str, tag: str, in_article: bool) -> bool:
+def _is_aside(name: str, tag: str, in_article: bool, by_names: bool) -> bool:
     if name in ASIDE or name == "header" and not in_article:
         return True
-    if name in ("html", "body") or name in ARTICLE or " " not in tag and "\n" not in tag and "\t" not in tag:
+    if not by_names or name in ("html", "body") or name in ARTICLE or " " not in tag and "\n" not in tag and "\t" not in tag:
         return False
     given = {m[1].lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in NAMED.finditer(tag)}
     if given.get("role", "").lower() in ROLES or "hidden" in given and given["hidden"] in ("", "hidden") \
-            or given.get("aria-hidden") == "true":
+            or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "").lower():
         return True
-    hint = f"{given.get('class', '')} {given.get('id', '')}"
-    return bool(HINTS.search(hint)) and not CONTENT.search(hint)
+    names = f"{given.get('class', '')} {given.get('id', '')}".lower().split()
+    parts = {p for n in names for q in [re.split("[-_]", n)] if not {q[0], q[-1]} & STATES for p in q}
+    return bool(parts & NOISE) or bool(parts & PERHAPS and not parts & CONTENT)
 
 
-def lines_of(html: str) -> list[tuple[str, int, bool]]:
-    """(text, length outside links, inside a named article) of every line; aside lines have no text."""
+def lines_of(html: str, by_names: bool = True) -> list[tuple[str, int, bool]]:
+    """(text, length outside links, inside a named article) of every line; aside lines have no text.
+
+    ``by_names`` lets class names and ids tell what is aside, besides the elements themselves.
+    """
     lines, words, linked = [], [], 0
     stack: list[tuple[str, bool, bool]] = []     # name, aside, article
     aside = articles = links = 0
@@ -102,7 +110,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
                 inner = re.compile(r"<body\b", re.I).search(html, at) if name == "head" else None
                 at = min(end.end() if end else size, inner.start() if inner else size)
             continue
-        if name in INLINE and not (not closing and _is_aside(name, part, articles > 0)) and not (
+        if name in INLINE and not (not closing and _is_aside(name, part, articles > 0, by_names)) and not (
                 closing and any(s[0] == name for s in stack[-1:])):
             if name == "a":
                 links = max(0, links + (-1 if closing else 1))
@@ -121,7 +129,7 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
             continue
         if stack and stack[-1][0] == name and name in SELF_ENDING:
             leave(len(stack) - 1)
-        is_aside, is_article = _is_aside(name, part, articles > 0), name in ARTICLE
+        is_aside, is_article = _is_aside(name, part, articles > 0, by_names), name in ARTICLE
         stack.append((name, is_aside, is_article))
         aside += is_aside
         articles += is_article
@@ -130,8 +138,14 @@ def lines_of(html: str) -> list[tuple[str, int, bool]]:
 
 
 def main_text(html: str | None) -> str:
-    """The text between surges and dives, lines joined by one space."""
-    lines = lines_of(html or "")
+    """The text between surges and dives, lines joined by one space.
+
+    Where nothing is left, names are not believed: a page may sit in one element of a misleading class.
+    """
+    return _between(lines_of(html or "")) or _between(lines_of(html or "", by_names=False))
+
+
+def _between(lines: list[tuple[str, int, bool]]) -> str:
     inside = [line for line in lines if line[2] and line[0]]
     if inside:
         return " ".join(line[0] for line in inside)

@@ -40,7 +40,10 @@ def test_noise_inside_the_article():
     ("<article>a&am b&amp c &#x41;&lt;p&gt;</article>", "a&am b& c A<p>"), ("<article><p>un<b>clo</b>sed<p>two", "unclosed two"),
     ("<article><p>x</article></article></div><p>y", "x"), ("<article><ul><li>a<li>b</ul><table><tr><td>c<td>d</table></article>", "a b c d"),
     ("<article>1 < 2 > 0</article>", "1 < 2 > 0"), ("<article><header><h1>T</h1></header><p>x</p></article>", "T x"),
-    ("<article><span class='share'>tweet</span>x</article>", "x"), ("<article>" + "<div>" * 3000 + "deep", "deep"),
+    ("<article><span class='share'>tweet</span>x</article>", "x"), ("<article><div class='has-sidebar'>x</div></article>", "x"),
+    ("<article><div class='comment-body'>no</div><div class='post-header'>x</div><p id=ad-main>no</p></article>", "x"),
+    ("<article><p style='color:red; display: none'>no</p>x</article>", "x"),
+    ("<div class='widget'><article>x</article></div>", "x"), ("<article>" + "<div>" * 3000 + "deep", "deep"),
 ])
 def test_odd_pages(page, text):
     assert line_blocks.main_text(page) == text
