@@ -19,7 +19,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventlake.llm.common import bound_batches, fresh, on_texts, stored, text_key
+from eventlake.llm.common import bound_batches, fresh, on_texts, stored
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 3, 42
 FANOUT = 16
@@ -268,7 +268,7 @@ def connected(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                     cell_rows: int = CELL_ROWS) -> DataFrame:
-    """(doc_id, text_key, print, component_id), one row per document.
+    """(doc_id, row_key, print, component_id), one row per document.
 
     Null and wordless texts have fingerprint 0 and are linked like any other. Repeated rows stay
     repeated. A null doc_id gets the component of its fingerprint; it is never the least id, so
@@ -276,7 +276,7 @@ def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_bits:
     ``docs`` are not read. An empty table gives an empty result.
     """
     bound_batches(docs.sparkSession)
-    rows = stored(docs.select("doc_id", text_key(F.col("text")).alias("text_key"),
+    rows = stored(docs.select("doc_id", row_key().alias("row_key"),
                               fingerprint_column(F.col("text"), words_each).alias("print")))
     prints = stored(rows.groupBy("print").agg(F.min("doc_id").alias("first_id")))
     roots = connected(links(prints.select("print"), max_bits, cell_rows))
@@ -288,20 +288,23 @@ def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_bits:
     moved = tied.join(of_root, "root").select("print", "component_id")
     classes = stored(prints.join(moved, "print", "left").select(
         "print", F.coalesce("component_id", "first_id").alias("component_id")))
-    return rows.join(classes, "print").select("doc_id", "text_key", "print", "component_id")
+    return rows.join(classes, "print").select("doc_id", "row_key", "print", "component_id")
+
+
+def row_key() -> Column:
+    """A digest of doc_id and text; never null, so that grouping and joining by it share one shuffle."""
+    return F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))))
 
 
 def one_of_each(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with one row of every component: the one with the least doc_id.
 
-    Among rows with that doc_id (or without any id) the one with the least text digest stays, once.
-    Columns are those of ``docs``.
+    Among rows with that doc_id (or without any id) the one with the least digest of id and text
+    stays, once. Columns are those of ``docs``.
     """
     found = near_duplicates(docs, **how)
     best = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("print")).alias("at")).agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("best"))
-    key, id_, key_ = fresh(docs, "text_key"), fresh(docs, "kept_id"), fresh(docs, "kept_key")
-    chosen = best.select(F.col("best.doc_id").alias(id_), F.col("best.text_key").alias(key_))
-    once = docs.withColumn(key, text_key(F.col("text"))).dropDuplicates(["doc_id", key])
-    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(key) == F.col(key_))
-    return once.join(chosen, same, "left_semi").drop(key)
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("best"))
+    key = fresh(docs, "row_key")
+    chosen = best.select(F.col("best.row_key").alias(key))
+    return docs.withColumn(key, row_key()).dropDuplicates([key]).join(chosen, key, "left_semi").drop(key)
