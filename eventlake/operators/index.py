@@ -112,7 +112,7 @@ def recent_changes(index: DataFrame, as_of_s: int, seconds: int = RECENT_SECONDS
 
 
 class IndexStore:
-    """The stored form: index rows and one control table of checkpoints under one folder.
+    """The stored form: index rows and control rows (checkpoints) in one table.
 
     A rebuild writes the source rows of its dataset under the next epoch and then moves the control
     row to it. Rows of earlier epochs no longer count, so no other dataset is rewritten. A replay
@@ -124,12 +124,11 @@ class IndexStore:
 
     def __init__(self, spark: SparkSession, root: str, order_by: str = "version"):
         self.spark, self.order_by = spark, order_by
-        self.rows = MergeTable(spark, f"{root}/index", self.ROWS, RECORD_KEY, ["version"])
-        self.control = MergeTable(spark, f"{root}/checkpoints", self.CONTROL, ["dataset"],
-                                  ["epoch", "last_offset"])
+        # Rows and control rows of a batch are one write, so the one is never there without the other.
+        self.table = MergeTable(spark, f"{root}/index", record(row=self.ROWS, control=self.CONTROL), [], [])
 
     def checkpoints(self) -> DataFrame:
-        return self.control.read().select(*CHECKPOINT.names)
+        return self._control().select(*CHECKPOINT.names)
 
     def index(self) -> DataFrame:
         """Current index rows, tombstones included."""
@@ -140,10 +139,9 @@ class IndexStore:
         now = F.lit(as_of_s).cast("long")
         changes = changes.persist()
         try:
-            self.rows.write(self._tag(index_rows(changes, now, self.order_by)), run, batch_id)
             moved = self._tag(progress(changes).withColumn("updated_at", now)).withColumn(
                 "last_event_ts", F.greatest("last_event_ts", "known_event_ts"))
-            self.control.write(moved, run, batch_id)
+            self._write(self._tag(index_rows(changes, now, self.order_by)), moved, run, batch_id)
         finally:
             changes.unpersist()
 
@@ -153,44 +151,57 @@ class IndexStore:
         epoch = self._epoch(dataset) + 1
         rows = source_index_rows(source, dataset, now).withColumns(
             {"offset": F.lit(0).cast("long"), "epoch": F.lit(epoch).cast("long")})
-        self.rows.write(rows, self._admin_run("rebuild", dataset), epoch)
-        self._restart(dataset, 0, now, epoch, F.lit(epoch))
+        self._write(rows, self._restart(dataset, 0, now, epoch, F.lit(epoch)),
+                    self._admin_run("rebuild", dataset), epoch)
 
     def replay(self, dataset: str, offset: int, as_of_s: int) -> None:
         """Let the next run read one dataset again from beyond ``offset``."""
-        control = self.control.read().where(F.col("dataset") == F.lit(dataset)).first()
-        rows_epoch = control["rows_epoch"] if control else 0
-        self._restart(dataset, offset, F.lit(as_of_s).cast("long"), self._epoch(dataset) + 1,
-                      F.lit(rows_epoch))
+        control = self._control().where(F.col("dataset") == F.lit(dataset)).first()
+        rows_epoch, epoch = (control["rows_epoch"], control["epoch"] + 1) if control else (0, 1)
+        moved = self._restart(dataset, offset, F.lit(as_of_s).cast("long"), epoch, F.lit(rows_epoch))
+        self._write(None, moved, self._admin_run("replay", dataset), epoch)
 
     def compact(self) -> None:
-        self.rows.compact(self._merged())
-        self.control.compact()
+        self.table.compact(self._paired(self._merged(), self._control()))
+
+    def _control(self) -> DataFrame:
+        rows = self.table.batches().where(F.col("control").isNotNull()).select("control.*")
+        return fold(rows, ["dataset"], ["epoch", "last_offset"])
+
+    def _paired(self, rows: DataFrame | None, control: DataFrame) -> DataFrame:
+        none = {name: F.lit(None).cast(kind) for name, kind in (("row", self.ROWS), ("control", self.CONTROL))}
+        both = control.select(none["row"].alias("row"), F.struct(*self.CONTROL.names).alias("control"))
+        if rows is not None:
+            both = both.unionByName(rows.select(F.struct(*self.ROWS.names).alias("row"), none["control"].alias("control")))
+        return both
+
+    def _write(self, rows: DataFrame | None, control: DataFrame, run: str, batch_id: int) -> None:
+        self.table.write(self._paired(rows, control), run, batch_id)
 
     def _merged(self) -> DataFrame:
-        control = checked_broadcast(self.control.read().select("dataset", "rows_epoch"))
-        rows = self.rows.batches().drop("run", "batch_id").join(control, "dataset", "left") \
+        control = checked_broadcast(self._control().select("dataset", "rows_epoch"))
+        rows = self.table.batches().where(F.col("row").isNotNull()).select("row.*").join(control, "dataset", "left") \
             .where(F.col("epoch") >= F.coalesce("rows_epoch", F.lit(0))).drop("rows_epoch")
         ranked = rows.withColumn("rank", _rank(self.order_by))
         return fold(ranked, RECORD_KEY, ["rank"]).drop("rank")
 
     def _tag(self, rows: DataFrame) -> DataFrame:
         """Add the epoch the dataset of each row is in."""
-        control = checked_broadcast(self.control.read().select(
+        control = checked_broadcast(self._control().select(
             "dataset", "epoch", "rows_epoch", F.col("last_event_ts").alias("known_event_ts")))
         return rows.join(control, "dataset", "left").fillna(
             0, ["epoch", "rows_epoch", "known_event_ts"])
 
     def _epoch(self, dataset: str) -> int:
-        control = self.control.read().where(F.col("dataset") == F.lit(dataset)).first()
+        control = self._control().where(F.col("dataset") == F.lit(dataset)).first()
         return control["epoch"] if control else 0
 
-    def _restart(self, dataset: str, offset: int, now: Column, epoch: int, rows_epoch: Column) -> None:
-        row = self.spark.range(1).select(
+    def _restart(self, dataset: str, offset: int, now: Column, epoch: int, rows_epoch: Column) -> DataFrame:
+        """The control row that moves a dataset to ``offset`` in a new epoch."""
+        return self.spark.range(1).select(
             F.lit(dataset).alias("dataset"), F.lit(offset).cast("long").alias("last_offset"),
             F.lit(0).cast("long").alias("last_event_ts"), now.alias("updated_at"),
             F.lit(epoch).cast("long").alias("epoch"), rows_epoch.cast("long").alias("rows_epoch"))
-        self.control.write(row, self._admin_run("restart", dataset), epoch)
 
     @staticmethod
     def _admin_run(action: str, dataset: str) -> str:
