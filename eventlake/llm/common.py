@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from eventlake.session import stored
 
-__all__ = ["alnum_words", "ascii_lower", "beside", "bind", "bound_batches", "fresh", "on_texts", "quoted", "stored", "text_key"]
+__all__ = ["alnum_words", "ascii_lower", "beside", "bind", "fresh", "on_texts", "prepare_python", "quoted", "stored", "text_key"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 ARROW_ROWS, ARROW_BYTES = "2000", str(16 << 20)
@@ -51,10 +53,19 @@ def on_texts(rows: Callable[[list], list[tuple]], schema: str) -> Callable[[Colu
     return run
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Limit Arrow batches by bytes as well as rows, so that very long texts cannot fill a worker."""
+def prepare_python(spark: SparkSession) -> None:
+    """Make a session ready for Python on executors.
+
+    Arrow batches are limited by bytes as well as rows, so that very long texts cannot fill a worker.
+    Workers on machines where the package lies at the same place as here also find it without being
+    installed.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    places = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in places:
+        environment["PYTHONPATH"] = os.pathsep.join([*places, root])
 
 
 def ascii_lower(text: Column) -> Column:

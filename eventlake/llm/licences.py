@@ -9,7 +9,7 @@ import re
 import ahocorasick
 from pyspark.sql import DataFrame, functions as F
 
-from eventlake.llm.common import beside, bound_batches, on_texts
+from eventlake.llm.common import beside, on_texts, prepare_python
 
 # The base phrases and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -148,7 +148,7 @@ def scan_licences(docs: DataFrame) -> DataFrame:
     and empty texts have no words, labels or places. Repeated rows get equal results, result columns
     replace columns of their names, and an empty table gives an empty result.
     """
-    bound_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
 
     def rows(texts: list) -> list[tuple]:
         return [scan(t) for t in texts]

@@ -13,7 +13,7 @@ from html import unescape
 
 from pyspark.sql import DataFrame, functions as F
 
-from eventlake.llm.common import beside, bound_batches, on_texts
+from eventlake.llm.common import beside, on_texts, prepare_python
 
 WINDOW = 3
 SURGE = 80        # characters in a window that make a surge
@@ -170,7 +170,7 @@ def extract(pages: DataFrame) -> DataFrame:
     far as it goes: elements left open end with their parent or the page. Repeated rows get equal
     texts; columns named ``text`` or ``n_chars`` give way; an empty table gives an empty result.
     """
-    bound_batches(pages.sparkSession)
+    prepare_python(pages.sparkSession)
 
     def rows(pages_: list) -> list[tuple]:
         texts = [main_text(p) for p in pages_]

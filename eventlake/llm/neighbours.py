@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from eventlake.llm.common import beside, bound_batches
+from eventlake.llm.common import beside, prepare_python
 
 PAIR_TERMS, SHAPE_TERMS = 1024, 3
 SYMBOLS = b"#*$%&|<>!"
@@ -106,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS)
     contradicting labels, or ids without a document, are left out. Several texts of one id count as
     the alphabetically first. Without labelled rows every score is 0.5.
     """
-    bound_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     marked = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("label"))
               .where((F.col("low") == F.col("label")) & ~held_out(F.col("doc_id"))))
@@ -147,7 +147,7 @@ def classify(docs: DataFrame, model: Model) -> DataFrame:
     Null and wordless texts have no terms and get the prior. Repeated rows get equal scores. An empty
     table gives an empty result. Columns of these names give way to the results.
     """
-    bound_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

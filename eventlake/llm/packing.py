@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from eventlake.llm.common import bound_batches, on_texts
+from eventlake.llm.common import on_texts, prepare_python
 
 SEQUENCE_TOKENS, END_ID = 2048, 1
 VECTOR_TERMS, AXES, AXIS_BITS, SEED = 512, 3, 16, 20240229
@@ -156,7 +156,7 @@ def pack(docs: DataFrame, tokenizer: str, tokens: int = SEQUENCE_TOKENS, end_id:
     so a large group of copies does not end in one task. An empty table gives no pieces. Other
     columns of ``docs`` are not read.
     """
-    bound_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     where = str(Path(tokenizer))
     keys = on_texts(lambda texts: [(int(k),) for k in hilbert_key(np.stack([curve_point(t) for t in texts]))]
                     if texts else [], "k long")

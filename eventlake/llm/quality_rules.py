@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from eventlake.llm.common import beside, bound_batches, on_texts, quoted, stored
+from eventlake.llm.common import beside, on_texts, prepare_python, quoted, stored
 from eventlake.operators.joins import checked_broadcast
 
 SPACES = b" \t\n\x0b\x0c\r"
@@ -130,7 +130,7 @@ def cutoffs(measured: DataFrame, labels: DataFrame, stratum: str) -> DataFrame:
 
 def measure(docs: DataFrame) -> DataFrame:
     """``docs`` with the statistics of every whole text; null texts count as empty."""
-    bound_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     found = on_texts(lambda texts: [statistics(t) for t in texts], STATISTICS)
     names = [part.split()[0] for part in STATISTICS.split(", ")]
     return beside(docs, found(F.col("text")), names)

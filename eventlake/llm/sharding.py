@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from eventlake.llm.common import bound_batches, quoted, stored
+from eventlake.llm.common import prepare_python, quoted, stored
 from eventlake.operators.joins import checked_broadcast
 
 BUCKET_BYTES = 16 << 20
@@ -51,7 +51,7 @@ def shuffle(docs: DataFrame, shards: int, seed: int = SEED, bucket_bytes: int =
     Null ids and texts are values like others; an empty table gives an empty result; columns named
     ``shard`` or ``slot`` give way.
     """
-    bound_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     kept = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
     names = [f"c{i}" for i in range(len(kept))]
     kinds = {f.name: f.dataType for f in docs.schema.fields}

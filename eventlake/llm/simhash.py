@@ -19,7 +19,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventlake.llm.common import bound_batches, fresh, on_texts, stored
+from eventlake.llm.common import fresh, on_texts, prepare_python, stored
 
 SHINGLE_WORDS, MAX_BITS, SEED = 3, 3, 42
 FANOUT = 16
@@ -275,7 +275,7 @@ def near_duplicates(docs: DataFrame, words_each: int = SHINGLE_WORDS, max_bits:
     component_id is null only where no document of the component has an id. Other columns of
     ``docs`` are not read. An empty table gives an empty result.
     """
-    bound_batches(docs.sparkSession)
+    prepare_python(docs.sparkSession)
     rows = stored(docs.select("doc_id", row_key().alias("row_key"),
                               fingerprint_column(F.col("text"), words_each).alias("print")))
     prints = stored(rows.groupBy("print").agg(F.min("doc_id").alias("first_id")))
