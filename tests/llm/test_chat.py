@@ -2,7 +2,7 @@ import hashlib
 import random
 
 import pytest
-from conftest import SF, same_bag
+from cases import SF, same_bag
 
 from eventlake.llm import chat
 from eventlake.llm.queries import QUERIES

@@ -1,7 +1,7 @@
 import re
 
 import pytest
-from conftest import SF, odd_texts, same_bag
+from cases import SF, odd_texts, same_bag
 
 from eventlake.llm import licences
 from eventlake.llm.queries import QUERIES

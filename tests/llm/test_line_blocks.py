@@ -1,6 +1,6 @@
 import pyarrow.parquet as pq
 import pytest
-from conftest import SF
+from cases import SF
 
 from eventlake.llm import line_blocks
 from eventlake.llm.queries import QUERIES

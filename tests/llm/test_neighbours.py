@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
-from conftest import SF, odd_texts
+from cases import SF, odd_texts
 
 from eventlake.llm import neighbours
 from eventlake.llm.queries import QUERIES

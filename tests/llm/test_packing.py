@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
-from conftest import SF, odd_texts, same_bag
+from cases import SF, odd_texts, same_bag
 from pyspark.sql import functions as F
 
 from eventlake.llm import packing

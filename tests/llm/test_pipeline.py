@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
-from conftest import SF, same_bag
+from cases import SF, same_bag
 from test_packing import check, digest, ids_of, tokenizer  # noqa: F401
 from test_secret_scan import base
 from test_simhash import classes, plain_print

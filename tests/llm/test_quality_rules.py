@@ -3,7 +3,7 @@ from collections import Counter
 
 import pyarrow.parquet as pq
 import pytest
-from conftest import SF, odd_texts, same_bag
+from cases import SF, odd_texts, same_bag
 
 from eventlake.llm import quality_rules
 from eventlake.llm.queries import QUERIES

@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from conftest import SF, odd_texts, same_bag
+from cases import SF, odd_texts, same_bag
 
 from eventlake.llm import secret_scan
 from eventlake.llm.queries import QUERIES

@@ -1,7 +1,7 @@
 import zlib
 from collections import Counter
 
-from conftest import SF, odd_texts, same_bag
+from cases import SF, odd_texts, same_bag
 from pyspark.sql import functions as F
 
 from eventlake.llm import sharding

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 import xxhash
-from conftest import SF, odd_texts, same_bag
+from cases import SF, odd_texts, same_bag
 from pyspark.sql import functions as F
 
 from eventlake.llm import simhash

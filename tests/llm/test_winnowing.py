@@ -2,7 +2,7 @@ import hashlib
 import re
 
 import pytest
-from conftest import SF, odd_texts, same_bag
+from cases import SF, odd_texts, same_bag
 
 from eventlake.llm import winnowing
 from eventlake.llm.queries import QUERIES
