@@ -38,7 +38,7 @@ IDENTIFIERS = [
 UNKNOWN, SILENT_SCORE, EXCEPTION_GAIN = "other", 0.5, 0.1
 
 GAPS = bytes(32 if b < 0x30 or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F else b for b in range(256))
-EXPRESSION = re.compile(rb"[ \t]*([a-z0-9.+\-() \t]{1,400})")
+EXPRESSION = re.compile(rb"[ \t]*([a-z0-9.+\-() \t]+)")
 PART = re.compile(r"\(|\)|[a-z0-9.+-]+")
 STRENGTH = {"or": 1, "and": 2, "with": 3}
 
@@ -63,17 +63,20 @@ def parse(expression: str) -> list[str] | None:
     """The longest valid expression at the start of a text, in postfix order; None if there is none.
 
     Shunting-yard: operands go to the output, an operator first moves stronger or equal ones there,
-    and a bracket keeps its own operators.
+    and a bracket keeps its own operators. ``best`` is a length of the output and the operators held
+    then (three at most outside brackets), so a long expression is not copied for each operand.
     """
     out: list[str] = []
     held: list[str] = []
-    operand_next, best = True, None
-    for part in PART.findall(expression):
+    operand_next, best, brackets = True, None, 0
+    for match in PART.finditer(expression):
+        part = match.group()
         if part == "(" or part not in STRENGTH and part != ")":
             if not operand_next:
                 break
             if part == "(":
                 held.append(part)
+                brackets += 1
                 continue
             out.append(part)
             operand_next = False
@@ -85,14 +88,15 @@ def parse(expression: str) -> list[str] | None:
             if not held:
                 break
             held.pop()
+            brackets -= 1
         else:
             while held and held[-1] != "(" and STRENGTH[held[-1]] >= STRENGTH[part]:
                 out.append(held.pop())
             held.append(part)
             operand_next = True
-        if not operand_next and "(" not in held:
-            best = out + held[::-1]
-    return best
+        if not operand_next and not brackets:
+            best = len(out), held[::-1]
+    return best and out[:best[0]] + best[1]
 
 
 def evaluate(postfix: list[str]) -> tuple[float, set[str]]:

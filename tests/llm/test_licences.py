@@ -60,3 +60,20 @@ def test_expressions_are_evaluated():
     assert licences.scan(tag + "GPL-2.0 WITH Classpath-exception-2.0")[5:] == ("gpl", 0.5)
     assert licences.scan(tag + "(MIT OR Apache-2.0) AND CC-BY-NC-4.0\nall rights reserved")[5:] == ("apache,cc-by,cc-by-nc,mit,reserved", 0.0)
     assert licences.scan("nothing to see")[5:] == ("", licences.SILENT_SCORE)
+
+
+@pytest.mark.parametrize("opened,closed", [("", ""), ("(", ")"), ("(" * 500, ")" * 500)])
+def test_long_expressions_are_read_to_their_end(opened, closed):
+    tag = "# SPDX-License-Identifier: "
+    many = " AND ".join(["MIT", "Apache-2.0", "BSD-3-Clause"] * 300)
+    assert licences.scan(f"{tag}{opened}{many} AND GPL-3.0-only{closed}\n")[5:] == ("apache,bsd,gpl,mit", 0.4)
+    for spaces in range(12):  # no identifier is cut in its middle
+        assert licences.scan(f"{tag}{opened}{' ' * spaces}{many}{closed}")[5:] == ("apache,bsd,mit", 0.9)
+
+
+def test_very_long_expression_takes_linear_time():
+    import time
+
+    began = time.process_time()
+    assert licences.scan("spdx-license-identifier: " + "mit or " * 200_000 + "isc")[5:] == ("isc,mit", 0.9)
+    assert time.process_time() - began < 20
