@@ -3,20 +3,24 @@
 Markup is stripped to lines: one per block element, with the length of its text outside links. Lines
 inside menus, headers, footers, sidebars, notices, adverts, forms and comments stay as empty lines.
 Lengths are summed over a sliding window; the text starts where a sum surges and ends where it dives
-to nothing. A page that names its article limits the lines to it.
+to nothing. Elements that hold such lines give their other lines with text too. A page that names its
+article limits the lines to it, unless the rest of the page has several times the article's text.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, functions as F
 
 from eventlake.llm.common import beside, on_texts, prepare_python
 
 WINDOW = 3
-SURGE = 80        # characters in a window that make a surge
+SURGE = 80        # characters in a window that make a surge, on a page of lines that reach them
+LITTLE = 0.25     # of the text found otherwise; less is not taken for the main text
 
 # Fixed values of HTML: elements without text, elements without an end tag, elements inside a line.
 SILENT = {"script", "style", "noscript", "template", "svg", "math", "head", "title", "iframe", "object", "canvas",
@@ -40,9 +44,11 @@ CONTENT = {"article", "content", "story", "post", "entry", "main", "body", "text
 STATES = {"has", "no", "with", "without", "not", "is", "open", "closed", "enabled", "disabled"}
 # elements that end when another of their kind begins or their parent ends
 SELF_ENDING = {"p", "li", "dt", "dd", "tr", "td", "th", "option", "thead", "tbody", "tfoot"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+SINGLE = HEADINGS | {"p", "li", "dt", "dd", "td", "th"}     # hold the lines of one paragraph
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|"
-                   r"[^<]+|<", re.S)
+                   r"</?[A-Za-z][^<>]*\Z|[^<]+|<", re.S)     # a tag that the page breaks off is no text
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
 NAMED = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 SPACE = re.compile(r"\s+")
@@ -62,13 +68,32 @@ def _is_aside(name: str, tag: str, in_article: bool, by_names: bool) -> bool:
     return bool(parts & NOISE) or bool(parts & PERHAPS and not parts & CONTENT)
 
 
-def lines_of(html: str, by_names: bool = True) -> list[tuple[str, int, bool]]:
-    """(text, length outside links, inside a named article) of every line; aside lines have no text.
+class Line(NamedTuple):
+    """``length`` is that outside links; ``element`` and ``parent`` are numbers of elements as they open."""
+    text: str
+    length: int
+    article: bool
+    element: int
+    parent: int
+    name: str
+
+
+def holders_of(lines: list[Line]) -> list[int]:
+    """The element that holds a line and its like: the parent of a paragraph, heading, item or cell,
+    and of any other element with this one line; else the element itself."""
+    own, parents = Counter(line.element for line in lines if line.text), {line.parent for line in lines if line.text}
+    return [line.parent if line.name in SINGLE or own[line.element] < 2 and line.element not in parents else line.element
+            for line in lines]
+
+
+def lines_of(html: str, by_names: bool = True) -> tuple[list[Line], list[int]]:
+    """Every line and the element that holds it; aside lines have no text.
 
     ``by_names`` lets class names and ids tell what is aside, besides the elements themselves.
     """
     lines, words, linked = [], [], 0
-    stack: list[tuple[str, bool, bool]] = []     # name, aside, article
+    stack: list[tuple[str, bool, bool, int]] = []     # name, aside, article, number
+    opened = 0
     aside = articles = links = 0
 
     def end_line() -> None:
@@ -78,13 +103,14 @@ def lines_of(html: str, by_names: bool = True) -> list[tuple[str, int, bool]]:
             if aside:
                 text, linked = "", 0
             if text or aside:
-                lines.append((text, max(0, len(text) - linked), articles > 0))
+                name, number = (stack[-1][0], stack[-1][3]) if stack else ("", 0)
+                lines.append(Line(text, max(0, len(text) - linked), articles > 0, number, stack[-2][3] if len(stack) > 1 else 0, name))
         words, linked = [], 0
 
     def leave(depth: int) -> None:
         nonlocal aside, articles
         while len(stack) > depth:
-            _, was_aside, was_article = stack.pop()
+            _, was_aside, was_article, _ = stack.pop()
             aside -= was_aside
             articles -= was_article
 
@@ -130,11 +156,12 @@ def lines_of(html: str, by_names: bool = True) -> list[tuple[str, int, bool]]:
         if stack and stack[-1][0] == name and name in SELF_ENDING:
             leave(len(stack) - 1)
         is_aside, is_article = _is_aside(name, part, articles > 0, by_names), name in ARTICLE
-        stack.append((name, is_aside, is_article))
+        opened += 1
+        stack.append((name, is_aside, is_article, opened))
         aside += is_aside
         articles += is_article
     end_line()
-    return lines
+    return lines, holders_of(lines)
 
 
 def main_text(html: str | None) -> str:
@@ -142,25 +169,57 @@ def main_text(html: str | None) -> str:
 
     Where nothing is left, names are not believed: a page may sit in one element of a misleading class.
     """
-    return _between(lines_of(html or "")) or _between(lines_of(html or "", by_names=False))
+    return _between(*lines_of(html or "")) or _between(*lines_of(html or "", by_names=False))
+
 
+def _between(lines: list[Line], holders: list[int]) -> str:
+    """The main text: that of a named article, unless the page has far more outside it."""
+    whole = _spans(lines, holders)
+    inside = [line.article for line in lines]
+    if any(inside):
+        bound = _spans([line for line in lines if line.article], [h for h, i in zip(holders, inside) if i])
+        if bound and not _is_little(bound, whole):
+            return bound
+        return whole or " ".join(line.text for line in lines if line.article and line.text)
+    return whole
 
-def _between(lines: list[tuple[str, int, bool]]) -> str:
-    inside = [line for line in lines if line[2] and line[0]]
-    if inside:
-        return " ".join(line[0] for line in inside)
-    lengths = [line[1] for line in lines]
+
+def _is_little(some: str, more: str) -> bool:
+    return len(more) >= SURGE and len(some) < LITTLE * len(more)
+
+
+def _spans(lines: list[Line], holders: list[int]) -> str:
+    """The lines from surge to dive, and the other text lines of the elements that hold them.
+
+    A surge is relative to the page: SURGE characters, or half of the sum that half of the text
+    reaches where that is less. Lines of links alone are kept only between a surge and its dive.
+    """
+    lengths = [line.length for line in lines]
     sums = [sum(lengths[i:i + WINDOW]) for i in range(len(lengths))]
-    kept, i = [], 0
+    if max(sums, default=0) < SURGE and not any(c.isalnum() for line in lines for c in line.text):
+        return ""     # stray signs
+    surge = min(SURGE, _middle(sums, lengths) / 2)
+    kept, i = [False] * len(lines), 0
     while i < len(lines):
-        if sums[i] < SURGE or not lengths[i]:
+        if sums[i] < surge or not lengths[i]:
             i += 1
             continue
         while i < len(lines) and sums[i]:  # to the dive: a window without text
-            if lines[i][0]:
-                kept.append(lines[i][0])
+            kept[i] = True
             i += 1
-    return " ".join(kept)
+    holding = {h for h, k, n in zip(holders, kept, lengths) if k and n}
+    return " ".join(line.text for line, h, k in zip(lines, holders, kept)
+                    if line.text and (k or line.length and h in holding))
+
+
+def _middle(sums: list[int], lengths: list[int]) -> int:
+    """The window sum at or above which half of the text lies."""
+    left = sum(lengths) / 2
+    for total, length in sorted(zip(sums, lengths), reverse=True):
+        left -= length
+        if left <= 0:
+            return total
+    return 0
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -70,3 +70,24 @@ def test_tables(spark):
     assert sorted(rows.columns) == ["found", "html", "n_chars", "page_id", "text", "url"]
     assert sorted(r["text"] for r in rows.collect()) == ["", "", "t"]
     assert line_blocks.extract(pages.limit(0)).count() == 0
+
+
+LONG = "A paragraph of the story itself, with as many words as it takes to be told from menus and such."
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_article_lines_pass_surge_and_dive(tag):
+    links = "".join(f"<li><a href='/{i}'>Another story that may be of interest, number {i}</a></li>" for i in range(8))
+    page = f"<body><{tag}><h1>Head</h1><p>{LONG}</p><p>{LONG}</p><ul>{links}</ul><p>End.</p></{tag}></body>"
+    assert line_blocks.main_text(page) == f"Head {LONG} {LONG} End."
+
+
+def test_story_outside_a_teaser_card():
+    story = "".join(f"<div>{LONG} {i}</div>" for i in range(9))
+    page = f"<body><article><a href='/x'>Card</a><p>A teaser of another story.</p></article><div>{story}</div></body>"
+    text = line_blocks.main_text(page)
+    assert all(f"{LONG} {i}" in text for i in range(9))
+
+
+def test_short_article_is_whole_and_bounds_the_lines():
+    assert line_blocks.main_text("<body><div>out</div><article><p>One.</p><p>Two.</p></article><p>out</p></body>") == "One. Two."
