@@ -25,6 +25,7 @@ LITTLE = 0.25     # of the text found otherwise; less is not taken for the main
 # Fixed values of HTML: elements without text, elements without an end tag, elements inside a line.
 SILENT = {"script", "style", "noscript", "template", "svg", "math", "head", "title", "iframe", "object", "canvas",
           "select", "textarea", "button", "audio", "video"}
+RAW = {"script", "style", "textarea", "title"}     # without an end tag they run to the end of the page
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img",
           "ins", "kbd", "label", "mark", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt",
@@ -37,7 +38,8 @@ ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form
 NOISE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "cookie", "cookies",
          "consent", "gdpr", "comment", "comments", "commentlist", "respond", "replies", "disqus", "sidebar", "nav", "navbar",
          "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "newsletter", "popup", "modal", "banner", "masthead",
-         "pagination", "widget"}
+         "pagination"}
+WHOLE_NAMES = {"widget", "widgets", "widget-area"}     # page builders have the part in the name of every block
 PERHAPS = {"header", "head", "foot", "side", "aside", "notice", "promo", "subscribe", "signup", "share", "sharing", "social",
            "related", "recommended", "toolbar", "pager", "login", "search", "form"}
 CONTENT = {"article", "content", "story", "post", "entry", "main", "body", "text"}
@@ -54,27 +56,35 @@ NAMED = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^
 SPACE = re.compile(r"\s+")
 
 
-def _is_aside(name: str, tag: str, in_article: bool, by_names: bool) -> bool:
+# What tells that an element is aside: its kind, also its role or being hidden, also its class and id.
+BY_KIND, BY_STATE, BY_NAMES = range(3)
+
+
+def _is_aside(name: str, tag: str, in_article: bool, by: int) -> bool:
     if name in ASIDE or name == "header" and not in_article:
         return True
-    if not by_names or name in ("html", "body") or name in ARTICLE or " " not in tag and "\n" not in tag and "\t" not in tag:
+    if by == BY_KIND or name in ("html", "body") or name in ARTICLE or " " not in tag and "\n" not in tag and "\t" not in tag:
         return False
     given = {m[1].lower(): next((g for g in m.groups()[1:] if g is not None), "") for m in NAMED.finditer(tag)}
     if given.get("role", "").lower() in ROLES or "hidden" in given and given["hidden"] in ("", "hidden") \
             or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "").lower():
         return True
+    if by < BY_NAMES:
+        return False
     names = f"{given.get('class', '')} {given.get('id', '')}".lower().split()
     parts = {p for n in names for q in [re.split("[-_]", n)] if not {q[0], q[-1]} & STATES for p in q}
-    return bool(parts & NOISE) or bool(parts & PERHAPS and not parts & CONTENT)
+    return bool(parts & NOISE or WHOLE_NAMES & set(names)) or bool(parts & PERHAPS and not parts & CONTENT)
 
 
 class Line(NamedTuple):
-    """``length`` is that outside links; ``element`` and ``parent`` are numbers of elements as they open."""
+    """``length`` is that outside links; ``element`` and ``parent`` are numbers of elements as they open,
+    ``ends`` has the number of the last element that opens in the parent."""
     text: str
     length: int
     article: bool
     element: int
     parent: int
+    ends: list[int]
     name: str
 
 
@@ -86,31 +96,32 @@ def holders_of(lines: list[Line]) -> list[int]:
             for line in lines]
 
 
-def lines_of(html: str, by_names: bool = True) -> tuple[list[Line], list[int]]:
-    """Every line and the element that holds it; aside lines have no text.
-
-    ``by_names`` lets class names and ids tell what is aside, besides the elements themselves.
-    """
-    lines, words, linked = [], [], 0
-    stack: list[tuple[str, bool, bool, int]] = []     # name, aside, article, number
-    opened = 0
+def lines_of(html: str, by: int = BY_NAMES) -> tuple[list[Line], list[int], int]:
+    """Every line, the element that holds it, and the length of aside text; aside lines have no text."""
+    lines, words, linked, unseen = [], [], 0, 0
+    endless: set[str] = set()     # names without an end tag in the rest of the page
+    stack: list[tuple[str, bool, bool, int, list[int]]] = []     # name, aside, article, number, last number in it
+    opened, page_ends = 0, [0]
     aside = articles = links = 0
 
     def end_line() -> None:
-        nonlocal words, linked
+        nonlocal words, linked, unseen
         if words:
             text = SPACE.sub(" ", "".join(words)).strip()
             if aside:
+                unseen += len(text)
                 text, linked = "", 0
             if text or aside:
                 name, number = (stack[-1][0], stack[-1][3]) if stack else ("", 0)
-                lines.append(Line(text, max(0, len(text) - linked), articles > 0, number, stack[-2][3] if len(stack) > 1 else 0, name))
+                parent, ends = stack[-2][3:] if len(stack) > 1 else (0, page_ends)
+                lines.append(Line(text, max(0, len(text) - linked), articles > 0, number, parent, ends, name))
         words, linked = [], 0
 
     def leave(depth: int) -> None:
         nonlocal aside, articles
         while len(stack) > depth:
-            _, was_aside, was_article, _ = stack.pop()
+            _, was_aside, was_article, _, ends = stack.pop()
+            ends[0] = opened
             aside -= was_aside
             articles -= was_article
 
@@ -132,11 +143,14 @@ def lines_of(html: str, by_names: bool = True) -> tuple[list[Line], list[int]]:
         closing, name = bool(found[1]), found[2].lower()
         if name in SILENT:
             if not closing and not part.endswith("/>"):
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
-                inner = re.compile(r"<body\b", re.I).search(html, at) if name == "head" else None
-                at = min(end.end() if end else size, inner.start() if inner else size)
+                end = None if name in endless else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(html, at)
+                inner = re.compile(r"<body\b", re.I).search(html, at) if name == "head" and name not in endless else None
+                if end or inner or name in RAW:
+                    at = min(end.end() if end else size, inner.start() if inner else size)
+                else:     # left open: read on behind the tag
+                    endless.add(name)
             continue
-        if name in INLINE and not (not closing and _is_aside(name, part, articles > 0, by_names)) and not (
+        if name in INLINE and not (not closing and _is_aside(name, part, articles > 0, by)) and not (
                 closing and any(s[0] == name for s in stack[-1:])):
             if name == "a":
                 links = max(0, links + (-1 if closing else 1))
@@ -155,21 +169,31 @@ def lines_of(html: str, by_names: bool = True) -> tuple[list[Line], list[int]]:
             continue
         if stack and stack[-1][0] == name and name in SELF_ENDING:
             leave(len(stack) - 1)
-        is_aside, is_article = _is_aside(name, part, articles > 0, by_names), name in ARTICLE
+        is_aside, is_article = _is_aside(name, part, articles > 0, by), name in ARTICLE
         opened += 1
-        stack.append((name, is_aside, is_article, opened))
+        stack.append((name, is_aside, is_article, opened, [opened]))
         aside += is_aside
         articles += is_article
     end_line()
-    return lines, holders_of(lines)
+    leave(0)
+    page_ends[0] = opened
+    return lines, holders_of(lines), unseen
 
 
 def main_text(html: str | None) -> str:
     """The text between surges and dives, lines joined by one space.
 
-    Where nothing is left, names are not believed: a page may sit in one element of a misleading class.
+    Class names and ids are not believed where they leave little of the page, a story may sit in one
+    element of a misleading class, and neither are roles and hiding where nothing is left.
     """
-    return _between(*lines_of(html or "")) or _between(*lines_of(html or "", by_names=False))
+    html = html or ""
+    lines, holders, unseen = lines_of(html)
+    text = _between(lines, holders)
+    if not text or _is_little(len(text), len(text) + unseen):
+        more = _between(*lines_of(html, BY_STATE)[:2])
+        if not text or _is_little(len(text), len(more)):
+            text = more
+    return text or _between(*lines_of(html, BY_KIND)[:2])
 
 
 def _between(lines: list[Line], holders: list[int]) -> str:
@@ -178,14 +202,14 @@ def _between(lines: list[Line], holders: list[int]) -> str:
     inside = [line.article for line in lines]
     if any(inside):
         bound = _spans([line for line in lines if line.article], [h for h, i in zip(holders, inside) if i])
-        if bound and not _is_little(bound, whole):
+        if bound and not _is_little(len(bound), len(whole)):
             return bound
         return whole or " ".join(line.text for line in lines if line.article and line.text)
     return whole
 
 
-def _is_little(some: str, more: str) -> bool:
-    return len(more) >= SURGE and len(some) < LITTLE * len(more)
+def _is_little(some: int, more: int) -> bool:
+    return more >= SURGE and some < LITTLE * more
 
 
 def _spans(lines: list[Line], holders: list[int]) -> str:
@@ -199,19 +223,35 @@ def _spans(lines: list[Line], holders: list[int]) -> str:
     if max(sums, default=0) < SURGE and not any(c.isalnum() for line in lines for c in line.text):
         return ""     # stray signs
     surge = min(SURGE, _middle(sums, lengths) / 2)
-    kept, i = [False] * len(lines), 0
+    kept, i, dived = [False] * len(lines), 0, 0
     while i < len(lines):
         if sums[i] < surge or not lengths[i]:
             i += 1
             continue
+        for j in range(_heading_above(lines, dived, i), i):
+            kept[j] = lengths[j] > 0
         while i < len(lines) and sums[i]:  # to the dive: a window without text
             kept[i] = True
             i += 1
+        dived = i
     holding = {h for h, k, n in zip(holders, kept, lengths) if k and n}
     return " ".join(line.text for line, h, k in zip(lines, holders, kept)
                     if line.text and (k or line.length and h in holding))
 
 
+def _heading_above(lines: list[Line], first: int, start: int) -> int:
+    """The place of the heading above line ``start``, of headings above each other the highest.
+
+    Between ``first`` and ``start``; its parent has to hold the line, with what is between them.
+    """
+    found, rank = start, "h7"
+    for j in range(start - 1, first - 1, -1):
+        line = lines[j]
+        if line.name in HEADINGS and line.length and line.name < rank and line.parent <= lines[start].element <= line.ends[0]:
+            found, rank = j, line.name
+    return found
+
+
 def _middle(sums: list[int], lengths: list[int]) -> int:
     """The window sum at or above which half of the text lies."""
     left = sum(lengths) / 2
@@ -225,9 +265,10 @@ def _middle(sums: list[int], lengths: list[int]) -> int:
 def extract(pages: DataFrame) -> DataFrame:
     """``pages`` with ``text`` and ``n_chars`` (code points) of the main text of ``html``.
 
-    Null and empty pages, and pages without a surge, give the empty text. Broken markup is read as
-    far as it goes: elements left open end with their parent or the page. Repeated rows get equal
-    texts; columns named ``text`` or ``n_chars`` give way; an empty table gives an empty result.
+    Null and empty pages, and pages without text outside links and asides, give the empty text.
+    Broken markup is read as far as it goes: elements left open end with their parent or the page.
+    Repeated rows get equal texts; columns named ``text`` or ``n_chars`` give way; an empty table
+    gives an empty result.
     """
     prepare_python(pages.sparkSession)
 

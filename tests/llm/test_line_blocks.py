@@ -91,3 +91,26 @@ def test_story_outside_a_teaser_card():
 
 def test_short_article_is_whole_and_bounds_the_lines():
     assert line_blocks.main_text("<body><div>out</div><article><p>One.</p><p>Two.</p></article><p>out</p></body>") == "One. Two."
+
+
+VERSE = [f"a short line of verse {i}" for i in range(12)]
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<body><div>" + "<br>".join(VERSE) + "</div></body>", " ".join(VERSE)),
+    ("<body><ul>" + "".join(f"<li>{v}" for v in VERSE) + "</ul></body>", " ".join(VERSE)),
+    ("<body><div><p>Short in all.</p></div></body>", "Short in all."),
+    (f"<div><h1>Head</h1><p>By me</p><p>Today</p><p>2 min</p><p>{LONG}</p></div>", f"Head By me Today 2 min {LONG}"),
+    (f"<div><h1>Head</h1><h2>Second</h2><div><span>By me</span></div><div>Today</div><div>2 min</div><section><p>{LONG}</p></section></div>",
+     f"Head Second By me Today 2 min {LONG}"),
+    (f"<div><p>{LONG}</p><div class=ad><p>Buy</p><p>this</p><p>now</p></div><p>The end.</p></div>", f"{LONG} The end."),
+    (f"<div><p>{LONG}</p><p><a href=x>a</a><p><a href=x>b</a><p><a href=x>c</a><p>The end.</p></div>", f"{LONG} The end."),
+    (f"<article><div class='elementor-widget elementor-widget-text-editor'><div class='elementor-widget-container'><p>{LONG}</p></div></div>"
+     "<div class='widget widget_recent'>Not this</div></article>", LONG),
+    (f"<body><p>Some words left.</p><div id='sidebar-layout'><p>{LONG}</p><p>{LONG}</p></div></body>", f"Some words left. {LONG} {LONG}"),
+    (f"<body><p>{LONG}</p><div style='display:none'>{LONG * 9}</div></body>", LONG),
+    *[(f"<body><{name}><p>{LONG}</p></body>", LONG) for name in ("button", "svg", "noscript", "select", "head", "object", "iframe")],
+    *[(f"<body><p>{LONG}</p><{name}><p>{LONG}</p></body>", LONG) for name in ("script", "style", "textarea", "title")],
+])
+def test_no_text_of_the_story_is_dropped(page, text):
+    assert line_blocks.main_text(page) == text
