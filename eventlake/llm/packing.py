@@ -81,8 +81,8 @@ def _byte_of_sign() -> dict[str, int]:
 class Encoder:
     """Token ids by a byte-level BPE file of the tokenizers library, as little-endian bytes.
 
-    The file's vocabulary is given to a faster engine, which merges by the same ranks. Strings of
-    special tokens inside a text are ordinary text.
+    The file's vocabulary is given to a faster engine, which merges by the same ranks. Here strings of
+    added tokens inside a text are ordinary text; ``document_encoder`` gives them their own ids.
     """
 
     def __init__(self, path: str):
@@ -111,6 +111,40 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
+class DocumentEncoder:
+    """Token ids as the tokenizers library gives them with ``add_special_tokens=False``.
+
+    The library itself encodes the texts that hold an added token, such as ``<|endoftext|>``; the
+    others go through ``Encoder``.
+    """
+
+    def __init__(self, path: str):
+        added = [t["content"] for t in json.loads(Path(path).read_text(encoding="utf-8")).get("added_tokens", [])]
+        self.path, self.ordinary, self.library = path, encoder(path), None
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+
+    def whole(self, text: str) -> bytes:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        holding = [self.added.search(t) is not None for t in texts]
+        others = iter(self.ordinary([t for t, h in zip(texts, holding) if not h]))
+        return [self.whole(t) if h else next(others) for t, h in zip(texts, holding)]
+
+
+_DOCUMENT_ENCODERS: dict[str, DocumentEncoder] = {}
+
+
+def document_encoder(path: str) -> DocumentEncoder:
+    if path not in _DOCUMENT_ENCODERS:
+        _DOCUMENT_ENCODERS[path] = DocumentEncoder(path)
+    return _DOCUMENT_ENCODERS[path]
+
+
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
           "offset long")
 GROUP_CHARS = 1 << 21
@@ -150,7 +184,8 @@ def pack(docs: DataFrame, tokenizer: str, tokens: int = SEQUENCE_TOKENS, end_id:
     """One row per piece of a document: where it starts in the document and where it lies.
 
     ``ids`` holds the piece's token ids as little-endian unsigned 32-bit numbers. Every document ends
-    with ``end_id``; null and empty texts are that id alone. Sequences are filled to ``tokens`` and
+    with ``end_id``; null and empty texts are that id alone. An added token of the vocabulary inside a
+    text, such as ``<|endoftext|>``, is its own id, as in the tokenizers library. Sequences are filled to ``tokens`` and
     documents cut where one is full, so only the last sequence of a task has room left. Documents
     with equal keys (copies) are spread by a hash of their id and then by their place in the input,
     so a large group of copies does not end in one task. An empty table gives no pieces. Other
@@ -165,4 +200,4 @@ def pack(docs: DataFrame, tokenizer: str, tokens: int = SEQUENCE_TOKENS, end_id:
         F.monotonically_increasing_id().alias("row"))
     count = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     along = keyed.repartitionByRange(count, "key", "spread", "row").sortWithinPartitions("key", "spread", "row")
-    return along.select("doc_id", "text").mapInPandas(_pack(lambda: encoder(where), tokens, end_id), PIECES)
+    return along.select("doc_id", "text").mapInPandas(_pack(lambda: document_encoder(where), tokens, end_id), PIECES)

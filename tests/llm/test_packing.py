@@ -96,3 +96,19 @@ def test_near_texts_have_near_points(given_docs):
     a, b, c = (packing.curve_point(t) for t in (text, text + " one more", "WHOLLY OTHER! 123 $$$ " * 40))
     assert np.abs(a - b).max() < np.abs(a - c).max()
     same_bag(packing.curve_point(None), packing.curve_point(""))
+
+
+ADDED = ["a<|endoftext|>b", "<|endoftext|>", "<|endoftext|><|endoftext|> x  y <|endoftext|>\n\n<|endoftext", "é <|endoftext|>  日本 <|ENDOFTEXT|>",
+         "<|endof<|endoftext|>text|>", "long  text <|endoftext|> " * 3000]
+
+
+def test_added_tokens_in_texts_have_their_own_ids(spark, given_docs):
+    from tokenizers import Tokenizer
+
+    unmodified = Tokenizer.from_file(tokenizer_path())
+    texts = ADDED + SPACES + [d["text"] for d in given_docs]
+    ids = ids_of(unmodified, texts)
+    assert ids[0] == [64, 50256, 65]
+    assert [np.frombuffer(b, "<u4").tolist() for b in packing.document_encoder(tokenizer_path())(texts)] == ids
+    docs = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")
+    check(digest(packing.pack(docs, tokenizer_path(), partitions=2)), [(i, own + [1]) for i, own in enumerate(ids[:len(ADDED)])])
