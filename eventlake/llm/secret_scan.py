@@ -1,7 +1,7 @@
 """Secret scan: known forms by expression, unknown ones by a battery of randomness tests.
 
-A long token without a known form is a candidate. The encoding it could be in is inferred from its
-characters, and three tests ask whether it looks drawn at random from that alphabet: a chi-squared
+A long token without a known form is a candidate, and so are its parts between signs, since a key may
+be joined to plain words or stand in a path. The encoding it could be in is inferred from its characters, and three tests ask whether it looks drawn at random from that alphabet: a chi-squared
 test of uniformity, a runs test on character classes and a test of serial correlation. Each tests the
 null hypothesis "ordinary text", so its power grows with the token. The three are combined into one
 p-value, and the false-discovery rate is controlled within strata of token length, over all
@@ -24,6 +24,9 @@ ASSIGN_LEAST = 12
 KINDS = ["assign", "access", "hex", "random"]
 
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+PLAIN = r"^[A-Za-z0-9]+$"
+# Candidates within a run that has signs between: its longest parts in one alphabet, with and without them.
+PARTS = [r"[A-Za-z0-9+/]{20,}", r"[A-Za-z0-9_-]{20,}", r"[A-Za-z0-9]{20,}"]
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Encoding: expression, alphabet, how far ordinary text is from uniform (alphabet size * sum of squared
 # character shares - 1: decimal numbers in hex, letter frequencies of prose in the others).
@@ -42,7 +45,7 @@ LIMIT = 4.0               # no single test carries more than this many standard
 STRATA = (32, 64)         # token lengths at which a new stratum begins
 FALSE_DISCOVERIES = 0.05
 STEPS = 20                # p-values are grouped by the STEPS-th part of a power of ten, rounded up
-SMALLEST = 7.0            # powers of ten
+SMALLEST = 12.0           # powers of ten; three tests at LIMIT give 2e-12
 MASK = "[SECRET]"
 SPANS = "array<struct<start:int,end:int,text:string>>"
 BLOCK = 256
@@ -81,7 +84,8 @@ def _places(text: Column, form: str, keep: Callable[[Column], Column] | None = N
 
 
 def _normal(z: Column) -> Column:
-    """Lower tail of the normal distribution (a rational approximation, good to 1e-7)."""
+    """Lower tail of the normal distribution (a rational approximation, good to 1e-7 and, as far out as
+    LIMIT lets it go, to 1 % of the tail)."""
     def upper(t: Column) -> Column:
         poly = t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
         return F.exp(-z * z / 2) * 0.3989422804014327 * poly
@@ -148,6 +152,17 @@ def _step(p: Column) -> Column:
     return F.floor(F.least(F.lit(SMALLEST), -F.log10(F.greatest(p, F.lit(1e-300)))) * STEPS).cast("int")
 
 
+def _candidates(text: Column) -> Column:
+    """Per run of key characters the run, or where it has ``+/_-`` its parts that fit one alphabet."""
+    def split(run: Column) -> Column:
+        parts = F.concat(*[_places(run["text"], form) for form in PARTS])
+        moved = F.transform(parts, lambda p: F.struct(
+            (run["start"] + p["start"]).alias("start"), (run["start"] + p["end"]).alias("end"), p["text"].alias("text")))
+        return F.when(F.rlike(run["text"], F.lit(PLAIN)), F.array(run)).otherwise(F.array_sort(F.array_distinct(moved)))
+
+    return F.transform(_places(text, CANDIDATE), split)
+
+
 def _overlap(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
@@ -161,17 +176,20 @@ def _ranked(spans: Column, kind: int) -> Column:
 
 
 def _base_and_candidates(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` beside a struct: ``base`` spans in order, and ``tokens`` apart from them with step and stratum."""
+    """``docs`` beside a struct: ``base`` spans in order, and per run the ``tokens`` apart from them with step and stratum."""
     text, name = F.coalesce("text", F.lit("")), fresh(docs, "scan")
     base = F.array_sort(F.concat(_ranked(_places(text, ASSIGN, _assigned), 0), _ranked(_places(text, ACCESS), 1),
                                  _ranked(_places(text, HEX), 2)))
-    placed = docs.select("*", F.struct(base.alias("base"), _places(text, CANDIDATE).alias("tokens")).alias(name))
+    placed = docs.select("*", F.struct(base.alias("base"), _candidates(text).alias("tokens")).alias(name))
     held = F.col(name)
-    apart = F.filter(held["tokens"], lambda t: ~F.exists(held["base"], lambda b: _overlap(b, t)))
-    judged = F.transform(apart, lambda t: F.struct(
-        t["start"].alias("start"), t["end"].alias("end"), _stratum(t["end"] - t["start"]).alias("stratum"),
-        _step(randomness(t["text"])).alias("step")))
-    return placed.withColumn(name, F.struct(held["base"].alias("base"), judged.alias("tokens"))), name
+
+    def judged(run: Column) -> Column:
+        apart = F.filter(run, lambda t: ~F.exists(held["base"], lambda b: _overlap(b, t)))
+        return F.transform(apart, lambda t: F.struct(
+            t["start"].alias("start"), t["end"].alias("end"), _stratum(t["end"] - t["start"]).alias("stratum"),
+            _step(randomness(t["text"])).alias("step")))
+
+    return placed.withColumn(name, F.struct(held["base"].alias("base"), F.transform(held["tokens"], judged).alias("tokens"))), name
 
 
 def discovery_limits(docs: DataFrame) -> dict[int, int]:
@@ -180,7 +198,7 @@ def discovery_limits(docs: DataFrame) -> dict[int, int]:
     Counts all candidates of all documents. The result has at most one number per stratum.
     """
     placed, name = _base_and_candidates(docs.select("text"))
-    counts = placed.select(F.explode(F.col(name)["tokens"]).alias("t")).groupBy("t.stratum", "t.step").count()
+    counts = placed.select(F.explode(F.flatten(F.col(name)["tokens"])).alias("t")).groupBy("t.stratum", "t.step").count()
     of = Window.partitionBy("stratum")  # at most STEPS * SMALLEST + 1 rows a stratum
     ranked = counts.withColumn("total", F.sum("count").over(of)).withColumn(
         "rank", F.sum("count").over(of.orderBy(F.desc("step"))))
@@ -192,7 +210,8 @@ def discovery_limits(docs: DataFrame) -> dict[int, int]:
 def find_secrets(docs: DataFrame, limits: dict[int, int] | None = None) -> DataFrame:
     """``docs`` with ``secret_spans``: an array of (start, kind, end), ordered, ``kind`` a place in KINDS.
 
-    Offsets are code points, the end exclusive. ``limits`` are those of the corpus; without them they
+    Offsets are code points, the end exclusive. Of random spans within each other the outermost is
+    given; others may overlap. ``limits`` are those of the corpus; without them they
     are taken over ``docs`` first. Null and empty texts have no spans, repeated rows have equal spans,
     an empty table gives an empty result, and a column named ``secret_spans`` gives way.
     """
@@ -207,7 +226,12 @@ def find_secrets(docs: DataFrame, limits: dict[int, int] | None = None) -> DataF
             cut = F.when(t["stratum"] == stratum, F.lit(step)).otherwise(cut)
         return F.coalesce(t["step"] >= cut, F.lit(False))
 
-    random = _ranked(F.filter(held["tokens"], found), 3) if limits else F.array().cast(
+    def outermost(tokens: Column) -> Column:
+        def within(a: Column, b: Column) -> Column:
+            return (b["start"] <= a["start"]) & (a["end"] <= b["end"]) & (a["end"] - a["start"] < b["end"] - b["start"])
+        return F.filter(tokens, lambda a: ~F.exists(tokens, lambda b: within(a, b)))
+
+    random = _ranked(F.flatten(F.transform(held["tokens"], lambda run: bind(F.filter(run, found), outermost))), 3) if limits else F.array().cast(
         "array<struct<start:int,kind:int,end:int>>")
     out = F.struct(F.array_sort(F.concat(held["base"], random)).alias("secret_spans"))
     return beside(placed, out, ["secret_spans"]).drop(name)

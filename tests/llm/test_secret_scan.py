@@ -3,6 +3,7 @@ import random
 import re
 
 from cases import SF, odd_texts, same_bag
+from pyspark.sql import functions as F
 
 from eventlake.llm import secret_scan
 from eventlake.llm.queries import QUERIES
@@ -79,3 +80,36 @@ def test_masking(spark, odd_docs, no_docs):
     same_bag([(r["doc_id"], r["text"], r["n_chars"]) for r in masked.collect()],
              [(i, None if t is None else mask(t), None if t is None else len(mask(t))) for i, t in odd_texts() + TRICKY])
     assert secret_scan.mask_secrets(no_docs).count() == 0
+
+
+SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+
+def test_random_keys_within_mixed_runs_are_found(spark):
+    rng = random.Random(11)
+    key = lambda signs, n: "".join(rng.choice(signs) for _ in range(n))
+    places, texts = {}, []
+    for i in range(120):
+        before, own = [("/my-app/v1/", key(SIGNS, 40)), ("sk_", key(SIGNS, 22) + "/" + key(SIGNS, 22)),
+                       ("the-plain-words-of-some/ordinary_path_before/", key(SIGNS, 44))][i % 3]
+        places[i] = (4 + len(before), 4 + len(before) + len(own))
+        texts.append((i, f"see {before}{own} é"))
+    plain = [(1000 + i, "the/plain-words_of/some-ordinary_path/in-all_its/length and an-other_one/with_more-words/in_it") for i in range(200)]
+    docs = spark.createDataFrame(texts + plain, "doc_id long, text string")
+    found = {r["doc_id"]: [s for s in r["secret_spans"] if s["kind"] == 3] for r in secret_scan.find_secrets(docs).collect()}
+    for kind in range(3):
+        own = [i for i in places if i % 3 == kind]
+        assert sum(any(s["start"] <= places[i][0] and places[i][1] <= s["end"] for s in found[i]) for i in own) >= 36
+    assert not any(found[i] for i, _ in plain)
+    masked = {r["doc_id"]: r["text"] for r in secret_scan.mask_secrets(docs).collect()}
+    assert sum(texts[i][1][places[i][0]:places[i][1]] in masked[i] for i in places) <= 12
+
+
+def test_a_secret_among_very_many_candidates_is_found(spark):
+    """Steps reach the least p-value there is, so one secret among millions of tokens is a discovery."""
+    rng = random.Random(4)
+    secret = max(("".join(rng.choice(SIGNS) for _ in range(63)) for _ in range(50)), key=lambda t: len(set(t)))
+    docs = spark.createDataFrame([(1, f"x {secret}")], "doc_id long, text string")
+    placed, name = secret_scan._base_and_candidates(docs)
+    step = placed.select(F.col(name)["tokens"][0][0]["step"]).first()[0]
+    assert 10 ** (-step / secret_scan.STEPS) * 3_000_000 <= secret_scan.FALSE_DISCOVERIES
