@@ -60,4 +60,24 @@ SELECT conv_id, count(*) AS n_turns,
 FROM given JOIN sizes USING (conv_id) GROUP BY conv_id
 """
 
-ORACLES = {"op2_winnowed_overlaps": OVERLAPS, "op6_chat_windows": CHAT}
+RANKED = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS w FROM documents),
+q AS (SELECT row_number() OVER () AS i, item_id, {WORDS} AS w FROM benchmark),
+qt AS (SELECT i, term, count(*) AS times FROM (SELECT i, unnest(w) AS term FROM q) GROUP BY i, term),
+size AS (SELECT count(*) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM d WHERE len(w) > 0),
+tf AS (
+  SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d)
+  WHERE term IN (SELECT term FROM qt) GROUP BY r, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, size GROUP BY term, n),
+spread AS (SELECT r, doc_id, 25 + (75 * len(w) * n) // l AS m FROM d, size WHERE len(w) > 0),
+scores AS (
+  SELECT i, r, any_value(doc_id) AS doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM tf JOIN weights USING (term) JOIN qt USING (term) JOIN spread USING (r) GROUP BY i, r),
+ranks AS (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranks JOIN q USING (i) WHERE rank <= 10
+"""
+
+ORACLES = {"op2_winnowed_overlaps": OVERLAPS, "op6_chat_windows": CHAT, "op11_ranked_documents": RANKED}

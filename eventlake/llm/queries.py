@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlake.llm import (
-    chat, licences, line_blocks, neighbours, packing, quality_rules, secret_scan, sharding, simhash, winnowing)
+    chat, licences, line_blocks, neighbours, packing, quality_rules, ranked, secret_scan, sharding, simhash,
+    winnowing)
 from eventlake.llm.oracles import ORACLES
 from eventlake.sources.tables import read_table
 
@@ -92,6 +93,10 @@ def licence_labels(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("text")
 
 
+def ranked_documents(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.rank_documents(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_neighbours": quality_neighbours,
     "op2_winnowed_overlaps": winnowed_overlaps,
@@ -103,4 +108,5 @@ QUERIES = {
     "op8_risk_controlled_rules": risk_controlled_rules,
     "op9_page_texts": page_texts,
     "op10_licence_labels": licence_labels,
+    "op11_ranked_documents": ranked_documents,
 }

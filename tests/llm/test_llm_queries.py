@@ -18,4 +18,4 @@ def test_query_matches_sql(spark, name):
 
 def test_one_query_per_operator():
     numbers = [int(m[1]) for n in entry_file.queries() if (m := re.match(r"op(\d+)_", n))]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in entry_file.queries()
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in entry_file.queries()
