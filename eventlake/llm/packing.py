@@ -71,7 +71,7 @@ PIECE_RULE = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 PIECE_RULE_SINGLE_SPACES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"""
 
 
-def _byte_of_sign() -> dict[str, int]:
+def byte_of_sign() -> dict[str, int]:
     """The vocabulary file writes printable bytes as they are and the others from U+0100 on."""
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in set(plain)]
@@ -90,7 +90,7 @@ class Encoder:
 
         held = json.loads(Path(path).read_text(encoding="utf-8"))
         special = {t["content"] for t in held.get("added_tokens", [])}
-        byte = _byte_of_sign()
+        byte = byte_of_sign()
         ranks = {bytes(byte[c] for c in token): rank for token, rank in held["model"]["vocab"].items()
                  if token not in special}
         self.whole, self.single = (

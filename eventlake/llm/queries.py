@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlake.llm import (
-    chat, licences, line_blocks, neighbours, packing, quality_rules, ranked, secret_scan, sharding, simhash,
+    alignment, chat, licences, line_blocks, neighbours, packing, quality_rules, ranked, secret_scan, sharding, simhash,
     winnowing)
 from eventlake.llm.oracles import ORACLES
 from eventlake.sources.tables import read_table
@@ -97,6 +97,12 @@ def ranked_documents(spark: SparkSession, folder: str) -> DataFrame:
     return ranked.rank_documents(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
 
 
+def aligned_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select(F.col("doc_id").cast("long"), "text")
+    aligned = alignment.align_texts(docs, tokenizer_path(), tokenizer_path("piece_bpe_32k.model"), digest=True)
+    return alignment.document_measures(docs, aligned).withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     "op1_quality_neighbours": quality_neighbours,
     "op2_winnowed_overlaps": winnowed_overlaps,
@@ -109,4 +115,5 @@ QUERIES = {
     "op9_page_texts": page_texts,
     "op10_licence_labels": licence_labels,
     "op11_ranked_documents": ranked_documents,
+    "op12_aligned_tokens": aligned_tokens,
 }
