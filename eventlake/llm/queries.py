@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from eventlake.llm import (
-    alignment, chat, licences, line_blocks, neighbours, packing, quality_rules, ranked, secret_scan, sharding, simhash,
+    alignment, chat, edit_prints, licences, line_blocks, neighbours, packing, quality_rules, ranked, secret_scan, sharding, simhash,
     winnowing)
 from eventlake.llm.oracles import ORACLES
 from eventlake.sources.tables import read_table
@@ -103,6 +103,12 @@ def aligned_tokens(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.document_measures(docs, aligned).withColumnRenamed("groups", "groups_sha256")
 
 
+def edit_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    found = edit_prints.fingerprints(read_table(spark, folder, "documents").select("doc_id", "text"))
+    prints = [F.lower(F.hex(c)).alias(n) for c, n in (("print", "fingerprint"), ("edited_print", "edited_fingerprint"))]
+    return found.select("doc_id", "n_chars", "edited_sha256", *prints, "near_edited", "near_next", "near_id")
+
+
 QUERIES = {
     "op1_quality_neighbours": quality_neighbours,
     "op2_winnowed_overlaps": winnowed_overlaps,
@@ -116,4 +122,5 @@ QUERIES = {
     "op10_licence_labels": licence_labels,
     "op11_ranked_documents": ranked_documents,
     "op12_aligned_tokens": aligned_tokens,
+    "op13_edit_prints": edit_fingerprints,
 }
