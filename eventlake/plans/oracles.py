@@ -451,17 +451,20 @@ READABLE = """readable AS (
   UNION ALL
   SELECT "partition", "offset", TIMESTAMP '1999-01-01', '', '', '', '', NULL, '{}' FROM pings)"""
 
-ORACLES["wh_dedup"] = _with("""
+for _name in ("wh_dedup", "wh_dedup_filtered"):
+    ORACLES[_name] = _with("""
 SELECT idempotency_key, aggregate_id AS order_id, "offset" FROM first
 WHERE event_type <> 'order.created'""", IMAGES, MESSAGES)
 for _name in ("wh_current", "wh_replay_twice", "wh_rebuild", "stream_warehouse"):
     ORACLES[_name] = _with("SELECT * FROM wh", IMAGES, MESSAGES, WAREHOUSE)
-ORACLES["wh_ledger"] = _with(
-    'SELECT idempotency_key, event_id, applied_at, "offset" FROM first', IMAGES, MESSAGES)
-ORACLES["wh_checkpoints"] = _with("""
+for _name in ("wh_ledger", "stream_wh_ledger"):
+    ORACLES[_name] = _with(
+        'SELECT idempotency_key, event_id, applied_at, "offset" FROM first', IMAGES, MESSAGES)
+for _name in ("wh_checkpoints", "stream_wh_checkpoints"):
+    ORACLES[_name] = _with("""
 SELECT 'shop-order-changes' AS topic, "partition", max("offset") AS "offset",
   arg_max(applied_at, "offset") AS updated_at FROM readable GROUP BY "partition" """,
-    IMAGES, MESSAGES, READABLE)
+        IMAGES, MESSAGES, READABLE)
 ORACLES["wh_recent"] = _with(
     "SELECT * FROM wh ORDER BY updated_at DESC, order_id LIMIT 20", IMAGES, MESSAGES, WAREHOUSE)
 ORACLES["wh_quarantine"] = _with("""

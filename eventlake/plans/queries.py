@@ -11,9 +11,10 @@ from eventlake.functions.keys import clean_dim, clean_dims, dims_hash, dims_json
 from eventlake.functions.times import zoneless
 from eventlake.operators import (
     capture, features, freshness, index, quality, rollups, serving, warehouse)
+from eventlake.operators.daystore import KeyLedger
 from eventlake.operators.mergetable import MergeTable, fold
 from eventlake.plans import fixtures as fx
-from eventlake.session import apply_settings, scratch_dir, streaming_session
+from eventlake.session import apply_settings, scratch_dir, stored, streaming_session
 from eventlake.sources import members, tables
 from eventlake.sources.schemas import record
 from eventlake.sources.streams import file_stream
@@ -450,6 +451,20 @@ def wh_dedup(spark, folder):
         "idempotency_key", "order_id", "offset")
 
 
+@query
+def wh_dedup_filtered(spark, folder):
+    """The same against a ledger filed by days, some of them closed: filters choose the days to open."""
+    envelopes = usable(_order_envelopes(spark, folder))
+    half = F.col("event_type") == "order.created"
+    known = stored(warehouse.ledger_rows(warehouse.first_deliveries(envelopes.where(half))))
+    ledger = KeyLedger(spark, scratch_dir(spark, "ledger"), warehouse.LEDGER, "idempotency_key")
+    for day in range(4):
+        part = F.pmod(F.xxhash64("event_id"), F.lit(4)) == day
+        ledger.write(known.where(part), date(2024, 1, 1 + day), "run", day)
+    ledger.close(date(2024, 1, 3))
+    return ledger.unseen(warehouse.first_deliveries(envelopes)).select("idempotency_key", "order_id", "offset")
+
+
 @query
 def wh_current(spark, folder):
     return _flat(warehouse.order_rows(_applied(spark, folder)))
@@ -795,8 +810,7 @@ def stream_features_json(spark, folder):
     return _flat_features(found.where(F.col("kind") != "TIMER"))
 
 
-@query
-def stream_warehouse(spark, folder):
+def _streamed_warehouse(spark: SparkSession, folder: str) -> warehouse.Warehouse:
     """The topic arrives in three parts, in offset order, with second deliveries in later parts; every
     part is a run of the same stream, going on from its checkpoint."""
     session = streaming_session(spark)
@@ -808,8 +822,24 @@ def stream_warehouse(spark, folder):
         arrived = F.least(F.lit(2), F.floor(F.col("offset") * 3 / (last + 1))) == part
         messages.where(arrived).write.mode("append").parquet(source)
         stream = file_stream(session, source, messages.schema, max_bytes_per_trigger=TRIGGER_BYTES)
-        warehouse_streams.ingest(stream, store, "run", checkpoint, compact_every=2).awaitTermination()
-    return _flat(store.orders.read())
+        log = progress.ProgressLog(session, scratch_dir(session, "progress"))
+        log.complete(warehouse_streams.ingest(stream, store, "run", checkpoint, compact_every=2))
+    return store
+
+
+@query
+def stream_warehouse(spark, folder):
+    return _flat(_streamed_warehouse(spark, folder).orders.read())
+
+
+@query
+def stream_wh_ledger(spark, folder):
+    return _flat(_streamed_warehouse(spark, folder).ledger.read())
+
+
+@query
+def stream_wh_checkpoints(spark, folder):
+    return _flat(_streamed_warehouse(spark, folder).checkpoints.read())
 
 
 @query
