@@ -10,6 +10,7 @@ article limits the lines to it, unless the rest of the page has several times th
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from html import unescape
 from typing import NamedTuple
@@ -38,7 +39,7 @@ ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form
 NOISE = {"ad", "ads", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "cookie", "cookies",
          "consent", "gdpr", "comment", "comments", "commentlist", "respond", "replies", "disqus", "sidebar", "nav", "navbar",
          "navigation", "menu", "breadcrumb", "breadcrumbs", "footer", "newsletter", "popup", "modal", "banner", "masthead",
-         "pagination"}
+         "pagination", "topbar"}
 WHOLE_NAMES = {"widget", "widgets", "widget-area"}     # page builders have the part in the name of every block
 PERHAPS = {"header", "head", "foot", "side", "aside", "notice", "promo", "subscribe", "signup", "share", "sharing", "social",
            "related", "recommended", "toolbar", "pager", "login", "search", "form"}
@@ -49,8 +50,13 @@ SELF_ENDING = {"p", "li", "dt", "dd", "tr", "td", "th", "option", "thead", "tbod
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 SINGLE = HEADINGS | {"p", "li", "dt", "dd", "td", "th"}     # hold the lines of one paragraph
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|"
-                   r"</?[A-Za-z][^<>]*\Z|[^<]+|<", re.S)     # a tag that the page breaks off is no text
+QUOTES = {"blockquote", "figcaption"}
+# The tag form stops at the next "<", so that broken tags cost no more than their length; ``Tags`` reads
+# those that have one in a quoted value.
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|"
+                   r"</?[A-Za-z][^<>\"']*(?:\"[^<>\"]*\"[^<>\"']*|'[^<>']*'[^<>\"']*)*>|[^<]+|<", re.S)
+BROKEN_OFF = re.compile(r"</?[A-Za-z][^<>]*\Z")     # a tag that the page breaks off is no text
+TAG_BEGINS = re.compile(r"</?[A-Za-z]")
 TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)")
 NAMED = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 SPACE = re.compile(r"\s+")
@@ -76,11 +82,46 @@ def _is_aside(name: str, tag: str, in_article: bool, by: int) -> bool:
     return bool(parts & NOISE or WHOLE_NAMES & set(names)) or bool(parts & PERHAPS and not parts & CONTENT)
 
 
+class Tags:
+    """Ends of tags with "<" or ">" in quoted values, found in time linear in the page.
+
+    Whether a tag ends depends on the next quote or ">" outside quotes alone. Those from which no end is
+    reached are remembered, and no later tag goes on from them.
+    """
+
+    def __init__(self, html: str):
+        self.html, self.dead = html, set()
+        self.places: dict[str, list[int]] | None = None
+
+    def end(self, at: int) -> int | None:
+        """The place behind the tag that begins at ``at``, None if it has no end."""
+        if self.places is None:
+            self.places = {c: [] for c in ">\"'"}
+            for found in re.finditer("[>\"']", self.html):
+                self.places[found.group()].append(found.start())
+            self.signs = sorted(p for places in self.places.values() for p in places)
+        place, seen = at + 2, []
+        while (k := bisect_left(self.signs, place)) < len(self.signs) and (sign := self.signs[k]) not in self.dead:
+            if self.html[sign] == ">":
+                return sign + 1
+            seen.append(sign)
+            same = self.places[self.html[sign]]
+            k = bisect_left(same, sign + 1)
+            if k == len(same):
+                break
+            place = same[k] + 1
+        self.dead.update(seen)
+        return None
+
+
 class Line(NamedTuple):
-    """``length`` is that outside links; ``element`` and ``parent`` are numbers of elements as they open,
-    ``ends`` has the number of the last element that opens in the parent."""
+    """``length`` is that outside links, ``spoken`` also that of linked headings and quotes; ``element`` and
+    ``parent`` are numbers of elements as they open, ``ends`` has the number of the last element that opens
+    in the parent, ``quoted`` is the element that holds the quote a line is in, or -1."""
     text: str
     length: int
+    spoken: int
+    quoted: int
     article: bool
     element: int
     parent: int
@@ -101,7 +142,8 @@ def lines_of(html: str, by: int = BY_NAMES) -> tuple[list[Line], list[int], int]
     lines, words, linked, unseen = [], [], 0, 0
     endless: set[str] = set()     # names without an end tag in the rest of the page
     stack: list[tuple[str, bool, bool, int, list[int]]] = []     # name, aside, article, number, last number in it
-    opened, page_ends = 0, [0]
+    opened, page_ends, tags, named = 0, [0], Tags(html), Counter()     # open elements by name
+    quotes: list[int] = []     # elements that hold the open quotes
     aside = articles = links = 0
 
     def end_line() -> None:
@@ -114,13 +156,18 @@ def lines_of(html: str, by: int = BY_NAMES) -> tuple[list[Line], list[int], int]
             if text or aside:
                 name, number = (stack[-1][0], stack[-1][3]) if stack else ("", 0)
                 parent, ends = stack[-2][3:] if len(stack) > 1 else (0, page_ends)
-                lines.append(Line(text, max(0, len(text) - linked), articles > 0, number, parent, ends, name))
+                outside = max(0, len(text) - linked)
+                lines.append(Line(text, outside, len(text) if name in HEADINGS or quotes else outside,
+                                  quotes[0] if quotes else -1, articles > 0, number, parent, ends, name))
         words, linked = [], 0
 
     def leave(depth: int) -> None:
         nonlocal aside, articles
         while len(stack) > depth:
-            _, was_aside, was_article, _, ends = stack.pop()
+            left, was_aside, was_article, _, ends = stack.pop()
+            named[left] -= 1
+            if left in QUOTES:
+                quotes.pop()
             ends[0] = opened
             aside -= was_aside
             articles -= was_article
@@ -128,7 +175,11 @@ def lines_of(html: str, by: int = BY_NAMES) -> tuple[list[Line], list[int], int]
     at, size = 0, len(html)
     while at < size:
         token = TOKEN.match(html, at)
-        at, part = token.end(), token.group()
+        part = token.group()
+        if part == "<" and TAG_BEGINS.match(html, at):
+            end = tags.end(at) or (size if BROKEN_OFF.match(html, at) else None)
+            part = html[at:end] if end else part
+        at += len(part)
         if part[0] != "<" or part == "<":
             text = unescape(part)
             words.append(text)
@@ -159,10 +210,8 @@ def lines_of(html: str, by: int = BY_NAMES) -> tuple[list[Line], list[int], int]
         if name in VOID:
             continue
         if closing:
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth][0] == name:
-                    leave(depth)
-                    break
+            if named[name]:
+                leave(next(depth for depth in range(len(stack) - 1, -1, -1) if stack[depth][0] == name))
             links = 0
             continue
         if part.endswith("/>"):
@@ -170,8 +219,11 @@ def lines_of(html: str, by: int = BY_NAMES) -> tuple[list[Line], list[int], int]
         if stack and stack[-1][0] == name and name in SELF_ENDING:
             leave(len(stack) - 1)
         is_aside, is_article = _is_aside(name, part, articles > 0, by), name in ARTICLE
+        if name in QUOTES:
+            quotes.append(stack[-1][3] if stack else 0)
         opened += 1
         stack.append((name, is_aside, is_article, opened, [opened]))
+        named[name] += 1
         aside += is_aside
         articles += is_article
     end_line()
@@ -216,7 +268,9 @@ def _spans(lines: list[Line], holders: list[int]) -> str:
     """The lines from surge to dive, and the other text lines of the elements that hold them.
 
     A surge is relative to the page: SURGE characters, or half of the sum that half of the text
-    reaches where that is less. Lines of links alone are kept only between a surge and its dive.
+    reaches where that is less. A span begins with the line that makes it surge, or with shorter
+    paragraphs or lines of the same element right before it. Lines of links alone are kept only between a surge and its dive, unless
+    they are headings or quotes.
     """
     lengths = [line.length for line in lines]
     sums = [sum(lengths[i:i + WINDOW]) for i in range(len(lengths))]
@@ -228,15 +282,18 @@ def _spans(lines: list[Line], holders: list[int]) -> str:
         if sums[i] < surge or not lengths[i]:
             i += 1
             continue
+        near = range(i, min(i + WINDOW, len(lines)))
+        makers = {holders[j] for j in near if lengths[j] * WINDOW >= surge}
+        i = next(j for j in near if lengths[j] and (holders[j] in makers or lines[j].name == "p"))
         for j in range(_heading_above(lines, dived, i), i):
-            kept[j] = lengths[j] > 0
+            kept[j] = lines[j].spoken > 0
         while i < len(lines) and sums[i]:  # to the dive: a window without text
             kept[i] = True
             i += 1
         dived = i
     holding = {h for h, k, n in zip(holders, kept, lengths) if k and n}
     return " ".join(line.text for line, h, k in zip(lines, holders, kept)
-                    if line.text and (k or line.length and h in holding))
+                    if line.text and (k or line.spoken and (h in holding or line.quoted in holding)))
 
 
 def _heading_above(lines: list[Line], first: int, start: int) -> int:
@@ -247,7 +304,7 @@ def _heading_above(lines: list[Line], first: int, start: int) -> int:
     found, rank = start, "h7"
     for j in range(start - 1, first - 1, -1):
         line = lines[j]
-        if line.name in HEADINGS and line.length and line.name < rank and line.parent <= lines[start].element <= line.ends[0]:
+        if line.name in HEADINGS and line.spoken and line.name < rank and line.parent <= lines[start].element <= line.ends[0]:
             found, rank = j, line.name
     return found
 

@@ -1,3 +1,7 @@
+import random
+import re
+import time
+
 import pyarrow.parquet as pq
 import pytest
 from cases import SF
@@ -114,3 +118,47 @@ VERSE = [f"a short line of verse {i}" for i in range(12)]
 ])
 def test_no_text_of_the_story_is_dropped(page, text):
     assert line_blocks.main_text(page) == text
+
+
+@pytest.mark.parametrize("page,text", [
+    (f"<article><h1><a href='/s'>Linked headline</a></h1><p>{LONG}</p></article>", f"Linked headline {LONG}"),
+    (f"<body><div><h2><a href='/s'>Linked headline</a></h2><p>{LONG}</p></div></body>", f"Linked headline {LONG}"),
+    (f"<article><p>{LONG}</p><blockquote><a href='/q'>A quote that is one link</a></blockquote><p>{LONG}</p></article>",
+     f"{LONG} A quote that is one link {LONG}"),
+    (f"<article><p>{LONG}</p><blockquote><p><a href='/q'>A quote at the end</a></p></blockquote></article>", f"{LONG} A quote at the end"),
+    (f"<body><div>Site</div><div>Follow us</div><div><h1>Head</h1><p>{LONG}</p></div></body>", f"Head {LONG}"),
+    (f"<body><div class='topbar'>Home News</div><div><h1>Head</h1><p>{LONG}</p></div></body>", f"Head {LONG}"),
+    (f"<body><div><span>a</span></div><div>b</div><section><div><p>Short first.</p><p>{LONG}</p></div></section></body>", f"Short first. {LONG}"),
+    (f"<article><p title='a > b < c' data-x=\"<p>\">{LONG}</p></article>", LONG),
+    (f"<article><p title=\"it's\">{LONG}</p><p x='\"'>{LONG}</p></article>", f"{LONG} {LONG}"),
+])
+def test_linked_headlines_quotes_and_lines_before_the_surge(page, text):
+    assert line_blocks.main_text(page) == text
+
+
+OLD_TAG = re.compile(r"</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>")
+
+
+def test_tag_ends_are_those_of_the_plain_expression():
+    rng = random.Random(4)
+    for _ in range(3000):
+        page = "".join(rng.choice("<>\"' ap/") for _ in range(rng.randrange(1, 40)))
+        tags = line_blocks.Tags(page)
+        for at in range(len(page)):
+            if line_blocks.TAG_BEGINS.match(page, at):
+                plain, quick = OLD_TAG.match(page, at), line_blocks.TOKEN.match(page, at).group()
+                assert tags.end(at) == (plain and plain.end())
+                assert quick == "<" or quick == plain.group()
+
+
+@pytest.mark.parametrize("broken", ["<a ", "<p x=\"", "<p x='", "<p x=\"'", "<a href='x\">", "</p ", "<", "<!-", "<div>", "</div>", "<a>", "&#"])
+def test_broken_pages_take_linear_time(broken):
+    started = time.process_time()
+    line_blocks.lines_of(broken * ((1 << 20) // len(broken)) + ">")
+    assert time.process_time() - started < 20
+
+
+def test_closing_tags_in_a_deep_page_take_linear_time():
+    started = time.process_time()
+    line_blocks.lines_of("<div>" * 100_000 + "</p>" * 100_000)
+    assert time.process_time() - started < 10
