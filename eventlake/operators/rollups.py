@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from eventlake.functions.keys import clean_dim, dims_as_map, dims_hash, dims_json
 from eventlake.functions.times import window_end, window_start
 from eventlake.operators.heavy import HEAVY_ROWS, running_max
+from eventlake.session import stored
 
 DEFAULT_DIMS = ("customer_id", "endpoint", "status", "event_type")
 DEFAULT_WINDOW_SECONDS = 60
@@ -186,19 +188,44 @@ def key_shares(events: DataFrame, keys: Sequence[str], threshold: float) -> Data
         .withColumn("is_hot", F.col("share") >= F.lit(threshold))
 
 
+def hot_keys(events: DataFrame, keys: Sequence[str], threshold: float, tracked: int | None = None) -> DataFrame:
+    """Every key with at least ``threshold`` of the rows, with its exact count, without counting the others.
+
+    A mergeable frequent-items sketch of ``tracked`` keys is made in one pass: it errs by at most
+    4 / ``tracked`` of the rows, so with 16 / ``threshold`` tracked keys or more none above the threshold
+    can be missing among its ``tracked`` most frequent ones. Only rows of the keys it names, a list bounded
+    by ``tracked``, are counted exactly.
+    """
+    least = 1 << max(3, math.ceil(math.log2(16 / threshold)))
+    tracked = least if tracked is None else tracked
+    if tracked < least:
+        raise ValueError(f"{tracked} tracked keys can miss a key of {threshold:.2%}; {least} cannot")
+    name = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    sketched = events.select(name.alias("key")).agg(
+        F.expr(f"approx_top_k(key, {tracked // 2}, {tracked})").alias("found"), F.count(F.lit(1)).alias("total"))
+    found = stored(sketched.select("total", F.explode_outer("found").alias("f")).select("total", "f.item", "f.count"))
+    total = found.agg(F.max("total")).first()[0] or 0
+    likely = found.where(F.col("count") >= F.lit((threshold - 4 / tracked) * total)).select(F.col("item").alias("key"))
+    counted = events.withColumn("key", name).join(F.broadcast(likely), "key", "left_semi").groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"))
+    return counted.withColumn("share", F.col("rows") / F.lit(total)).where(F.col("share") >= F.lit(threshold))
+
+
 def late_audit(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECONDS,
                lateness_windows: int = LATENESS_WINDOWS, arrival: str = "arrival",
-               heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+               heavy_rows: int = HEAVY_ROWS, seen_before_us: int | None = None) -> DataFrame:
     """Mark events whose window had already been given up when they arrived.
 
     The reference point is the largest event time on earlier arrivals; a window is given up
-    ``lateness_windows`` windows after its end.
+    ``lateness_windows`` windows after its end. ``seen_before_us`` is the largest event time that came
+    before all of ``events``.
     """
     timed = events.withColumns({
         "ts_us": F.unix_micros("ts"),
         "window_start": window_start(F.col("ts"), window_seconds),
     })
-    seen = running_max(timed, arrival, "ts_us", "seen_until_us", heavy_rows)
+    seen = running_max(timed, arrival, "ts_us", "seen_until_us", heavy_rows).withColumn(
+        "seen_until_us", F.greatest(F.col("seen_until_us"), F.lit(seen_before_us).cast("long")))
     end_us = F.unix_micros("window_start") + F.lit(window_seconds * 1_000_000)
     delay_us = lateness_windows * window_seconds * 1_000_000
     return seen.withColumn(

@@ -121,7 +121,8 @@ ORACLES["orders_by_status_region"] = """
 SELECT r_name AS region, o_orderstatus AS status, count(*) AS orders
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2"""
-ORACLES["sliding_uniques_5m"] = _with("""
+for _name in ("sliding_uniques_5m", "stream_sliding_uniques"):
+    ORACLES[_name] = _with("""
 SELECT window_start, window_start + to_seconds(300) AS window_end, count(DISTINCT user_id) AS uniques
 FROM (SELECT make_timestamp((epoch_us(ts) // 60000000 - i) * 60000000) AS window_start, user_id
       FROM ev, (SELECT unnest([0, 1, 2, 3, 4]) AS i) WHERE user_id IS NOT NULL)
@@ -154,6 +155,10 @@ ORACLES["hot_keys"] = _with("""
 SELECT endpoint, metric, count(*) AS rows, count(*) / (SELECT count(*) FROM ev) AS share,
   count(*) / (SELECT count(*) FROM ev) >= 0.05 AS is_hot
 FROM ev GROUP BY 1, 2""", EVENTS)
+ORACLES["stream_spikes"] = ORACLES["spike_flags"]
+ORACLES["hot_keys_sketched"] = _with("""
+SELECT endpoint, metric, count(*) AS rows, count(*) / (SELECT count(*) FROM ev) AS share
+FROM ev GROUP BY 1, 2 HAVING count(*) / (SELECT count(*) FROM ev) >= 0.05""", EVENTS)
 ORACLES["late_audit"] = f"""
 SELECT event_id, arrival, window_start, seen_until,
   coalesce(window_start + to_seconds(60) <= seen_until - to_seconds(300), false) AS is_late
@@ -163,6 +168,8 @@ FROM (
   FROM (SELECT event_id, ts,
           (event_id + event_id * 37 % 41) * 64 + event_id * 37 % 41 AS arrival FROM events))"""
 
+ORACLES["stream_late_rows"] = ORACLES["late_audit"]
+
 REASON = """CASE WHEN event_id % 17 = 0 OR event_id % 31 = 0 THEN 'malformed_json'
   WHEN event_id % 19 = 0 THEN 'missing_metric' WHEN event_id % 23 = 0 THEN 'bad_value' END"""
 ORACLES["validate_events_usable"] = _with(f"""
@@ -173,6 +180,11 @@ FROM ev WHERE {REASON} IS NULL""", EVENTS)
 ORACLES["quarantine_events"] = _with(
     f'SELECT event_id AS "offset", {REASON} AS reason FROM ev WHERE {REASON} IS NOT NULL', EVENTS)
 
+ORACLES["stream_error_rate"] = _with(f"""
+SELECT coalesce(nullif({REASON}, 'bad_value'), 'other') AS reason, count(*) AS rejected,
+  (SELECT count(*) FROM ev) AS records, count(*) / (SELECT count(*) FROM ev) AS error_rate
+FROM ev WHERE {REASON} IS NOT NULL GROUP BY 1""", EVENTS)
+
 # --- member features -----------------------------------------------------------------------------
 
 def _members_cte(channels: tuple[str, ...]) -> str:
@@ -553,7 +565,7 @@ FROM (SELECT unnest(['order_id', 'customer_id', 'amount_kobo', 'currency', 'stat
       FROM sent
       UNION ALL SELECT 'updated_at', "offset" FROM sent WHERE event_type = 'order.updated')
 GROUP BY key""", IMAGES, MESSAGES)
-ORACLES["reconcile"] = _with("""
+ORACLES["reconcile"] = ORACLES["reconcile_tree"] = _with("""
 SELECT CASE WHEN c.order_id IS NULL THEN 'only_target' WHEN wh.order_id IS NULL THEN 'only_source'
   WHEN c.amount_kobo = wh.amount_kobo AND wh.status = 'CREATED' THEN 'match' ELSE 'mismatch' END
   AS outcome, count(*) AS rows

@@ -21,8 +21,8 @@ from eventlake.sources.streams import file_stream
 from eventlake.sources.validate import (
     check_changes, decodable, parse_envelopes, quarantined, usable, validate_events)
 from eventlake.streaming import (
-    features as feature_streams, index as index_streams, progress, rollups as rollup_streams,
-    sinks, warehouse as warehouse_streams)
+    features as feature_streams, index as index_streams, late as late_streams, progress,
+    rollups as rollup_streams, sinks, spikes as spike_streams, warehouse as warehouse_streams)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -216,6 +216,12 @@ def hot_keys(spark, folder):
     return rollups.key_shares(fx.metric_events(spark, folder), ["endpoint", "metric"], 0.05)
 
 
+@query
+def hot_keys_sketched(spark, folder):
+    """Keys of at least a twentieth of all rows, found by a sketch and counted exactly."""
+    return rollups.hot_keys(fx.metric_events(spark, folder), ["endpoint", "metric"], 0.05)
+
+
 @query
 def late_audit(spark, folder):
     return _flat(rollups.late_audit(fx.arriving_events(spark, folder), 60).select(
@@ -655,6 +661,15 @@ def reconcile(spark, folder):
                              ["order_id"], columns)
 
 
+@query
+def reconcile_tree(spark, folder):
+    """The same by digest trees: only rows under unequal digests meet."""
+    columns = ["customer_id", "amount_kobo", "currency", "status"]
+    return quality.reconcile_tree(
+        capture.created_orders(_created_source(spark, folder)).select("order_id", *columns),
+        warehouse.order_rows(_applied(spark, folder)).select("order_id", *columns), ["order_id"], columns)
+
+
 def _created_source(spark: SparkSession, folder: str) -> DataFrame:
     orders = tables.read_table(spark, folder, "orders")
     return orders.select(
@@ -719,6 +734,63 @@ def stream_rollup(spark, folder):
     return _flat(spark.read.schema(final.schema).parquet(out))
 
 
+@query
+def stream_sliding_uniques(spark, folder):
+    """Exact users of every five minutes, sliding by one, on the stream."""
+    session = streaming_session(spark)
+    stream, options = _closed_stream(session, folder)
+    out, log = scratch_dir(session, "stream-sliding"), progress.ProgressLog(session, scratch_dir(session, "progress"))
+    delay = options["lateness_windows"] * HOUR // 300 + 1
+    found = rollup_streams.sliding_uniques(stream, lateness_windows=delay)
+    log.complete(sinks.to_files(found, out, scratch_dir(session, "stream-checkpoint")))
+    return _flat(spark.read.schema(found.schema).parquet(out))
+
+
+@query
+def stream_spikes(spark, folder):
+    """Spikes and outages of the hourly counts, from a ring of 24 windows per metric."""
+    session = streaming_session(spark)
+    stream, options = _closed_stream(session, folder)
+    events = fx.metric_events(session, folder)
+    last = events.agg(F.max(F.floor(F.unix_seconds("ts") / HOUR) * HOUR)).scalar()
+    out, log = scratch_dir(session, "stream-spikes"), progress.ProgressLog(session, scratch_dir(session, "progress"))
+    found = spike_streams.spike_stream(stream, ["metric"], HOUR, f"{options['lateness_windows'] * HOUR} seconds")
+    log.complete(sinks.to_files(found, out, scratch_dir(session, "stream-checkpoint")))
+    rows = spark.read.schema(found.schema).parquet(out).where((F.unix_seconds("window_start") <= last) & F.col("metric").isNotNull())
+    return _flat(rows.select(
+        "window_start", "metric", F.col("value").alias("events"), F.round("trailing_mean", 6).alias("trailing_mean"),
+        "trailing_points", "is_spike", "is_drop", (F.col("value") > 10).alias("violates_slo")))
+
+
+@query
+def stream_late_rows(spark, folder):
+    """Rows in time and late ones of a stream that comes in three runs, in order of arrival."""
+    session = streaming_session(spark)
+    rows = fx.arriving_events(session, folder)
+    source, checkpoint = scratch_dir(session, "stream-arrivals"), scratch_dir(session, "stream-checkpoint")
+    split, last = late_streams.LateSplit(session, scratch_dir(session, "stream-late"), 60), rows.agg(F.max("arrival")).scalar()
+    for part in range(3):
+        rows.where(F.floor(F.col("arrival") * 3 / (last + 1)) == part).write.mode("append").parquet(source)
+        stream = file_stream(session, source, rows.schema, max_bytes_per_trigger=TRIGGER_BYTES)
+        split.follow(stream, checkpoint).awaitTermination()
+    return _flat(split.rows().select(
+        "event_id", "arrival", "window_start", F.timestamp_micros("seen_until_us").alias("seen_until"), "is_late"))
+
+
+@query
+def stream_error_rate(spark, folder):
+    """Share of rejected records by reason, as the running query reports it."""
+    session = streaming_session(spark)
+    messages = fx.raw_messages(session, folder)
+    source = scratch_dir(session, "stream-text")
+    messages.repartition(STREAM_PARTS).write.parquet(source)
+    checked = validate_events(file_stream(session, source, messages.schema, max_files_per_trigger=1))
+    good = usable(progress.counted(checked, ["malformed_json", "missing_metric"]))
+    log = progress.ProgressLog(session, scratch_dir(session, "progress"))
+    reports = log.complete(sinks.to_files(good, scratch_dir(session, "stream-good"), scratch_dir(session, "stream-checkpoint")))
+    return progress.error_rates(reports).drop("query")
+
+
 @query
 def stream_history(spark, folder):
     """Raw JSON text, checked and rolled up as a stream, written to the history table."""

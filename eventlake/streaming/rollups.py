@@ -61,6 +61,50 @@ def closed_rollups(events: DataFrame, window_seconds: int = DEFAULT_WINDOW_SECON
     return _finish(_per_group(cells, window, dims, sum_type), dims)
 
 
+def _slides(window_seconds: int, slide_seconds: int) -> str:
+    if window_seconds % slide_seconds:
+        raise ValueError("on a stream the slide divides the window")
+    return f"{slide_seconds} seconds"
+
+
+def _ending(totals: DataFrame, window_seconds: int) -> DataFrame:
+    """Sliding windows by their last slide, as rows with start and end."""
+    end = F.col("window.end")
+    return totals.where("uniques > 0").select(
+        F.timestamp_seconds(F.unix_seconds(end) - window_seconds).alias("window_start"), end.alias("window_end"), "uniques")
+
+
+def sliding_uniques(events: DataFrame, window_seconds: int = 300, slide_seconds: int = 60,
+                    lateness_windows: int = LATENESS_WINDOWS) -> DataFrame:
+    """Exact distinct users of every sliding window that has any, once it can no longer change.
+
+    Users are reduced to one row per slide, and only those are copied to the windows of that slide.
+    State is per (slide, user) and (window, user), so no window is ever one value.
+    """
+    slide, whole = _slides(window_seconds, slide_seconds), f"{window_seconds} seconds"
+    timed = events.withWatermark("ts", f"{lateness_windows * window_seconds} seconds")
+    seen = timed.groupBy(F.window("ts", slide), person(F.col("user_id")).alias("user_id")).agg(F.count(F.lit(1)).alias("n"))
+    held = seen.groupBy(F.window(F.window_time("window"), whole, slide).alias("window"), "user_id").agg(F.count(F.lit(1)).alias("n"))
+    return _ending(held.groupBy(F.window(F.window_time("window"), slide).alias("window")).agg(
+        F.count("user_id").alias("uniques")), window_seconds)
+
+
+def sliding_sketches(events: DataFrame, window_seconds: int = 300, slide_seconds: int = 60,
+                     lateness_windows: int = LATENESS_WINDOWS, precision: int = 12) -> DataFrame:
+    """The same estimated: one user sketch per slide, merged over the slides of a window.
+
+    State does not depend on the number of users. The error is ``SKETCH_ERROR`` at the default precision.
+    """
+    slide, whole = _slides(window_seconds, slide_seconds), f"{window_seconds} seconds"
+    timed = events.withWatermark("ts", f"{lateness_windows * window_seconds} seconds")
+    seen = timed.groupBy(F.window("ts", slide)).agg(F.hll_sketch_agg(person(F.col("user_id")), precision).alias("users"))
+    merged = seen.groupBy(F.window(F.window_time("window"), whole, slide).alias("window")).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("users")).alias("uniques"))
+    # the windows of one slide differ in their end alone, so that end names them
+    return merged.where("uniques > 0").select(
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "uniques")
+
+
 class RollupStore:
     """Rollups that are readable early and corrected while late events come in.
 
