@@ -2,10 +2,12 @@
 
 A long token without a known form is a candidate, and so are its parts between signs, since a key may
 be joined to plain words or stand in a path. The encoding it could be in is inferred from its characters, and three tests ask whether it looks drawn at random from that alphabet: a chi-squared
-test of uniformity, a runs test on character classes and a test of serial correlation. Each tests the
-null hypothesis "ordinary text", so its power grows with the token. The three are combined into one
-p-value, and the false-discovery rate is controlled within strata of token length, over all
-candidates of the corpus.
+test of uniformity, a runs test on character classes and a test of serial correlation. Each is asked
+twice. First the token must be consistent with a random draw: names, paths, time stamps and numbers are
+made of letters of unequal frequency, long runs of one class or counting digits, and fail at least one.
+Then "ordinary text" is the null hypothesis, so that the power grows with the token; the three results
+are combined into one p-value, and the false-discovery rate is controlled within strata of token
+length, over all candidates of the corpus.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ ENCODINGS = [
     (r"^[A-Za-z0-9_-]+$", UPPER + LOWER + DIGITS + "-_", 3.2),
 ]
 CLASS_CHANGES = 0.1       # of neighbouring characters in ordinary tokens change class
+UNEVEN, FEW_RUNS, ORDERED = 3.5, 2.6, 3.2   # standard deviations from randomness at which a token is not random
 CORRELATION = 0.5         # serial correlation of ordered text, from which randomness must differ
 LIMIT = 4.0               # no single test carries more than this many standard deviations
 STRATA = (32, 64)         # token lengths at which a new stratum begins
@@ -94,29 +97,35 @@ def _normal(z: Column) -> Column:
     return F.when(z < 0, tail).otherwise(1 - tail)
 
 
+def _class_changes(alphabet: str) -> float:
+    """How often neighbours differ in class in a random draw from an alphabet."""
+    sizes = [len(set(alphabet) & set(signs)) for signs in (LOWER, UPPER, DIGITS)]
+    sizes += [1] * (len(alphabet) - sum(sizes))
+    return 1 - sum((n / len(alphabet)) ** 2 for n in sizes)
+
+
 def _clipped(z: Column) -> Column:
     return F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), z))
 
 
 def _encoding(token: Column) -> Column:
-    """The first encoding that fits, as (alphabet, distance); null where none does."""
-    out = F.lit(None).cast("struct<alphabet:string,distance:double>")
+    """The first encoding that fits, as (alphabet, distance, changes); null where none does."""
+    out = F.lit(None).cast("struct<alphabet:string,distance:double,changes:double>")
     for form, alphabet, distance in reversed(ENCODINGS):
-        own = F.struct(F.lit(alphabet).alias("alphabet"), F.lit(distance).alias("distance"))
+        own = F.struct(F.lit(alphabet).alias("alphabet"), F.lit(distance).alias("distance"),
+                       F.lit(_class_changes(alphabet)).alias("changes"))
         out = F.when(F.rlike(token, F.lit(form)), own).otherwise(out)
     return out
 
 
 def randomness(token: Column) -> Column:
-    """Combined p-value of "ordinary text" for one token; 1 where no encoding fits."""
+    """Combined p-value of "ordinary text" for one token; 1 where no encoding fits or it is not random."""
     def tested(t: Column) -> Column:
         n, size, distance = t["n"], F.char_length(t["alphabet"]).cast("double"), t["distance"]
         squares = F.aggregate(F.array_distinct(t["chars"]), F.lit(0.0), lambda s, c: s + F.pow(
             n - F.char_length(F.replace(t["token"], c, F.lit(""))), F.lit(2.0)))
-        by_chi = (size - 1 + distance * n - (size / n * squares - n)) / F.sqrt(2 * (size - 1) + 4 * distance * n)
         classes = F.translate(t["token"], LOWER + UPPER + DIGITS, "a" * 26 + "A" * 26 + "0" * 10)
-        runs = F.char_length(F.regexp_replace(classes, r"(.)\1*", "_"))
-        by_runs = (runs - 1 - (n - 1) * CLASS_CHANGES) / F.sqrt((n - 1) * CLASS_CHANGES * (1 - CLASS_CHANGES))
+        changes = F.char_length(F.regexp_replace(classes, r"(.)\1*", "_")) - 1
         ranks = F.transform(t["chars"], lambda c: F.instr(t["alphabet"], c).cast("double"))
         mean = F.aggregate(ranks, F.lit(0.0), lambda s, v: s + v) / n
         moved = bind(F.struct(ranks.alias("x"), mean.alias("mean")),
@@ -126,15 +135,25 @@ def randomness(token: Column) -> Column:
             spread = F.aggregate(x, F.lit(0.0), lambda s, v: s + v * v)
             lagged = F.aggregate(F.zip_with(x, F.slice(x, F.lit(2), F.size(x)), lambda a, b: a * F.coalesce(b, F.lit(0.0))),
                                  F.lit(0.0), lambda s, v: s + v)
-            r = F.least(F.lit(0.999), F.abs(lagged / F.greatest(spread, F.lit(1e-9))))
-            return (F.atanh(F.lit(CORRELATION)) - F.atanh(r)) * F.sqrt(n - 3)
+            return F.atanh(F.least(F.lit(0.999), F.abs(lagged / F.greatest(spread, F.lit(1e-9))))) * F.sqrt(n - 3)
+
+        found = F.struct((size / n * squares - n).alias("chi"), changes.alias("changes"), bind(moved, serial).alias("serial"))
+
+        def both(m: Column) -> Column:
+            expected, spread = (n - 1) * t["changes"], F.sqrt((n - 1) * t["changes"] * (1 - t["changes"]))
+            random = (m["chi"] - (size - 1) <= UNEVEN * F.sqrt(2 * (size - 1))) \
+                & (m["changes"] - expected >= -FEW_RUNS * spread) & (m["serial"] <= ORDERED)
+            by_chi = (size - 1 + distance * n - m["chi"]) / F.sqrt(2 * (size - 1) + 4 * distance * n)
+            by_runs = (m["changes"] - (n - 1) * CLASS_CHANGES) / F.sqrt((n - 1) * CLASS_CHANGES * (1 - CLASS_CHANGES))
+            by_order = F.atanh(F.lit(CORRELATION)) * F.sqrt(n - 3) - m["serial"]
+            total = (_clipped(by_chi) + _clipped(by_runs) + _clipped(by_order)) / 3 ** 0.5
+            return F.when(random, bind(-total, _normal)).otherwise(F.lit(1.0))
 
-        total = (_clipped(by_chi) + _clipped(by_runs) + _clipped(bind(moved, serial))) / 3 ** 0.5
-        return bind(-total, _normal)
+        return bind(found, both)
 
     def judged(e: Column) -> Column:
         given = F.struct(token.alias("token"), F.char_length(token).cast("double").alias("n"), F.split(token, "").alias("chars"),
-                         e["alphabet"].alias("alphabet"), e["distance"].alias("distance"))
+                         e["alphabet"].alias("alphabet"), e["distance"].alias("distance"), e["changes"].alias("changes"))
         return F.when(e.isNull(), F.lit(1.0)).otherwise(bind(given, tested))
 
     return bind(_encoding(token), judged)
