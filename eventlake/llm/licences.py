@@ -1,5 +1,9 @@
 """Licence scan: an Aho-Corasick automaton finds tags and notice phrases, a shunting-yard parser
 evaluates the licence expressions behind the tags.
+
+An expression is read where the automaton has found a tag and a sign of assignment follows. It goes on
+over line breaks and comment marks while a bracket is open. Operators are in capitals, or in small letters
+where a known identifier follows; prose behind an identifier thus ends the expression.
 """
 
 from __future__ import annotations
@@ -21,24 +25,41 @@ NOTICES = {
     "creative commons": "cc", "permission is hereby granted free of charge": "mit",
     "redistribution and use in source and binary forms": "bsd", "boost software license": "boost",
     "isc license": "isc", "the unlicense": "unlicense", "eclipse public license": "epl",
+    "gplv2": "gpl", "gplv3": "gpl", "lgplv2": "lgpl", "lgplv3": "lgpl", "agplv3": "agpl", "zlib license": "zlib",
+    "artistic license": "artistic", "european union public license": "eupl", "open font license": "ofl",
+    "postgresql license": "postgresql", "python software foundation license": "psf", "microsoft public license": "ms-pl",
+    "common development and distribution license": "cddl", "open database license": "odbl",
+    "gnu free documentation license": "gfdl",
 }
-TAGS = ("spdx license identifier",)
+# The other spelling counts as well, though not for the base.
+NOTICES |= {phrase.replace("license", "licence"): label for phrase, label in
+            [*NOTICES.items(), ("general public license", "gpl")] if "license" in phrase}
+# Tags, and whether an identifier that is not known counts behind them. A field of a package file may hold anything.
+TAGS = {"spdx license identifier": True, "spdx licence identifier": True, "license": False, "licence": False}
 # How freely text under a label may be used, 0 to 1. Expression identifiers map to labels by prefix.
 FREEDOM = {
     "cc0": 1.0, "public-domain": 1.0, "unlicense": 1.0, "mit": 0.9, "bsd": 0.9, "apache": 0.9, "isc": 0.9, "boost": 0.9,
     "zlib": 0.9, "cc-by": 0.8, "cc": 0.6, "mpl": 0.6, "epl": 0.6, "lgpl": 0.5, "cc-by-sa": 0.5, "gpl": 0.4, "agpl": 0.3,
-    "cc-by-nd": 0.3, "cc-by-nc": 0.2, "other": 0.2, "reserved": 0.0,
+    "cc-by-nd": 0.3, "cc-by-nc": 0.2, "other": 0.2, "reserved": 0.0, "wtfpl": 1.0, "postgresql": 0.9, "psf": 0.9,
+    "ncsa": 0.9, "ofl": 0.8, "afl": 0.8, "artistic": 0.7, "ms-pl": 0.7, "eupl": 0.5, "cddl": 0.5, "odbl": 0.5, "gfdl": 0.4,
+    "osl": 0.3,
 }
 IDENTIFIERS = [
     ("cc-by-nc", "cc-by-nc"), ("cc-by-sa", "cc-by-sa"), ("cc-by-nd", "cc-by-nd"), ("cc-by", "cc-by"), ("cc0", "cc0"),
     ("agpl", "agpl"), ("lgpl", "lgpl"), ("gpl", "gpl"), ("apache", "apache"), ("mit", "mit"), ("bsd", "bsd"),
     ("0bsd", "bsd"), ("isc", "isc"), ("mpl", "mpl"), ("epl", "epl"), ("bsl", "boost"), ("zlib", "zlib"),
-    ("unlicense", "unlicense"),
+    ("unlicense", "unlicense"), ("wtfpl", "wtfpl"), ("postgresql", "postgresql"), ("psf", "psf"), ("python", "psf"),
+    ("ncsa", "ncsa"), ("x11", "mit"), ("ofl", "ofl"), ("afl", "afl"), ("artistic", "artistic"), ("ms-pl", "ms-pl"),
+    ("eupl", "eupl"), ("cddl", "cddl"), ("odbl", "odbl"), ("gfdl", "gfdl"), ("osl", "osl"), ("gplv2", "gpl"), ("gplv3", "gpl"),
+    ("lgplv2", "lgpl"), ("lgplv3", "lgpl"), ("agplv3", "agpl"),
 ]
 UNKNOWN, SILENT_SCORE, EXCEPTION_GAIN = "other", 0.5, 0.1
 
 GAPS = bytes(32 if b < 0x30 or 0x3A <= b <= 0x60 or 0x7B <= b <= 0x7F else b for b in range(256))
-EXPRESSION = re.compile(rb"[ \t]*([a-z0-9.+\-() \t]+)")
+WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
+ASSIGNED = re.compile(rb"[\"']?[ \t]*[:=][ \t]*[\"'\[]*")
+SIGN = re.compile(rb"[ \t]*(\(|\)|[A-Za-z0-9.+-]+)")
+SIGN_IN_BRACKETS = re.compile(rb"[\s*#;!/]*(\(|\)|[A-Za-z0-9.+-]+)")
 PART = re.compile(r"\(|\)|[a-z0-9.+-]+")
 STRENGTH = {"or": 1, "and": 2, "with": 3}
 
@@ -117,9 +138,39 @@ def evaluate(postfix: list[str]) -> tuple[float, set[str]]:
     return stack[-1][0], stack[-1][1]
 
 
+def expression_at(raw: bytes, at: int, any_identifier: bool) -> list[str] | None:
+    """The expression that begins at ``at``, in postfix order; None if there is none.
+
+    ``any_identifier`` also takes identifiers that are not known.
+    """
+    parts, brackets, after_operator, loose = [], 0, False, False
+    while sign := (SIGN_IN_BRACKETS if brackets else SIGN).match(raw, at):
+        part, at = sign[1].decode(), sign.end()
+        small = part.lower().rstrip(".") if not part.startswith("(") else part
+        if part in ("(", ")"):
+            brackets += 1 if part == "(" else -1
+            if brackets < 0:
+                break
+        elif small in STRENGTH and parts and not after_operator:
+            if part not in (small, small.upper()):
+                break
+            loose = part == small
+            parts.append(small)
+            after_operator = True
+            continue
+        elif parts and parts[-1] != "(" and not after_operator or (loose or not any_identifier) and label_of(small) == UNKNOWN \
+                and not (parts and parts[-1] == "with"):
+            break
+        parts.append(small)
+        after_operator = False
+        loose = loose and part == "("
+    return parse(" ".join(parts))
+
+
 def scan(text: str | None) -> tuple:
     """(n_words, n_base, first_word, last_word, base_labels, labels, score) of one text."""
-    data = (text or "").encode("utf-8", "surrogatepass").lower()
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    data = raw.lower()
     words = data.translate(GAPS).split()
     joined = " " + b" ".join(words).decode("utf-8", "surrogatepass") + " "
     found = [(end + 1 - len(phrase) - 2, phrase) for end, phrase in _FINDER.iter(joined)] if words else []
@@ -127,10 +178,13 @@ def scan(text: str | None) -> tuple:
     base_labels = {BASE[phrase] for _, phrase in found if phrase in BASE}
     labels = base_labels | {NOTICES[phrase] for _, phrase in found if phrase in NOTICES}
     scores = [FREEDOM[label] for label in labels]
-    if any(phrase in TAGS for _, phrase in found):
-        for tag in re.finditer(rb"spdx[^a-z0-9\x80-\xff]license[^a-z0-9\x80-\xff]identifier\s*:", data):
-            expression = EXPRESSION.match(data, tag.end())
-            postfix = parse(expression[1].decode()) if expression else None
+    tags = sorted((at, phrase) for at, phrase in found if phrase in TAGS)
+    if tags:
+        ends, number, upto = [w.end() for w in WORD.finditer(data)], 0, 0
+        for at, phrase in tags:
+            number, upto = number + joined.count(" ", upto, at + 1), at + 1     # words before the tag, and one
+            assigned = ASSIGNED.match(raw, ends[number - 1 + phrase.count(" ")])
+            postfix = assigned and expression_at(raw, assigned.end(), TAGS[phrase])
             if postfix:
                 freedom, own = evaluate(postfix)
                 scores.append(freedom)

@@ -77,3 +77,27 @@ def test_very_long_expression_takes_linear_time():
     began = time.process_time()
     assert licences.scan("spdx-license-identifier: " + "mit or " * 200_000 + "isc")[5:] == ("isc,mit", 0.9)
     assert time.process_time() - began < 20
+
+
+@pytest.mark.parametrize("text,labels,score", [
+    ("/* SPDX-License-Identifier: (GPL-2.0 OR\n * MIT)\n */", "gpl,mit", 0.9), ("SPDX - License - Identifier: MIT", "mit", 0.9),
+    ("# SPDX-License-Identifier: (MIT AND\n#   (Apache-2.0 OR\n#   GPL-3.0-only))", "apache,gpl,mit", 0.9),
+    ("SPDX-License-Identifier: MIT or later work by us", "mit", 0.9), ("SPDX-License-Identifier: MIT\nand more", "mit", 0.9),
+    ("SPDX-License-Identifier: MIT or Apache-2.0.", "apache,mit", 0.9), ("SPDX-License-Identifier: MIT Or foo", "mit", 0.9),
+    ("SPDX-License-Identifier: LicenseRef-Own OR MIT", "mit,other", 0.9), ("License: Apache-2.0", "apache", 0.9),
+    ('{"license": "MIT", "x": 1}', "mit", 0.9), ("licence = 'BSD-3-Clause'", "bsd", 0.9), ("license: [MIT]", "mit", 0.9),
+    ("License: see below or MIT", "", 0.5), ("the license of MIT", "", 0.5), ("MIT licence", "mit", 0.9), ("GPLv3 only", "gpl", 0.4),
+    ("General Public Licence", "gpl", 0.4), ("SPDX-License-Identifier:\nMIT", "", 0.5), ("SPDX-License-Identifier: MIT AND (", "mit", 0.9),
+    ("É License-Identifier: x SPDX-License-Identifier: GPL-2.0-only WITH Classpath-exception-2.0 é", "gpl", 0.5),
+])
+def test_expressions_behind_tags(text, labels, score):
+    assert licences.scan(text)[5:] == (labels, score)
+
+
+def test_very_many_tags_and_brackets_take_linear_time():
+    import time
+
+    for text in ("SPDX-License-Identifier: (" * 20_000, "license: (mit or " * 30_000, "SPDX-License-Identifier: " + "(" * 200_000 + "MIT"):
+        started = time.process_time()
+        licences.scan(text)
+        assert time.process_time() - started < 10
