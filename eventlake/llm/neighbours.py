@@ -112,8 +112,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_per_class: int = MAX_PER_CLASS)
               .where((F.col("low") == F.col("label")) & ~held_out(F.col("doc_id"))))
     marked = marked.join(docs.select("doc_id"), "doc_id", "left_semi")
     by_class = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
+    # a hash limit leaves few more ids than are taken, so that ranking them is no work, however many there are
+    limit = F.lit(None).cast("long")
+    for label, count in by_class.items():
+        share = min(1.0, (max_per_class + 8 * max_per_class ** 0.5 + 64) / count)
+        limit = F.when(F.col("label") == label, F.lit(min((1 << 63) - 1, int((2 * share - 1) * (1 << 63))))).otherwise(limit)
     order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = (marked.withColumn("place", F.row_number().over(order))
+    sample = (marked.where(F.xxhash64("doc_id") <= limit).withColumn("place", F.row_number().over(order))
               .where(F.col("place") <= max_per_class).select("doc_id", "label"))
     texts = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
              .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
