@@ -1,8 +1,8 @@
 """Packing documents into fixed-length sequences along a space-filling curve.
 
 A document's hashed byte pairs are projected to a few dimensions, and its place on the Hilbert curve
-through that space is its sort key. Documents are range-partitioned by key, so neighbours on the
-curve meet in one task, and are tokenized there and laid end to end into sequences.
+through that space is its sort key. The curve is cut into stretches of about equal bytes, so neighbours on
+the curve meet in one task, and are tokenized there and laid end to end into sequences.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from eventlake.llm.common import on_texts, prepare_python
 SEQUENCE_TOKENS, END_ID = 2048, 1
 VECTOR_TERMS, AXES, AXIS_BITS, SEED = 512, 3, 16, 20240229
 CHUNK = 1 << 20
+CELL_BITS = 16            # the curve is weighed in 2 ** CELL_BITS cells
+TASK_BYTES = 32 << 20     # of text, where that asks for more tasks than the session's partitions
 SPACES = re.compile(r"\s\s")
 
 _TERM = ((np.arange(1 << 16, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) >> np.uint64(55)).astype(np.int32)
@@ -186,9 +188,9 @@ def pack(docs: DataFrame, tokenizer: str, tokens: int = SEQUENCE_TOKENS, end_id:
     ``ids`` holds the piece's token ids as little-endian unsigned 32-bit numbers. Every document ends
     with ``end_id``; null and empty texts are that id alone. An added token of the vocabulary inside a
     text, such as ``<|endoftext|>``, is its own id, as in the tokenizers library. Sequences are filled to ``tokens`` and
-    documents cut where one is full, so only the last sequence of a task has room left. Documents
-    with equal keys (copies) are spread by a hash of their id and then by their place in the input,
-    so a large group of copies does not end in one task. An empty table gives no pieces. Other
+    documents cut where one is full, so only the last sequence of a task has room left. Tasks take equal
+    bytes of the curve. A cell of the curve that holds more than a task's share, such as a large group of
+    copies, is spread by a hash of ids and places in the input, so it does not end in one task. An empty table gives no pieces. Other
     columns of ``docs`` are not read.
     """
     prepare_python(docs.sparkSession)
@@ -198,6 +200,16 @@ def pack(docs: DataFrame, tokenizer: str, tokens: int = SEQUENCE_TOKENS, end_id:
     keyed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
         "doc_id", "text", keys(F.col("text"))["k"].alias("key"), F.xxhash64("doc_id").alias("spread"),
         F.monotonically_increasing_id().alias("row"))
-    count = partitions or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    along = keyed.repartitionByRange(count, "key", "spread", "row").sortWithinPartitions("key", "spread", "row")
+    size = F.octet_length("text").cast("long") + 1
+    weighed = keyed.groupBy(F.shiftright("key", AXES * AXIS_BITS - CELL_BITS).alias("cell")).agg(F.sum(size).alias("bytes"))
+    cells = sorted((r["cell"], r["bytes"]) for r in weighed.collect())  # 2 ** CELL_BITS at most
+    total = sum(b for _, b in cells)
+    count = partitions or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
+    ends = np.cumsum([0, *(b for _, b in cells)]).tolist()
+    line = docs.sparkSession.createDataFrame([(c, end, b) for (c, b), end in zip(cells, ends)], "cell long, before long, bytes long")
+    within = F.pmod(F.xxhash64("spread", "row"), F.lit(1 << 20)) / (1 << 20)
+    part = F.floor((F.col("before") + within * F.col("bytes")) * count / max(total, 1))
+    placed = keyed.withColumn("cell", F.shiftright("key", AXES * AXIS_BITS - CELL_BITS)).join(F.broadcast(line), "cell").withColumn(
+        "part", F.least(part, F.lit(count - 1)).cast("int"))
+    along = placed.repartitionById(count, "part").sortWithinPartitions("key", "spread", "row")
     return along.select("doc_id", "text").mapInPandas(_pack(lambda: document_encoder(where), tokens, end_id), PIECES)

@@ -112,3 +112,13 @@ def test_added_tokens_in_texts_have_their_own_ids(spark, given_docs):
     assert [np.frombuffer(b, "<u4").tolist() for b in packing.document_encoder(tokenizer_path())(texts)] == ids
     docs = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")
     check(digest(packing.pack(docs, tokenizer_path(), partitions=2)), [(i, own + [1]) for i, own in enumerate(ids[:len(ADDED)])])
+
+
+def test_tasks_take_equal_bytes(spark):
+    """Short and long texts, a third of them copies: bytes of a task, not rows, are even."""
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "the very same text again and again ").otherwise(
+        F.concat(F.sha2(F.col("id").cast("string"), 256), F.lit(" "), F.repeat(F.hex(F.xxhash64("id")), (F.col("id") % 37 + 1).cast("int")))).alias("text"))
+    pieces = packing.pack(docs, tokenizer_path(), partitions=40)
+    tokens = sorted(r["n"] for r in pieces.groupBy((F.col("sequence_id") / (1 << 40)).cast("int").alias("part")).agg(
+        F.sum("length").alias("n")).collect())
+    assert len(tokens) == 40 and tokens[-1] < 1.5 * tokens[20]
