@@ -34,8 +34,12 @@ def _head(role: Column) -> Column:
 
 
 def turn_tokens(text: Column) -> Column:
-    """An estimate from the text's size, so that no tokenizer has to run."""
-    return F.ceil(F.octet_length(text) / BYTES_PER_TOKEN) + TURN_TOKENS
+    """An estimate from the text's size, so that no tokenizer has to run.
+
+    Bytes beyond ASCII count in full: a byte-level vocabulary may have no longer token for them.
+    """
+    ascii_bytes = F.char_length(F.regexp_replace(text, r"[^\x00-\x7F]", ""))
+    return F.ceil(ascii_bytes / BYTES_PER_TOKEN) + F.octet_length(text) - ascii_bytes + TURN_TOKENS
 
 
 def _with_prefix_sums(turns: DataFrame) -> DataFrame:

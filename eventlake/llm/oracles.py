@@ -31,7 +31,8 @@ WITH given AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
 sized AS (
-  SELECT *, ceil(strlen(text) / 4.0) + 4 AS tokens,
+  SELECT *, ceil(length(regexp_replace(text, '[^\x00-\x7F]', '', 'g')) / 4.0)
+    + strlen(text) - length(regexp_replace(text, '[^\x00-\x7F]', '', 'g')) + 4 AS tokens,
     12 + length(replace({ESCAPED.format('role')}, chr(10), '\\' || chr(10))) + 1 + length({ESCAPED.format('text')}) + 11 AS chars
   FROM given),
 summed AS (

@@ -71,3 +71,26 @@ def test_query_against_brute_force(spark):
     rows = [(r["conv_id"], r["turn"], r["role"], r["text"]) for r in pq.read_table(f"{SF}/conversations.parquet").to_pylist()]
     rows += [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
     same_bag([tuple(r)[:5] for r in QUERIES["op6_chat_windows"](spark, SF).collect()], truth(rows))
+
+
+SCRIPTS = {
+    "latin": "ordinary words of a plain sentence in latin letters go here ", "cyrillic": "обычные слова простого предложения стоят здесь ",
+    "japanese": "これは普通の文章で、短い言葉が並んでいます。", "greek": "απλές λέξεις μιας κοινής πρότασης εδώ ", "emoji": "👩‍👩‍👧 party 🎉 time 😀 now ",
+}
+
+
+def test_windows_hold_the_budget_in_real_tokens(spark):
+    """Turns well below a window's share, in five scripts, counted by a tokenizer that only the test runs."""
+    from tokenizers import Tokenizer
+
+    from eventlake.llm.queries import tokenizer_path
+
+    rng = random.Random(1)
+    rows = [(c, k, ["user", "assistant"][k % 2], text * rng.randrange(1, 5)) for c, text in enumerate(SCRIPTS.values()) for k in range(150)]
+    shown = chat.windows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    made = Tokenizer.from_file(tokenizer_path())
+    made.encode_special_tokens = True
+    most = {}
+    for r in shown:
+        most[r["conv_id"]] = max(most.get(r["conv_id"], 0), len(made.encode(r["formatted"], add_special_tokens=False).ids))
+    assert set(most) == set(range(len(SCRIPTS))) and max(most.values()) <= chat.BUDGET
