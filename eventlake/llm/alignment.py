@@ -11,6 +11,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 from pathlib import Path
 from typing import NamedTuple
 
@@ -74,10 +75,7 @@ class PieceTokens:
             self.known.update(zip(new, self.model.encode([w[1:] for w in new], num_threads=1)))
             if " " in words:  # the model gives nothing for an empty text
                 self.known[" "] = [self.model.piece_to_id(MARK)]
-            ids: list[int] = []
-            for word in words:
-                ids += self.known[word]
-            out.append(np.array(ids, np.int64))
+            out.append(np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int64))
         return out
 
 
@@ -96,24 +94,37 @@ class Aligner:
         texts = [" " + t for t in texts]
         tokens = [side(texts) for side in (self.a, self.b)]
         plain = [t.encode("utf-8", "surrogatepass") for t in texts]
-        good = [i for i, data in enumerate(plain) if len(data) > 1 and all(
-            b"".join(map(side.bytes.__getitem__, ids[i].tolist())) == data for side, ids in zip((self.a, self.b), tokens))]
+        # pieces of A are cut from the text's own bytes, so their length tells whether all are there
+        good = [i for i, data in enumerate(plain) if len(data) > 1 and self.sizes[0][tokens[0][i]].sum() == len(data)
+                and b"".join(map(self.b.bytes.__getitem__, tokens[1][i].tolist())) == data]
         out: list[tuple] = [(0, 0, 0, 0, "", None, None)] * len(texts)
         if not good:
             return out
         a, b = (np.concatenate([ids[i] for i in good]) for ids in tokens)
         n_a, n_b = (np.array([len(ids[i]) for i in good]) for ids in tokens)
-        end_a, end_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
-        ends = np.cumsum([len(plain[i]) for i in good])  # every text ends where tokens of both end
-        cuts = np.intersect1d(end_a, end_b, assume_unique=True)
-        group_of = np.searchsorted(ends, cuts)
-        n_groups = np.bincount(group_of, minlength=len(good))
-        signs, upto = self._signs(a, b, end_a, end_b, cuts), np.concatenate([[0], np.cumsum(n_a + n_b)])
-        parts = np.union1d(end_a, end_b)                  # each part lies in one token of either side
-        linked = a[np.searchsorted(end_a, parts)] * len(self.b.bytes) + b[np.searchsorted(end_b, parts)]
-        text_of, most = np.searchsorted(ends, parts), len(self.a.bytes) * len(self.b.bytes)
-        n_links = np.bincount(text_of, minlength=len(good))
-        keys, times = np.unique(text_of * most + linked, return_counts=True)
+        stops = np.concatenate([np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])])
+        order = np.argsort(stops, kind="stable")  # merges two ascending runs
+        ascending = stops[order]
+        new = np.concatenate([[True], ascending[1:] != ascending[:-1]])
+        part_of = np.empty(len(stops), np.int64)
+        part_of[order] = np.cumsum(new) - 1       # a part lies in one token of either side
+        part_a, part_b, parts = part_of[:len(a)], part_of[len(a):], ascending[new]
+        is_a, is_b = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
+        is_a[part_a] = is_b[part_b] = 1
+        cut = is_a & is_b                         # tokens of both end: a group does, as does every text
+        group = np.cumsum(cut) - cut
+        in_a, in_b = group[part_a], group[part_b]
+        a_upto, b_upto = (np.concatenate([[0], np.cumsum(np.bincount(g))]) for g in (in_a, in_b))
+        signs = np.empty(len(stops), np.int64)    # group by group, A before B
+        signs[np.arange(len(a)) + b_upto[in_a]] = 2 * a + cut[part_a]
+        signs[np.arange(len(b)) + a_upto[in_b + 1]] = 2 * (len(self.a.bytes) + b) + cut[part_b]
+        text_of = np.searchsorted(np.cumsum([len(plain[i]) for i in good]), parts)
+        n_groups, n_links = np.bincount(text_of, cut).astype(np.int64), np.bincount(text_of)
+        linked = a[np.cumsum(is_a) - is_a] * len(self.b.bytes) + b[np.cumsum(is_b) - is_b]
+        upto, most = np.concatenate([[0], np.cumsum(n_a + n_b)]), len(self.a.bytes) * len(self.b.bytes)
+        keys = np.sort(text_of * most + linked)
+        first_of = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        keys, times = keys[first_of], np.diff(np.append(first_of, len(keys)))
         first = np.searchsorted(keys, np.arange(len(good) + 1) * most)
         for k, i in enumerate(good):
             groups = "".join(map(self.written.__getitem__, signs[upto[k]:upto[k + 1]].tolist()))[:-1]
@@ -122,15 +133,6 @@ class Aligner:
                       hashlib.sha256(groups.encode()).hexdigest() if digest else groups, keys[own] - k * most, times[own])
         return out
 
-    def _signs(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray, cuts: np.ndarray) -> np.ndarray:
-        """Places in ``written`` of all tokens: group by group, A before B."""
-        in_a, in_b = np.searchsorted(cuts, end_a), np.searchsorted(cuts, end_b)
-        a_upto, b_upto = (np.concatenate([[0], np.searchsorted(e, cuts, "right")]) for e in (end_a, end_b))
-        signs = np.empty(len(a) + len(b), np.int64)
-        signs[np.arange(len(a)) + b_upto[in_a]] = 2 * a + (cuts[in_a] == end_a)
-        signs[np.arange(len(b)) + a_upto[in_b + 1]] = 2 * (len(self.a.bytes) + b) + (cuts[in_b] == end_b)
-        return signs
-
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
 
