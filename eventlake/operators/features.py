@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventlake.functions.times import (
     DAY_MS, HOUR_MS, MINUTE_MS, bucket_floor, bucket_number, next_boundary)
-from eventlake.operators.heavy import HEAVY_ROWS, before_chunk, in_chunks, split_heavy
+from eventlake.operators.heavy import HEAVY_ROWS, before_chunk, forward_fill, in_chunks, split_heavy
 
 TIMER_MS = 5 * MINUTE_MS
-MOST_CHANNELS = 100  # entries of the last-sent map; more are a fault in the data
+CHANNEL_COLUMNS = 100  # up to so many channels have a column each; with more, rows per channel are filled
 
 # Event names that are counted, the feature they feed, and the rule per channel.
 ACTIVITY_COUNTERS = {"play": "plays", "browse": "browses", "search": "searches"}
@@ -135,12 +135,28 @@ def timer_marks(events: DataFrame) -> DataFrame:
                            F.lit(2 ** 63 - 1).alias("seq"))
 
 
-def sent_channels(events: DataFrame) -> list[str]:
-    """The channels messages were sent on; refuses more than ``MOST_CHANNELS``."""
-    found = events.where(_is_sent()).select("channel").distinct().limit(MOST_CHANNELS + 1).collect()
-    if len(found) > MOST_CHANNELS:
-        raise ValueError(f"more than {MOST_CHANNELS} channels")
-    return sorted(r["channel"] for r in found)
+def sent_channels(events: DataFrame, most: int = CHANNEL_COLUMNS) -> list[str] | None:
+    """The channels messages were sent on; None where there are more than ``most``."""
+    found = events.where(_is_sent()).select("channel").distinct().limit(most + 1).collect()
+    return sorted(r["channel"] for r in found) if len(found) <= most else None
+
+
+SNAPSHOT_KEY = ("member_id", "kind", "ts_ms", "seq")
+
+
+def _sent_maps(rows: DataFrame, heavy_rows: int) -> DataFrame:
+    """The last-sent map of every row, from one row per channel its member ever sent on.
+
+    As many rows as the maps have entries in the end; no task holds more than a stretch of a member.
+    """
+    of_member = rows.where(_is_sent()).select("member_id", "channel").distinct().withColumnRenamed("channel", "sent_on")
+    own = F.coalesce(_is_sent() & (F.col("channel") == F.col("sent_on")), F.lit(False))
+    spread = rows.join(of_member, "member_id").select(
+        *SNAPSHOT_KEY, "sent_on", F.struct("ts_ms", "seq").alias("at"), F.when(own, F.col("ts_ms")).alias("sent_ms"))
+    filled = forward_fill(spread, ["member_id", "sent_on"], "at", ["sent_ms"], heavy_rows)
+    entries = F.collect_list(F.struct("sent_on", "sent_ms"))
+    return filled.where(F.col("sent_ms").isNotNull()).groupBy(*SNAPSHOT_KEY).agg(
+        F.map_from_entries(entries).alias("last_sent_ts_by_channel"))
 
 
 def feature_changelog(events: DataFrame, channels: Sequence[str] | None = None,
@@ -148,16 +164,28 @@ def feature_changelog(events: DataFrame, channels: Sequence[str] | None = None,
     """A snapshot per event, with ``timers`` also per 5-minute boundary after an event.
 
     ``channels`` are the channels that get an entry in the last-sent map; without them they are
-    taken from the events. A send on a channel that is not listed stops the job. ``kind`` and ``seq``
-    tell what caused a row; timer rows sort after the events of their own millisecond.
+    taken from the events, however many there are. A send on a channel that is not listed stops the job.
+    ``kind`` and ``seq`` tell what caused a row; timer rows sort after the events of their own millisecond.
     """
     channels = sent_channels(events) if channels is None else list(channels)
     rows = events.select("kind", "member_id", "event_type", "channel", "ts_ms", "seq")
     if timers:
         rows = rows.unionByName(timer_marks(events))
-    flags = _flags()
+    if channels is None:
+        maps = _sent_maps(rows, heavy_rows)
+        plain = _changelog(rows, [], heavy_rows, events, F.col("kind")).drop("last_sent_ts_by_channel")
+        joined = plain.withColumn("ts_ms", F.col("snapshot_ts_ms")).join(maps, list(SNAPSHOT_KEY), "left").withColumn(
+            "last_sent_ts_by_channel", F.coalesce("last_sent_ts_by_channel", F.create_map().cast("map<string,bigint>")))
+        return with_eligibility(joined).select("kind", "seq", *FEATURE_COLUMNS)
     unlisted = F.coalesce(_is_sent(), F.lit(False)) & ~F.col("channel").isin(*channels)
     kind = F.when(unlisted, F.raise_error(F.concat(F.lit("unlisted channel "), F.col("channel")))).otherwise(F.col("kind"))
+    shaped = _changelog(rows, channels, heavy_rows, events, kind)
+    return with_eligibility(shaped).select("kind", "seq", *FEATURE_COLUMNS)
+
+
+def _changelog(rows: DataFrame, channels: Sequence[str], heavy_rows: int, counted: DataFrame, kind: Column) -> DataFrame:
+    """Counts, last activity and the last sends of the listed channels of every row."""
+    flags = _flags()
     prepared = rows.select(
         kind.alias("kind"), "member_id", "ts_ms", "seq",
         bucket_number(F.col("ts_ms"), MINUTE_MS).alias("minute"),
@@ -170,15 +198,14 @@ def feature_changelog(events: DataFrame, channels: Sequence[str] | None = None,
     snapshots = split_heavy(
         prepared, ["member_id"],
         lambda part: _whole_member(part, latest),
-        lambda part: _member_in_chunks(part, latest, heavy_rows), heavy_rows, counted=events)
+        lambda part: _member_in_chunks(part, latest, heavy_rows), heavy_rows, counted=counted)
     sent = [part for i, c in enumerate(channels) for part in (F.lit(c), F.col(_sent_column(i)))]
-    shaped = snapshots.withColumns({
+    return snapshots.withColumns({
         "snapshot_ts_ms": F.col("ts_ms"),
         "last_activity_ts_ms": F.coalesce("activity_ms", F.lit(0)),
         "last_sent_ts_by_channel": F.map_filter(
             F.create_map(*sent).cast("map<string,bigint>"), lambda _, ts: ts.isNotNull()),
     })
-    return with_eligibility(shaped).select("kind", "seq", *FEATURE_COLUMNS)
 
 
 def _sent_column(i: int) -> str:

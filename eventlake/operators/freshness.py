@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from eventlake.operators.joins import checked_broadcast
 
@@ -39,14 +39,27 @@ def dataset_metrics(log: DataFrame, checkpoints: DataFrame, as_of_s: int,
     }).withColumn("ok", F.col("freshness_lag_seconds") <= F.col("freshness_slo_seconds"))
 
 
-def health(metrics: DataFrame) -> DataFrame:
-    """One row: are all datasets ok, how many are not, and the worst lag and backlog."""
-    return metrics.agg(
+def _verdict() -> list[Column]:
+    return [
         F.coalesce(F.bool_and("ok"), F.lit(True)).alias("ok"),
         F.count(F.lit(1)).alias("datasets"),
         F.count_if(~F.col("ok")).alias("stale_datasets"),
         F.max("freshness_lag_seconds").alias("worst_lag_seconds"),
-        F.max("backlog_offsets").alias("worst_backlog"))
+        F.max("backlog_offsets").alias("worst_backlog")]
+
+
+def health(metrics: DataFrame) -> DataFrame:
+    """One row: are all datasets ok, how many are not, and the worst lag and backlog."""
+    return metrics.agg(*_verdict())
+
+
+def health_report(metrics: DataFrame) -> DataFrame:
+    """The health answer whole: ``health`` and ``rows``, the metrics of every dataset ordered by name.
+
+    ``rows`` has one entry per dataset, whose number does not grow with the log.
+    """
+    columns = ["dataset", *sorted(c for c in metrics.columns if c != "dataset")]
+    return metrics.agg(*_verdict(), F.array_sort(F.collect_list(F.struct(*columns))).alias("rows"))
 
 
 def run_counters(log: DataFrame, processed: DataFrame) -> DataFrame:

@@ -111,8 +111,11 @@ def recent_changes(index: DataFrame, as_of_s: int, seconds: int = RECENT_SECONDS
     return index.where(F.col("indexed_at") >= F.lit(as_of_s - seconds))
 
 
+ROW_PART, CONTROL_PART = "rows", "control"
+
+
 class IndexStore:
-    """The stored form: index rows and control rows (checkpoints) in one table.
+    """The stored form: index rows and control rows (checkpoints) in one table, in folders of their own.
 
     A rebuild writes the source rows of its dataset under the next epoch and then moves the control
     row to it. Rows of earlier epochs no longer count, so no other dataset is rewritten. A replay
@@ -125,7 +128,8 @@ class IndexStore:
     def __init__(self, spark: SparkSession, root: str, order_by: str = "version"):
         self.spark, self.order_by = spark, order_by
         # Rows and control rows of a batch are one write, so the one is never there without the other.
-        self.table = MergeTable(spark, f"{root}/index", record(row=self.ROWS, control=self.CONTROL), [], [])
+        self.table = MergeTable(spark, f"{root}/index", record(row=self.ROWS, control=self.CONTROL, part="string"), [], [],
+                                finish=self._finished, part="part")
 
     def checkpoints(self) -> DataFrame:
         return self._control().select(*CHECKPOINT.names)
@@ -162,17 +166,30 @@ class IndexStore:
         self._write(None, moved, self._admin_run("replay", dataset), epoch)
 
     def compact(self) -> None:
-        self.table.compact(self._paired(self._merged(), self._control()))
+        self.table.compact()
+
+    def _finished(self, batch: DataFrame) -> DataFrame:
+        """Per record and epoch the row that counts, per dataset the control row that does."""
+        rows = self._last_of(batch.where(F.col("part") == ROW_PART).select("row.*"), [*RECORD_KEY, "epoch"])
+        return self._paired(rows, self._last_control(batch))
+
+    @staticmethod
+    def _last_control(batch: DataFrame) -> DataFrame:
+        return fold(batch.where(F.col("part") == CONTROL_PART).select("control.*"), ["dataset"], ["epoch", "last_offset"])
+
+    def _last_of(self, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        return fold(rows.withColumn("rank", _rank(self.order_by)), keys, ["rank"]).drop("rank")
 
     def _control(self) -> DataFrame:
-        rows = self.table.batches().where(F.col("control").isNotNull()).select("control.*")
-        return fold(rows, ["dataset"], ["epoch", "last_offset"])
+        return self._last_control(self.table.batches())
 
     def _paired(self, rows: DataFrame | None, control: DataFrame) -> DataFrame:
         none = {name: F.lit(None).cast(kind) for name, kind in (("row", self.ROWS), ("control", self.CONTROL))}
-        both = control.select(none["row"].alias("row"), F.struct(*self.CONTROL.names).alias("control"))
+        both = control.select(none["row"].alias("row"), F.struct(*self.CONTROL.names).alias("control"),
+                              F.lit(CONTROL_PART).alias("part"))
         if rows is not None:
-            both = both.unionByName(rows.select(F.struct(*self.ROWS.names).alias("row"), none["control"].alias("control")))
+            both = both.unionByName(rows.select(F.struct(*self.ROWS.names).alias("row"), none["control"].alias("control"),
+                                                F.lit(ROW_PART).alias("part")))
         return both
 
     def _write(self, rows: DataFrame | None, control: DataFrame, run: str, batch_id: int) -> None:
@@ -180,10 +197,9 @@ class IndexStore:
 
     def _merged(self) -> DataFrame:
         control = checked_broadcast(self._control().select("dataset", "rows_epoch"))
-        rows = self.table.batches().where(F.col("row").isNotNull()).select("row.*").join(control, "dataset", "left") \
+        rows = self.table.batches().where(F.col("part") == ROW_PART).select("row.*").join(control, "dataset", "left") \
             .where(F.col("epoch") >= F.coalesce("rows_epoch", F.lit(0))).drop("rows_epoch")
-        ranked = rows.withColumn("rank", _rank(self.order_by))
-        return fold(ranked, RECORD_KEY, ["rank"]).drop("rank")
+        return self._last_of(rows, RECORD_KEY)
 
     def _tag(self, rows: DataFrame) -> DataFrame:
         """Add the epoch the dataset of each row is in."""

@@ -1,22 +1,24 @@
 """Current-state tables on plain Parquet: written as batches, merged when read.
 
 Plain Parquet tables have no MERGE. A batch therefore writes only its own folder
-``gen=G/run=R/batch_id=N``, in overwrite mode, so a retried batch replaces itself; readers keep, per
-key, the row that is last in the *data's* order (offset, version, …). Compaction writes the merged
-rows as the start of the next generation, which readers use once its success mark exists. One writer
-at a time; where the catalog supports row-level changes, ``DataFrame.mergeInto`` does this instead.
+``open/segment=S/run=R/batch_id=N``, in overwrite mode, so a retried batch replaces itself; readers keep,
+per key, the row that is last in the *data's* order (offset, version, …), wherever it lies. Compaction is an
+ordinary job that merges the batches of the open segment once into ``closed/segment=S``; a closed segment is
+never read for writing again, so a compaction costs what came since the last one, however large the table.
+Later batches go to the next segment. One writer at a time; where the catalog supports row-level changes,
+``DataFrame.mergeInto`` does this instead. The open folder of a closed segment is no longer read; removing it
+is left to the owner of the storage.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventlake.sources.schemas import record
 
-BASE = "run=base/batch_id=0"
-
 
 def fold(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
          earliest: Sequence[str] = ()) -> DataFrame:
@@ -31,50 +33,56 @@ def fold(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 class MergeTable:
+    """``finish`` merges the rows of a segment when it is closed, unless ``fold`` by the keys does.
+
+    ``part`` names a column of the schema by which a batch is filed in folders of their own, in the same
+    write; a read that asks for one of its values opens those files alone.
+    """
+
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-                 order: Sequence[str], earliest: Sequence[str] = ()):
+                 order: Sequence[str], earliest: Sequence[str] = (),
+                 finish: Callable[[DataFrame], DataFrame] | None = None, part: str | None = None):
         self.spark, self.path, self.schema = spark, path, schema
         self.keys, self.order, self.earliest = list(keys), list(order), list(earliest)
+        self.finish = finish or (lambda rows: fold(rows, self.keys, self.order, self.earliest))
+        self.parts = [part] if part else []
+        for name, places in (("open", ["segment", "run", "batch_id"]), ("closed", ["segment"])):
+            none = spark.createDataFrame([], self._layout(name))
+            none.write.mode("ignore").partitionBy(*places, *self.parts).parquet(f"{path}/{name}")
 
     def write(self, rows: DataFrame, run: str, batch_id: int) -> None:
         """Store one batch; writing the same batch again changes nothing."""
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(
-            f"{self._generation_path()}/run={run}/batch_id={batch_id}")
+        self._save(rows, f"{self.path}/open/segment={self._open_segment()}/run={run}/batch_id={batch_id}")
 
     def batches(self) -> DataFrame:
-        """All stored rows of the current generation, with the ``run`` and ``batch_id`` of each."""
-        layout = T.StructType([*self.schema.fields, *record(run="string", batch_id="long").fields])
-        folder = self._generation_path()
-        if not self._files().exists(self._file(folder)):
-            return self.spark.createDataFrame([], layout)
-        return self.spark.read.schema(layout).option("basePath", folder).parquet(folder)
+        """All stored rows; ``run`` and ``batch_id`` are null for those of closed segments."""
+        closed, done = self._files("closed"), self._open_segment() - 1
+        opened = self._files("open").where(F.col("segment") > done)
+        return opened.unionByName(closed, allowMissingColumns=True).drop("segment")
 
     def read(self) -> DataFrame:
         rows = self.batches().drop("run", "batch_id")
         return fold(rows, self.keys, self.order, self.earliest)
 
-    def compact(self, merged: DataFrame | None = None) -> None:
-        """Start the next generation from the merged rows of this one."""
-        rows = self.read() if merged is None else merged
-        target = f"{self.path}/gen={self._generation() + 1}/{BASE}"
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(target)
-        self.drop_old_generations(keep=2)
-
-    def drop_old_generations(self, keep: int = 1) -> None:
-        """Free the space of all but the last ``keep`` generations; readers may be on the one before."""
-        for generation in range(max(0, self._generation() - keep + 1)):
-            self._files().delete(self._file(f"{self.path}/gen={generation}"), True)
+    def compact(self) -> None:
+        """Merge the batches of the open segment and close it; nothing is done where there are none."""
+        segment = self._open_segment()
+        rows = self._files("open").where(F.col("segment") == segment)
+        if any(f"/segment={segment}/" in f for f in rows.inputFiles()):
+            self._save(self.finish(rows.select(*self.schema.names)), f"{self.path}/closed/segment={segment}")
 
-    def _generation_path(self) -> str:
-        return f"{self.path}/gen={self._generation()}"
+    def _save(self, rows: DataFrame, path: str) -> None:
+        rows.select(*self.schema.names).write.mode("overwrite").partitionBy(*self.parts).parquet(path)
 
-    def _generation(self) -> int:
-        done = self._files().globStatus(self._file(f"{self.path}/gen=*/{BASE}/_SUCCESS"))
-        found = [str(status.getPath()).split("/gen=")[1].split("/")[0] for status in done or []]
-        return max(map(int, found), default=0)
+    def _open_segment(self) -> int:
+        """One more than the last closed segment, from the file list alone."""
+        found = [int(m[1]) for f in self._files("closed").inputFiles() if (m := re.search(r"/closed/segment=(\d+)/", f))]
+        return max(found, default=-1) + 1
 
-    def _files(self):
-        return self._file(self.path).getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+    def _layout(self, name: str) -> T.StructType:
+        own = [f for f in self.schema.fields if f.name not in self.parts]
+        places = record(segment="integer", **({"run": "string", "batch_id": "long"} if name == "open" else {}))
+        return T.StructType([*own, *places.fields, *[self.schema[p] for p in self.parts]])
 
-    def _file(self, path: str):
-        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    def _files(self, name: str) -> DataFrame:
+        return self.spark.read.schema(self._layout(name)).parquet(f"{self.path}/{name}")

@@ -146,12 +146,15 @@ def sliding_uniques(events: DataFrame, window_seconds: int = 300,
         .withColumn("window_end", window_end(F.col("window_start"), window_seconds))
 
 
-def without_gaps(series: DataFrame, keys: Sequence[str], value: str, window_seconds: int) -> DataFrame:
+def without_gaps(series: DataFrame, keys: Sequence[str], value: str, window_seconds: int,
+                 behind: int | None = None) -> DataFrame:
     """``series`` with a zero for every window without a row, from a key's first window to the last
-    window of the whole series."""
-    last = series.agg(F.max("window_start")).scalar()
-    first = series.groupBy(*keys).agg(F.min("window_start").alias("first"))
-    starts = F.sequence(F.unix_seconds("first"), F.unix_seconds(last), F.lit(window_seconds).cast("long"))
+    window of the whole series, but no more than ``behind`` windows behind the key's own last row."""
+    last = F.unix_seconds(series.agg(F.max("window_start")).scalar())
+    first = series.groupBy(*keys).agg(F.min("window_start").alias("first"), F.max("window_start").alias("latest"))
+    if behind is not None:
+        last = F.least(last, F.unix_seconds("latest") + behind * window_seconds)
+    starts = F.sequence(F.unix_seconds("first"), last, F.lit(window_seconds).cast("long"))
     calendar = first.select(*keys, F.explode(starts).alias("at")).select(
         *keys, F.timestamp_seconds("at").alias("window_start"))
     return calendar.join(series, [*keys, "window_start"], "left").fillna(0, [value])
@@ -162,9 +165,10 @@ def spikes(series: DataFrame, keys: Sequence[str], value: str, window_seconds: i
     """Flag points far above or below the mean of the ``trailing`` windows before them.
 
     ``series`` has at most one row per key and window, so its size follows the calendar, not the
-    events. A window without a row counts as zero, so an outage is a drop.
+    events. A window without a row counts as zero, so an outage is a drop. A key that stays silent is
+    followed for ``trailing`` windows, after which its mean is zero and nothing can be told any more.
     """
-    series = without_gaps(series, keys, value, window_seconds)
+    series = without_gaps(series, keys, value, window_seconds, trailing)
     before = Window.partitionBy(*keys).orderBy("window_start").rowsBetween(-trailing, -1)
     flagged = series.withColumns({
         "trailing_mean": F.avg(value).over(before),

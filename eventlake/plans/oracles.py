@@ -554,6 +554,11 @@ ORACLES["freshness_health"] = _with("""
 SELECT bool_and(ok) AS ok, count(*) AS datasets, count(*) FILTER (NOT ok) AS stale_datasets,
   max(freshness_lag_seconds) AS worst_lag_seconds, max(backlog_offsets) AS worst_backlog
 FROM metrics""", LOG, _marks_cte(NOW - 60), METRICS)
+ORACLES["freshness_report"] = _with("""
+SELECT (SELECT bool_and(ok) FROM metrics) AS ok, (SELECT count(*) FROM metrics) AS datasets,
+  (SELECT count(*) FILTER (NOT ok) FROM metrics) AS stale_datasets, dataset, ok AS dataset_ok,
+  freshness_lag_seconds, backlog_offsets, max_offset, checkpoint_last_offset
+FROM metrics""", LOG, _marks_cte(NOW - 60), METRICS)
 ORACLES["run_counters"] = _with("""
 SELECT dataset, count(increment.dataset) AS processed
 FROM (SELECT DISTINCT dataset FROM log) LEFT JOIN increment USING (dataset) GROUP BY dataset""",
@@ -583,9 +588,9 @@ ORACLES["stream_history"] = _with(
     "SELECT *, window_end AS updated_at FROM rollups", EVENTS, VALID, _rollup_cte(3600, ("endpoint",), "valid"))
 ORACLES["stream_features"] = ORACLES["features_per_event"]
 ORACLES["stream_features_json"] = ORACLES["features_per_event"]
-ORACLES["stream_features_timer"] = _with("""
-SELECT member_id, count(*) AS timers, count(*) AS boundaries, CAST(0 AS BIGINT) AS off_boundary
-FROM (SELECT DISTINCT member_id, ts_ms // 300000 * 300000 + 300000 AS boundary FROM me)
-WHERE boundary <= (SELECT max(ts_ms) FROM me) - 30000 GROUP BY member_id""", MEMBERS)
+ORACLES["stream_features_timer"] = _with(f"""
+SELECT * EXCLUDE (kind, seq), {RULES} FROM changes
+WHERE kind = 'TIMER' AND snapshot_ts_ms <= (SELECT max(ts_ms) FROM me) - 30000""",
+    MEMBERS, MARKED, _changelog_cte("marked"))
 ORACLES["stream_progress"] = """
 SELECT count(*) + 1 AS input_rows, CAST(0 AS BIGINT) AS dropped_late_rows FROM events"""

@@ -638,6 +638,16 @@ def freshness_health(spark, folder):
     return freshness.health(_metrics(spark, folder))
 
 
+@query
+def freshness_report(spark, folder):
+    """The health answer with the rows of its datasets, written out."""
+    report = freshness.health_report(_metrics(spark, folder))
+    row = F.explode("rows").alias("r")
+    return report.select("ok", "datasets", "stale_datasets", row).select(
+        "ok", "datasets", "stale_datasets", "r.dataset", F.col("r.ok").alias("dataset_ok"),
+        "r.freshness_lag_seconds", "r.backlog_offsets", "r.max_offset", "r.checkpoint_last_offset")
+
+
 @query
 def run_counters(spark, folder):
     log = fx.change_log(spark, folder)
@@ -858,12 +868,10 @@ def stream_features(spark, folder):
 
 @query
 def stream_features_timer(spark, folder):
-    """The timer rows of the member stream: one for each boundary its last watermark has passed."""
+    """The timer rows of the member stream, one for each boundary its last watermark has passed, by value."""
     session = streaming_session(spark)
     rows = _member_stream(spark, folder, fx.member_events(session, folder), lambda stream: stream)
-    return rows.where(F.col("kind") == "TIMER").groupBy("member_id").agg(
-        F.count(F.lit(1)).alias("timers"), F.countDistinct("snapshot_ts_ms").alias("boundaries"),
-        F.count_if(F.col("snapshot_ts_ms") % features.TIMER_MS != 0).alias("off_boundary"))
+    return _flat_features(rows.where(F.col("kind") == "TIMER").drop("kind", "seq"))
 
 
 @query

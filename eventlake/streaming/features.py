@@ -33,15 +33,10 @@ OUTPUT = record(
 Snapshot = Row(*OUTPUT.names)
 
 COUNTERS = {"minute": list(ACTIVITY_COUNTERS.values()), "hour": list(MESSAGE_COUNTERS.values())}
-STATE = T.StructType([
-    T.StructField("last_activity", T.LongType()),
-    T.StructField("last_boundary", T.LongType()),
-    *[T.StructField(name, T.ArrayType(T.LongType()))
-      for bucket, names in COUNTERS.items() for name in (f"{bucket}_starts", *names)],
-    T.StructField("channels", T.ArrayType(T.StringType())),
-    T.StructField("sent_at", T.ArrayType(T.LongType())),
-    T.StructField("boundaries", T.ArrayType(T.LongType())),
-])
+HEAD = T.StructType([T.StructField("last_activity", T.LongType()), T.StructField("last_boundary", T.LongType()),
+                     T.StructField("boundaries", T.ArrayType(T.LongType()))])
+BUCKET = record(start="long")
+CHANNEL, SENT_AT = record(channel="string"), record(at="long")
 PLACE = {"ACTIVITY": {t: i for i, t in enumerate(ACTIVITY_COUNTERS)},
          "MESSAGE": {t: i for i, t in enumerate(MESSAGE_COUNTERS)}}
 
@@ -90,27 +85,17 @@ class BucketCounts:
 
 
 class Member:
-    """What is remembered of one member, in the form it is worked with."""
-
-    def __init__(self, stored: tuple | None):
-        self.last_activity, self.last_boundary = stored[:2] if stored else (0, 0)
-        self.counts = {}
-        columns = list(stored[2:]) if stored else [[]] * (len(STATE.names) - 2)
-        for bucket, names in COUNTERS.items():
-            starts, *counts = columns[:1 + len(names)]
-            del columns[:1 + len(names)]
-            cells = {start: list(cell) for start, *cell in zip(starts, *counts)}
-            self.counts[bucket] = BucketCounts(cells, len(names))
-        channels, sent_at, boundaries = columns
-        self.sent, self.boundaries = dict(zip(channels, sent_at)), list(boundaries)
-
-    def stored(self) -> tuple:
-        columns = []
-        for counts in self.counts.values():
-            columns.append(list(counts.starts))
-            columns += [[counts.cells[s][i] for s in counts.starts] for i in range(counts.width)]
-        return (self.last_activity, self.last_boundary, *columns, list(self.sent),
-                list(self.sent.values()), self.boundaries)
+    """What is remembered of one member, in the form it is worked with, and which parts of it changed."""
+
+    def __init__(self, head: tuple | None, cells: dict[str, dict[int, list[int]]], sent: dict[str, int]):
+        self.last_activity, self.last_boundary, boundaries = head or (0, 0, [])
+        self.boundaries, self.sent = list(boundaries), sent
+        self.counts = {bucket: BucketCounts(cells[bucket], len(names)) for bucket, names in COUNTERS.items()}
+        self.changed: dict[str, set] = {part: set() for part in (*COUNTERS, "sent")}
+
+    def part(self, name: str) -> dict:
+        """A part as a map: bucket starts to counts, or channels to the last send."""
+        return self.sent if name == "sent" else self.counts[name].cells
 
     def take(self, row: Row) -> None:
         """Count one event and note the timer boundary that follows it."""
@@ -120,20 +105,29 @@ class Member:
             self.last_activity = max(self.last_activity, now)
         elif row.event_type == "sent" and row.channel is not None:
             self.sent[row.channel] = now
-        self.counts[bucket].add(_floor(now, BUCKET_MS[bucket]), PLACE[row.kind].get(row.event_type))
+            self.changed["sent"].add(row.channel)
+        start = _floor(now, BUCKET_MS[bucket])
+        self.counts[bucket].add(start, PLACE[row.kind].get(row.event_type))
+        self.changed[bucket].add(start)
         boundary = _floor(now, TIMER_MS) + TIMER_MS
         if boundary > self.last_boundary:
             self.boundaries.append(boundary)
             self.last_boundary = boundary
 
+    def _keep(self, part: str, kept: dict) -> None:
+        self.changed[part] |= self.part(part).keys() - kept.keys()
+        if part == "sent":
+            self.sent = kept
+        else:
+            self.counts[part] = BucketCounts(kept, self.counts[part].width)
+
     def forget(self, now: int) -> None:
         """Drop what no snapshot from ``now`` on can see."""
-        for bucket, counts in self.counts.items():
+        for bucket, counts in list(self.counts.items()):
             oldest = _floor(now - RETENTION_MS[bucket], BUCKET_MS[bucket])
             if counts.starts and counts.starts[0] < oldest:
-                kept = {start: cell for start, cell in counts.cells.items() if start >= oldest}
-                self.counts[bucket] = BucketCounts(kept, counts.width)
-        self.sent = {c: ts for c, ts in self.sent.items() if ts >= now - LAST_SENT_RETENTION_MS}
+                self._keep(bucket, {start: cell for start, cell in counts.cells.items() if start >= oldest})
+        self._keep("sent", {c: ts for c, ts in self.sent.items() if ts >= now - LAST_SENT_RETENTION_MS})
 
     def leaves_at(self) -> int | None:
         """When the next part of an idle member may go; None if there is none."""
@@ -143,11 +137,11 @@ class Member:
 
     def let_go(self, now: int) -> None:
         """Drop the parts of an idle member whose time is over."""
-        for bucket, counts in self.counts.items():
+        for bucket, counts in list(self.counts.items()):
             if counts.starts and counts.starts[-1] + IDLE_MS[bucket] <= now:
-                self.counts[bucket] = BucketCounts({}, counts.width)
+                self._keep(bucket, {})
         if self.sent and max(self.sent.values()) + IDLE_MS["sent"] <= now:
-            self.sent = {}
+            self._keep("sent", {})
 
     def snapshot(self, key: Any, kind: str, seq: int | None, now: int) -> Row:
         trailing = [
@@ -157,56 +151,73 @@ class Member:
 
 
 class MemberFeatures(StatefulProcessor):
-    """Keeps a ``Member`` per key: one read, one write and one timer per key and micro-batch.
+    """Keeps the buckets of a member as map entries: an event writes one of them, and one head per batch.
 
     Rows are taken in arrival order (``seq``), so the last send to arrive wins, while the last
     activity is the latest one. A micro-batch holds as many rows of a member as the source's rate
-    cap lets through. Boundaries wait in the state; the timer stands at the first of them. After the
-    last one it stands where a part of the idle member may go, and with the last part goes the state.
+    cap lets through. Boundaries wait in the state. A boundary's snapshot is made before the first row
+    behind it is taken, so it holds the member as of the boundary; if no such row comes, a timer makes it
+    once the watermark has passed. After the last boundary the timer stands where a part of the idle
+    member may go, and with the last part goes the state.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("member", STATE)
+        self.head = handle.getValueState("head", HEAD)
+        self.parts = {bucket: handle.getMapState(bucket, BUCKET, record(**{name: "long" for name in names}))
+                      for bucket, names in COUNTERS.items()}
+        self.parts["sent"] = handle.getMapState("sent", CHANNEL, SENT_AT)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         member = self._load()
         waiting = bool(member.boundaries)
         for row in sorted(rows, key=lambda r: r.seq):
+            while member.boundaries and member.boundaries[0] < row.ts_ms:
+                yield member.snapshot(key, "TIMER", None, member.boundaries.pop(0))
             member.take(row)
             yield member.snapshot(key, row.kind, row.seq, row.ts_ms)
         if not waiting and member.boundaries:
             self.handle.registerTimer(member.boundaries[0])
-        self.state.update(member.stored())
-
-    def _wait(self, member: Member) -> None:
-        """Stand the timer at what comes next and keep the state, or end both."""
-        at = member.boundaries[0] if member.boundaries else member.leaves_at()
-        if at is None:
-            self.state.clear()
-        else:
-            self.handle.registerTimer(at)
-            self.state.update(member.stored())
+        self._store(member)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        if not self.state.exists():
+        if not self.head.exists():
             return
         member = self._load()
         watermark = timerValues.getCurrentWatermarkInMs()
-        due = [b for b in member.boundaries if b <= watermark]
-        member.boundaries = member.boundaries[len(due):]
-        for boundary in due:
-            member.forget(boundary)
-            yield member.snapshot(key, "TIMER", None, boundary)
+        while member.boundaries and member.boundaries[0] <= watermark:
+            yield member.snapshot(key, "TIMER", None, member.boundaries.pop(0))
+        member.forget(watermark)
         if not member.boundaries:
             member.let_go(watermark)
-        self._wait(member)
+        at = member.boundaries[0] if member.boundaries else member.leaves_at()
+        if at is None:
+            for state in (self.head, *self.parts.values()):
+                state.clear()
+        else:
+            self.handle.registerTimer(at)
+            self._store(member)
 
     def close(self) -> None:
         pass
 
     def _load(self) -> Member:
-        return Member(self.state.get() if self.state.exists() else None)
+        if not self.head.exists():
+            return Member(None, {bucket: {} for bucket in COUNTERS}, {})
+        held = {name: {tuple(k)[0]: list(v) for k, v in state.iterator()} for name, state in self.parts.items()}
+        return Member(self.head.get(), held, {channel: at for channel, (at,) in held["sent"].items()})
+
+    def _store(self, member: Member) -> None:
+        """Write the head and the entries that changed, and nothing else."""
+        self.head.update((member.last_activity, member.last_boundary, member.boundaries))
+        for name, state in self.parts.items():
+            now = member.part(name)
+            for entry in member.changed[name]:
+                if entry not in now:
+                    if state.containsKey((entry,)):
+                        state.removeKey((entry,))
+                else:
+                    state.updateValue((entry,), (now[entry],) if name == "sent" else tuple(now[entry]))
 
 
 def _floor(ts_ms: int, size: int) -> int:

@@ -111,7 +111,7 @@ class RollupStore:
     Each micro-batch stores the user cells it changed. Inside a run (a checkpoint) a cell only ever
     grows, so its largest count is its newest state, whatever order batches are read in. Runs follow
     one another over different events, so their cells are added up. Reading the same events again is
-    a replay: it starts a new generation without the earlier cells.
+    a replay: it starts over without the earlier cells.
     """
 
     def __init__(self, spark: SparkSession, root: str, dims: Sequence[str] = DEFAULT_DIMS,
@@ -120,10 +120,18 @@ class RollupStore:
         schema = record(
             window=record(start="timestamp", end="timestamp"), metric="string",
             **{name: "string" for name in [*self.dims, "user_id", "source"]}, count="long", sum="double")
-        self.cell_key = ["window", "metric", *self.dims, "user_id"]
-        self.cells = MergeTable(spark, f"{root}/cells", schema, [*self.cell_key, "source"], ["count"])
-        self.runs = MergeTable(spark, f"{root}/runs", record(source="string", checkpoint="string"),
-                               ["source"], ["checkpoint"])
+        self.cell_key, self.schema, self.root = ["window", "metric", *self.dims, "user_id"], schema, root
+        self.runs = MergeTable(spark, f"{root}/runs", record(source="string", checkpoint="string", replays="long"),
+                               ["source"], ["replays", "checkpoint"])
+
+    @property
+    def cells(self) -> MergeTable:
+        """The cells since the last replay."""
+        replays = self.runs.read().agg(F.max("replays")).first()[0] or 0
+        return self._cells(replays)
+
+    def _cells(self, replays: int) -> MergeTable:
+        return MergeTable(self.runs.spark, f"{self.root}/cells-{replays}", self.schema, [*self.cell_key, "source"], ["count"])
 
     def follow(self, events: DataFrame, run: str, checkpoint: str, every: str | None = None,
                compact_every: int | None = COMPACT_EVERY, replay: bool = False, **options) -> StreamingQuery:
@@ -133,15 +141,15 @@ class RollupStore:
         because it would be unclear whether its events were counted before.
         """
         known = self.runs.read().where(F.col("source") == F.lit(run)).first()
-        if replay:
-            self.cells.compact(self.cells.read().limit(0))
-        elif known and known["checkpoint"] != checkpoint:
+        replays = (self.runs.read().agg(F.max("replays")).first()[0] or 0) + replay
+        if not replay and known and known["checkpoint"] != checkpoint:
             raise ValueError(f"run {run!r} has another checkpoint; name a new run or ask for a replay")
-        self.runs.write(self.runs.spark.createDataFrame([(run, checkpoint)], self.runs.schema), run, 0)
+        self.runs.write(self.runs.spark.createDataFrame([(run, checkpoint, replays)], self.runs.schema), run, 0)
+        stored = self._cells(replays)
         cells = user_cells(events, dims=self.dims, sum_type=self.sum_type, **options)
         return each_batch(
-            cells, lambda batch, batch_id: self.cells.write(batch.withColumn("source", F.lit(run)), run, batch_id),
-            checkpoint, "update", every, self.cells.compact, compact_every)
+            cells, lambda batch, batch_id: stored.write(batch.withColumn("source", F.lit(run)), run, batch_id),
+            checkpoint, "update", every, stored.compact, compact_every)
 
     def read(self) -> DataFrame:
         cells = self.cells.read().groupBy(*self.cell_key).agg(

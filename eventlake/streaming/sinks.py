@@ -9,7 +9,6 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 FLUSH_INTERVAL = "2 seconds"
 FEATURE_INTERVAL = "30 seconds"
-POLL_INTERVAL = "1 second"
 COMPACT_EVERY = 500  # micro-batches between two compactions of a merged table
 
 # Field names of the feature message.

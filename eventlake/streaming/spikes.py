@@ -20,7 +20,8 @@ class SpikeRing(StatefulProcessor):
     """The last ``trailing`` counts of a key, and a timer at the end of the window that comes next.
 
     A window whose end the watermark has passed without a row is a zero, so an outage is a drop as soon
-    as it is one. State is one list per key, whatever the number of events or windows.
+    as it is one. A key that stays silent is followed for ``trailing`` windows; should it speak again, the
+    windows between are reported then. State is one list per key, whatever the number of events or windows.
     """
 
     def __init__(self, keys: list[str], window_ms: int, trailing: int, factor: float):
@@ -41,6 +42,9 @@ class SpikeRing(StatefulProcessor):
         del counts[:-self.trailing]
         return flagged
 
+    def _followed(self, counts: list[int]) -> bool:
+        return len(counts) < self.trailing or any(counts)
+
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         known = self.state.exists()
         following, counts = self.state.get() if known else (None, [])
@@ -59,10 +63,11 @@ class SpikeRing(StatefulProcessor):
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         following, counts = self.state.get()
         counts, watermark = list(counts), timerValues.getCurrentWatermarkInMs()
-        while following + self.window_ms <= watermark:
+        while following + self.window_ms <= watermark and self._followed(counts):
             yield self._flag(key, following, 0, counts)
             following += self.window_ms
-        self.handle.registerTimer(following + self.window_ms)
+        if self._followed(counts):
+            self.handle.registerTimer(following + self.window_ms)
         self.state.update((following, counts))
 
     def close(self) -> None:

@@ -1,14 +1,17 @@
 """Digest trees, frequent keys, and stream twins of batch reports."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from eventlake.operators import quality, rollups
+from eventlake.operators import features, index, quality, rollups
 from eventlake.session import streaming_session
+from eventlake.sources.schemas import CHANGE_EVENT
 from eventlake.sources.streams import file_stream
 from eventlake.streaming import late, progress, rollups as rollup_streams, sinks, spikes
+from simulate import member_snapshots
 
 
 @pytest.fixture(scope="module")
@@ -126,3 +129,45 @@ def test_reports_hold_counts_by_reason_and_offsets_behind(spark):
     rows = [progress.progress_row(report), progress.progress_row({**report, "batchId": 2}), progress.progress_row({"id": "other", "batchId": 0})]
     rates = progress.error_rates(spark.createDataFrame(rows, progress.PROGRESS)).collect()
     assert [(r.query, r.reason, r.rejected, r.records, r.error_rate) for r in rates] == [("q", "malformed_json", 4, 20, 0.2)]
+
+
+@pytest.mark.parametrize("heavy_rows", [1_000_000, 40])
+def test_any_number_of_channels(spark, monkeypatch, heavy_rows):
+    """Rows per channel instead of a column each give what one-by-one simulation does."""
+    rnd = random.Random(6)
+    log = []
+    for i in range(160):
+        kind, event = rnd.choice([("ACTIVITY", "play"), ("MESSAGE", "sent"), ("MESSAGE", "sent"), ("MESSAGE", "open")])
+        channel = None if kind == "ACTIVITY" else f"c{rnd.randrange(30)}" if rnd.random() < 0.8 else rnd.choice(["push", "email"])
+        log.append((kind, f"m{rnd.randrange(2)}", event, channel, 1_700_000_000_000 + i * rnd.choice([1, 60_000, 3_600_000]) // 2, i))
+    events = spark.createDataFrame(log, "kind string, member_id string, event_type string, channel string, ts_ms long, seq long")
+    monkeypatch.setattr(features.sent_channels, "__defaults__", (5,))
+    assert features.sent_channels(events) is None
+    got = [r.asDict() for r in features.feature_changelog(events, heavy_rows=heavy_rows).collect()]
+    expected = []
+    for member in ("m0", "m1"):
+        mine = sorted((e for e in log if e[1] == member), key=lambda e: (e[4], e[5]))
+        expected += [{"member_id": member, **s} for s in member_snapshots([(e[0], *e[2:]) for e in mine])]
+    by_seq = lambda r: r["seq"]
+    assert sorted(got, key=by_seq) == sorted(expected, key=by_seq)
+
+
+def test_a_silent_key_is_followed_for_the_trailing_windows_only(spark):
+    rows = [("a", 0), ("b", 0), ("b", 100_000)]
+    series = spark.createDataFrame(rows, "k string, w long").select("k", F.timestamp_seconds(F.col("w") * 60).alias("window_start"), F.lit(5).cast("long").alias("n"))
+    got = {r.k: r["count"] for r in rollups.spikes(series, ["k"], "n", 60, trailing=10).groupBy("k").count().collect()}
+    assert got == {"a": 11, "b": 100_001}
+
+
+def test_control_rows_of_the_index_are_read_alone(spark, tmp_path):
+    store = index.IndexStore(spark, str(tmp_path))
+    log = spark.createDataFrame([(i, "d", f"r{i % 7}", "upsert", f"p{i}", i, i) for i in range(1, 40)], CHANGE_EVENT)
+    for batch in range(3):
+        store.apply_batch(log.where(F.col("offset") % 3 == batch), 7, "run", batch)
+        store.compact()
+    store.apply_batch(log.limit(0), 7, "run", 3)
+    assert store.index().count() == 7 and store.checkpoints().first().last_offset == 39
+    plan = store.checkpoints()._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and f"= {index.CONTROL_PART}" in plan
+    sizes = sorted({int(f.split("segment=")[1].split("/")[0]) for f in store.table.batches().inputFiles() if "/closed/" in f})
+    assert sizes == [0, 1, 2]  # one segment per compaction, each written once
