@@ -94,13 +94,17 @@ def follow(session, tmp_path, batches, ddl, build, name):
 def test_an_outage_is_reported_while_it_lasts(session, tmp_path):
     ddl = "metric string, s long"
     steady = [("up", w * 60) for w in range(30) for _ in range(4)] + [("down", w * 60) for w in range(10) for _ in range(4)]
-    tick = [("up", 30 * 60 + 61)]
-    seen = follow(session, tmp_path, [steady, tick], ddl,
+    tick, back = [("up", 30 * 60 + 61)], [("down", 33 * 60), ("up", 40 * 60)]
+    seen = follow(session, tmp_path, [steady, tick, back], ddl,
                   lambda s: spikes.spike_stream(s, ["metric"], 60, "0 seconds", trailing=5), "spikes")
-    flags = {(r.metric, int(r.window_start.timestamp()) // 60): r for r in seen[-1]}
+    window = lambda r: int(r.window_start.timestamp()) // 60
+    # "down" is silent and "up" moves the clock: five windows are reported, after which nothing can be told
+    assert sorted(window(r) for r in seen[1] if r.metric == "down") == list(range(15))
+    flags = {(r.metric, window(r)): r for r in seen[-1]}
     assert len(flags) == len(seen[-1])  # every window once
-    down = [w for (m, w), r in sorted(flags.items()) if m == "down" and r.is_drop]
-    assert down[:3] == [10, 11, 12] and max(w for m, w in flags if m == "down") >= 29  # "down" is silent, "up" moves the clock
+    assert [w for (m, w), r in sorted(flags.items()) if m == "down" and w < 33 and r.is_drop] == [10, 11, 12, 13, 14]
+    # it speaks again: the windows between are reported, and the first count is a spike
+    assert {w for m, w in flags if m == "down"} >= set(range(34)) and flags["down", 33].value == 1 and flags["down", 33].is_spike
     assert not any(r.is_drop or r.is_spike for (m, w), r in flags.items() if m == "up" and w < 30)
     assert flags["down", 10].trailing_mean == 4.0 and flags["down", 10].trailing_points == 5
 
