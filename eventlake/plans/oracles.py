@@ -158,7 +158,7 @@ FROM ev GROUP BY 1, 2""", EVENTS)
 ORACLES["stream_spikes"] = ORACLES["spike_flags"]
 ORACLES["hot_keys_sketched"] = _with("""
 SELECT endpoint, metric, count(*) AS rows, count(*) / (SELECT count(*) FROM ev) AS share
-FROM ev GROUP BY 1, 2 HAVING count(*) / (SELECT count(*) FROM ev) >= 0.05""", EVENTS)
+FROM ev GROUP BY 1, 2 HAVING count(*) / (SELECT count(*) FROM ev) >= 0.04""", EVENTS)
 ORACLES["late_audit"] = f"""
 SELECT event_id, arrival, window_start, seen_until,
   coalesce(window_start + to_seconds(60) <= seen_until - to_seconds(300), false) AS is_late

@@ -218,8 +218,8 @@ def hot_keys(spark, folder):
 
 @query
 def hot_keys_sketched(spark, folder):
-    """Keys of at least a twentieth of all rows, found by a sketch and counted exactly."""
-    return rollups.hot_keys(fx.metric_events(spark, folder), ["endpoint", "metric"], 0.05)
+    """Keys of at least a twenty-fifth of all rows, found by a sketch and counted exactly."""
+    return rollups.hot_keys(fx.metric_events(spark, folder), ["endpoint", "metric"], 0.04)
 
 
 @query
