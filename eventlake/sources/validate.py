@@ -27,16 +27,20 @@ def _first_reason(checks: Sequence[tuple[str, Column]]) -> Column:
     return F.coalesce(*[F.when(failed, F.lit(reason)) for reason, failed in checks])
 
 
-def _one_value(text: Column) -> tuple[Column, Column]:
-    """The parsed value of a text that is one JSON value and nothing else, and a test of that.
+def _one_value(text: Column) -> Column:
+    """Whether a text is one JSON value and nothing else; true, false or null.
 
-    The parsers stop after the first value and do not look at the rest. Inside a list and inside an
-    object the rest is looked at: what ends the one early is an error in the other.
+    The parsers stop after the first value and do not look at the rest, so that the text is put into a
+    list. A text without a ``]`` closes no list: this one ends behind its own bracket or is an error, and
+    its second entry is the list added here only where the text is one entry. One parse tells. Other texts
+    are parsed inside a list and inside an object: what ends the one early is an error in the other.
     """
+    marked = F.try_parse_json(F.concat(F.lit("["), text, F.lit(",[7]]")))
+    single = F.try_variant_get(marked, "$[1][0]", "int").isNotNull()
     listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     named = F.try_parse_json(F.concat(F.lit('{"a":'), text, F.lit("}")))
     alone = F.size(F.try_variant_get(listed, "$", "array<variant>")) == 1
-    return F.try_variant_get(named, "$.a", "variant"), named.isNotNull() & F.coalesce(alone, F.lit(False))
+    return F.when(~text.contains("]"), single).otherwise(named.isNotNull() & F.coalesce(alone, F.lit(False)))
 
 
 def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
@@ -64,8 +68,7 @@ def validate_events(messages: DataFrame, value: str = "value") -> DataFrame:
     kept = [c for c in messages.columns if c != value]
     names = (*REQUIRED_TEXT, "ts", *OPTIONAL_TEXT, "value", "extra")
     spec = ", ".join(f"{n}: variant" for n in names)
-    only, alone = _one_value(F.col(value))
-    parsed = F.when(alone, only)
+    parsed = F.when(_one_value(F.col(value)), F.try_parse_json(value))
     # A cast of an object to a struct keeps absent fields (null) and JSON nulls (VOID) apart.
     fields = F.try_variant_get(F.col("parsed"), "$", f"struct<{spec}>")
     read = _computed_once(_computed_once(messages, "parsed", parsed), "record", fields).withColumns(
@@ -104,14 +107,13 @@ def parse_envelopes(messages: DataFrame, value: str = "value") -> DataFrame:
     kept = [c for c in messages.columns if c != value]
     texts = ("event_id", "event_type", "aggregate_type", "aggregate_id", "idempotency_key")
     schema = record(
-        **{n: "string" for n in (*texts, "emitted_at", "schema_version", "unreadable")},
-        payload=ORDER_TEXTS)
-    options = {"columnNameOfCorruptRecord": "unreadable", "allowSingleQuotes": "false"}
+        **{n: "string" for n in (*texts, "emitted_at", "schema_version")}, payload=ORDER_TEXTS)
     text = F.ltrim(F.col(value), F.lit(" \t\r\n"))
     is_object = text.startswith("{")
-    read = _computed_once(messages, "read", F.when(is_object, F.from_json(value, schema, options)))
-    _, alone = _one_value(F.col(value))
-    read = _computed_once(read, "alone", F.coalesce(alone, F.lit(False)))
+    parsed = F.struct(
+        F.when(is_object, F.from_json(value, schema, {"allowSingleQuotes": "false"})).alias("read"),
+        F.coalesce(_one_value(F.col(value)), F.lit(False)).alias("alone"))
+    read = _computed_once(messages, "parsed", parsed).select("*", "parsed.*")
     shape = F.when(~F.col("alone"), "malformed_json").when(~is_object, "not_an_object")
     typed = read.select(
         *kept, F.col(value).alias("raw"), shape.alias("shape"),
