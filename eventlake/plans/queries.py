@@ -14,7 +14,7 @@ from eventlake.operators import (
 from eventlake.operators.daystore import KeyLedger
 from eventlake.operators.mergetable import MergeTable, fold
 from eventlake.plans import fixtures as fx
-from eventlake.session import apply_settings, scratch_dir, stored, streaming_session
+from eventlake.session import apply_settings, scratch_dir, stored, streaming_session, written
 from eventlake.sources import members, tables
 from eventlake.sources.schemas import record
 from eventlake.sources.streams import file_stream
@@ -443,6 +443,12 @@ def _order_envelopes(spark: SparkSession, folder: str) -> DataFrame:
     return parse_envelopes(fx.order_messages(spark, folder))
 
 
+def _usable_envelopes(spark: SparkSession, folder: str) -> DataFrame:
+    """Usable envelopes parsed once, for queries that read them more than once."""
+    columns = ("idempotency_key", *warehouse.APPLIED_COLUMNS)
+    return written(usable(_order_envelopes(spark, folder)).select(*columns), "envelopes")
+
+
 def _applied(spark: SparkSession, folder: str) -> DataFrame:
     return warehouse.first_deliveries(usable(_order_envelopes(spark, folder)))
 
@@ -450,7 +456,7 @@ def _applied(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def wh_dedup(spark, folder):
     """Second half of the topic against a ledger of the first half."""
-    envelopes = usable(_order_envelopes(spark, folder))
+    envelopes = _usable_envelopes(spark, folder)
     half = F.col("event_type") == "order.created"
     ledger = warehouse.ledger_rows(warehouse.first_deliveries(envelopes.where(half)))
     return warehouse.not_yet_applied(envelopes, ledger).select(
@@ -460,7 +466,7 @@ def wh_dedup(spark, folder):
 @query
 def wh_dedup_filtered(spark, folder):
     """The same against a ledger filed by days, some of them closed: filters choose the days to open."""
-    envelopes = usable(_order_envelopes(spark, folder))
+    envelopes = _usable_envelopes(spark, folder)
     half = F.col("event_type") == "order.created"
     known = stored(warehouse.ledger_rows(warehouse.first_deliveries(envelopes.where(half))))
     ledger = KeyLedger(spark, scratch_dir(spark, "ledger"), warehouse.LEDGER, "idempotency_key")
@@ -468,7 +474,8 @@ def wh_dedup_filtered(spark, folder):
         part = F.pmod(F.xxhash64("event_id"), F.lit(4)) == day
         ledger.write(known.where(part), date(2024, 1, 1 + day), "run", day)
     ledger.close(date(2024, 1, 3))
-    return ledger.unseen(warehouse.first_deliveries(envelopes)).select("idempotency_key", "order_id", "offset")
+    first = written(warehouse.first_deliveries(envelopes), "first-deliveries")
+    return ledger.unseen(first).select("idempotency_key", "order_id", "offset")
 
 
 @query
