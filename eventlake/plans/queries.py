@@ -684,7 +684,8 @@ def reconcile_tree(spark, folder):
     columns = ["customer_id", "amount_kobo", "currency", "status"]
     return quality.reconcile_tree(
         capture.created_orders(_created_source(spark, folder)).select("order_id", *columns),
-        warehouse.order_rows(_applied(spark, folder)).select("order_id", *columns), ["order_id"], columns)
+        written(warehouse.order_rows(_applied(spark, folder)).select("order_id", *columns), "orders"),
+        ["order_id"], columns)
 
 
 def _created_source(spark: SparkSession, folder: str) -> DataFrame:
