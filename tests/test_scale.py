@@ -1,0 +1,25 @@
+"""Tasks and state stay small, whatever the size of the input."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from eventlake.plans import queries
+from eventlake.session import apply_settings
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_shuffles_are_read_in_small_tasks(spark):
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "64")
+    session.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    apply_settings(session)
+    ids = session.range(0, 2_000_000, 1, 8).select(F.xxhash64("id").alias("a"), F.xxhash64("id", F.lit(1)).alias("b"))
+    assert ids.groupBy("a").agg(F.max("b")).rdd.getNumPartitions() >= 3  # over 30 MB
+
+
+def test_the_ledger_groups_only_its_own_columns(spark):
+    plan = queries.QUERIES["wh_ledger"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    grouped = re.findall(r"min_by\(struct\(([^)]*)\)", plan)
+    assert grouped and not any("customer_id" in names or "event_type" in names for names in grouped)
