@@ -1,11 +1,15 @@
 """Tasks and state stay small, whatever the size of the input."""
 
+import random
 import re
 
 from pyspark.sql import functions as F
 
 from eventlake.plans import queries
 from eventlake.session import apply_settings
+from eventlake.streaming import features, progress, sinks
+from test_heavy import EVENTS
+from test_streams import Drop, session  # noqa: F401
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -23,3 +27,67 @@ def test_the_ledger_groups_only_its_own_columns(spark):
     plan = queries.QUERIES["wh_ledger"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
     grouped = re.findall(r"min_by\(struct\(([^)]*)\)", plan)
     assert grouped and not any("customer_id" in names or "event_type" in names for names in grouped)
+
+
+MINUTE, DAY = 60_000, 86_400_000
+
+
+def test_state_rows_do_not_grow_with_the_buckets_of_a_batch(session, tmp_path):  # noqa: F811
+    drop = Drop(session, tmp_path / "in", EVENTS)
+    base = 1_700_000_100_000
+    drop.add(*[("ACTIVITY", f"m{i % 2}", "play", None, base + i * MINUTE, i) for i in range(100)])
+    log = progress.ProgressLog(session, str(tmp_path / "progress"))
+    reports = log.complete(sinks.to_files(
+        features.feature_stream(drop.stream()), str(tmp_path / "out"), str(tmp_path / "check")))
+    assert reports.agg(F.max("state_rows")).first()[0] == 4  # a head and a log for both
+    last = session.read.parquet(str(tmp_path / "out")).where("kind != 'TIMER'").orderBy(F.desc("seq")).first()
+    assert (last.plays_1h, last.plays_24h) == (31, 50)
+
+
+def test_logs_hold_what_the_member_held(monkeypatch):
+    monkeypatch.setattr(features, "LOG_SLACK", 4)
+    for seed in range(20):
+        dice, now, rewritten = random.Random(seed), 0, 0
+        head, logs, sent = None, {bucket: [] for bucket in features.COUNTERS}, {}
+        whole = features.Member(None, logs, {})
+        for _ in range(60):
+            member = features.Member(head, logs, dict(sent))
+            for _ in range(dice.randrange(4)):
+                now += dice.choice((1_000, MINUTE, 90 * MINUTE, 3 * DAY))
+                at = now - dice.choice((0, 0, 30_000))
+                event = dice.choice((("ACTIVITY", "play", None, at), ("MESSAGE", "open", None, at),
+                                     ("MESSAGE", "sent", dice.choice(("push", "email")), at)))
+                for kept in (member, whole):
+                    kept.take(*event)
+            if dice.random() < 0.5:
+                now += dice.choice((0, 0, 0, 2, 9, 91)) * DAY
+                for kept in (member, whole):
+                    kept.forget(now - 30_000)
+                    kept.let_go(now - 30_000)
+            head, sent = (member.last_activity, member.last_boundary, member.boundaries), member.sent
+            for bucket, log in logs.items():
+                fresh = member.outgrown(bucket)
+                rewritten += fresh
+                if not member.part(bucket):
+                    logs[bucket] = []
+                elif fresh or member.changed[bucket]:
+                    logs[bucket] = [] if fresh else log
+                    logs[bucket] = [*logs[bucket], member.changes(bucket, whole=fresh)]
+                assert len(logs[bucket]) <= features.LOG_ROWS
+            again = features.Member(head, logs, dict(sent))
+            assert again.snapshot(("m",), "K", 0, now) == whole.snapshot(("m",), "K", 0, now)
+            assert (again.boundaries, again.leaves_at()) == (whole.boundaries, whole.leaves_at())
+        assert rewritten
+
+
+def test_buckets_out_of_order_sum_up_the_same():
+    dice = random.Random(5)
+    counts, plain = features.BucketCounts({}, 2), {}
+    for _ in range(500):
+        start, place = dice.randrange(60), dice.choice((0, 1, None))
+        counts.add(start, place)
+        cell = plain.setdefault(start, [0, 0])
+        if place is not None:
+            cell[place] += 1
+        oldest = dice.randrange(-1, 62)
+        assert counts.since(oldest) == [sum(c[i] for s, c in plain.items() if s >= oldest) for i in (0, 1)]
