@@ -704,12 +704,12 @@ def _created_source(spark: SparkSession, folder: str) -> DataFrame:
 STREAM_PARTS = 4
 
 
-def _as_stream(spark: SparkSession, rows: DataFrame, purpose: str) -> DataFrame:
-    """Rows written to the shared folder and read back as a stream of ``STREAM_PARTS`` micro-batches."""
-    folder = scratch_dir(spark, purpose)
-    files = max(STREAM_PARTS, spark.sparkContext.defaultParallelism // STREAM_PARTS * STREAM_PARTS)
-    rows.repartition(files).write.parquet(folder)
-    return file_stream(spark, folder, rows.schema, max_files_per_trigger=files // STREAM_PARTS)
+def _as_stream(spark: SparkSession, rows: DataFrame, folder: str) -> DataFrame:
+    """Rows written to ``folder`` and read back as a stream of ``STREAM_PARTS`` micro-batches, each with a
+    file for every core."""
+    cores = spark.sparkContext.defaultParallelism
+    rows.repartition(STREAM_PARTS * cores).write.parquet(folder)
+    return file_stream(spark, folder, rows.schema, max_files_per_trigger=cores)
 
 
 def _span(events: DataFrame, ts: Column) -> int:
@@ -735,9 +735,7 @@ def _closed_stream(session: SparkSession, folder: str) -> tuple[DataFrame, dict]
     lateness = _lateness(events, HOUR)
     # The closing event comes with a later file: first all events, then it alone.
     source = scratch_dir(session, "stream-events")
-    files = max(STREAM_PARTS, session.sparkContext.defaultParallelism // STREAM_PARTS * STREAM_PARTS)
-    events.repartition(files).write.parquet(source)
-    stream = file_stream(session, source, events.schema, max_files_per_trigger=files // STREAM_PARTS)
+    stream = _as_stream(session, events, source)
     _closing_event(events, (lateness + 2) * HOUR).write.mode("append").parquet(source)
     return stream, {"window_seconds": HOUR, "dims": ("endpoint",), "sum_type": MONEY, "lateness_windows": lateness}
 
@@ -840,12 +838,13 @@ def stream_rollup_early(spark, folder):
     events = fx.metric_events(session, folder)
     store = rollup_streams.RollupStore(session, scratch_dir(session, "stream-cells"), ("endpoint",),
                                        sum_type=MONEY)
+    lateness = _lateness(events, HOUR)
     for half in (0, 1):
         part = events.where(F.col("event_id").cast("long") % 2 == half)
         log = progress.ProgressLog(session, scratch_dir(session, "progress"))
         log.complete(store.follow(
-            _as_stream(session, part, "stream-events"), f"run-{half}", scratch_dir(session, "stream-checkpoint"),
-            compact_every=2, window_seconds=HOUR, lateness_windows=_lateness(events, HOUR)))
+            _as_stream(session, part, scratch_dir(session, "stream-events")), f"run-{half}",
+            scratch_dir(session, "stream-checkpoint"), compact_every=2, window_seconds=HOUR, lateness_windows=lateness))
     return _flat(store.read())
 
 
@@ -934,7 +933,7 @@ def stream_wh_checkpoints(spark, folder):
 @query
 def stream_index(spark, folder):
     session = streaming_session(spark)
-    log = _as_stream(session, fx.change_log(session, folder), "stream-log")
+    log = _as_stream(session, fx.change_log(session, folder), scratch_dir(session, "stream-log"))
     store = index.IndexStore(session, scratch_dir(session, "stream-index"))
     index_streams.follow_log(log, store, "run", scratch_dir(session, "stream-checkpoint"),
                              clock=lambda: AS_OF_S).awaitTermination()

@@ -91,3 +91,10 @@ def test_buckets_out_of_order_sum_up_the_same():
             cell[place] += 1
         oldest = dice.randrange(-1, 62)
         assert counts.since(oldest) == [sum(c[i] for s, c in plain.items() if s >= oldest) for i in (0, 1)]
+
+
+def test_a_micro_batch_has_a_file_for_every_core(spark, monkeypatch):
+    asked, read = [], queries.file_stream
+    monkeypatch.setattr(queries, "file_stream", lambda *a, **given: asked.append(given) or read(*a, **given))
+    queries.QUERIES["stream_rollup_early"](spark, FOLDER)
+    assert [a["max_files_per_trigger"] for a in asked] == [spark.sparkContext.defaultParallelism] * 2
