@@ -19,14 +19,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from eventlake.sources.schemas import record
 
+FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+
 
 def fold(rows: DataFrame, keys: Sequence[str], order: Sequence[str],
          earliest: Sequence[str] = ()) -> DataFrame:
     """Per key the row that is greatest by ``order``; ``earliest`` columns keep their smallest value.
 
-    An aggregation, not a window: equal keys are reduced before the shuffle, whatever their number.
+    An aggregation, not a window: equal keys are reduced before the shuffle, whatever their number. Values of
+    fixed width are kept one by one, which a hash aggregate can do; others are kept as one struct, for which
+    the rows are sorted by their keys.
     """
     rest = [c for c in rows.columns if c not in keys and c not in earliest]
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    if len(order) == 1 and isinstance(kinds[order[0]], T.IntegralType) and all(isinstance(kinds[c], FIXED_WIDTH) for c in rest):
+        place = F.coalesce(F.col(order[0]).cast("long"), F.lit(-(2 ** 63)))  # rows without an order come first
+        kept = [F.max_by(c, place).alias(c) for c in rest]
+        return rows.groupBy(*keys).agg(*kept, *[F.min(c).alias(c) for c in earliest]).select(*rows.columns)
     last = F.max_by(F.struct(*rest), F.struct(*order)).alias("last")
     merged = rows.groupBy(*keys).agg(last, *[F.min(c).alias(c) for c in earliest])
     return merged.select(*keys, "last.*", *earliest).select(*rows.columns)

@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from eventlake.operators.mergetable import fold
 from eventlake.plans import queries
 from eventlake.session import apply_settings
 from eventlake.streaming import features, progress, sinks
@@ -98,3 +99,15 @@ def test_a_micro_batch_has_a_file_for_every_core(spark, monkeypatch):
     monkeypatch.setattr(queries, "file_stream", lambda *a, **given: asked.append(given) or read(*a, **given))
     queries.QUERIES["stream_rollup_early"](spark, FOLDER)
     assert [a["max_files_per_trigger"] for a in asked] == [spark.sparkContext.defaultParallelism] * 2
+
+
+def test_values_of_fixed_width_are_folded_without_a_sort(spark):
+    rows = spark.createDataFrame(
+        [("a", 1, 5.0, 9), ("a", 3, None, 7), ("a", None, 8.0, 8), ("b", None, 2.0, 1), (None, 2, 1.0, 4), (None, 2, 1.0, 3)],
+        "k string, n long, v double, at long")
+    found = fold(rows, ["k"], ["n"], earliest=["at"])
+    assert {tuple(r) for r in found.collect()} == {("a", 3, None, 7), ("b", None, 2.0, 1), (None, 2, 1.0, 3)}
+    assert {tuple(r) for r in fold(rows.withColumn("t", F.lit("x")), ["k"], ["n"], ["at"]).drop("t").collect()} == \
+        {tuple(r) for r in found.collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
