@@ -1,0 +1,75 @@
+"""What a warehouse batch keeps between its steps, and what it asks the ledger."""
+
+import os
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake.functions.keys import FLAT_JSON, FLAT_LENGTH, sorted_json
+from eventlake.operators import daystore
+from eventlake.operators.daystore import KeyLedger
+from eventlake.operators.warehouse import Warehouse
+from eventlake.plans import queries
+from eventlake.sources.schemas import record
+from test_stores import envelope, order
+
+FOLDER = "/root/testdata/sf0.001"
+TEXTS = ["{}", "[]", '{"a":1}', '{"b":1,"a":2}', '{"a":1,"a":2}', '{"a":-0}', '{"a":0}', '{"a":01}', '{"a":-5,"b":"x]y{"}',
+         '{"a":"\\u0041"}', '{"a":1.50}', '{"a":1e3}', '{"a":{"z":1,"b":2}}', '{"a":[1]}', '"x"', "null", ' {"a":1}',
+         '{"a": 1}', '{"a":1}\n', '{"a":1,}', '{"a":"é"}', '{"a":"":"b"}', '{"a":"x",":b":1}', '{"B":1,"a":2,"b":3}',
+         '{"a_":1,"a":2}', '{"a":1,"a_":2,"aa":null,"b":true}', '{"a":9999999999999999999}', '{"a":1}x', '{"a":nul}', "", None,
+         "{'a':1}", '{"a":"\t"}', '{"a":"\x7f"}', '{"a":NaN}', '{"":1}', '{"a":"' + "x" * FLAT_LENGTH + '"}', '{"9":1,"10":2}',
+         "{" + ",".join(f'"k{i:04d}":{i}' for i in range(3000)) + "}"]
+
+
+def test_flat_json_is_sorted_like_any_other(spark):
+    given = spark.createDataFrame([(t,) for t in TEXTS], "x string")
+    rows = given.select("x", sorted_json(F.col("x")).alias("new"), F.to_json(F.try_parse_json("x")).alias("old"))
+    assert [r for r in rows.collect() if r.new != r.old] == []
+    flat = given.where(F.col("x").rlike(FLAT_JSON)).count()
+    assert 10 < flat < len(TEXTS) - 10
+
+
+def test_whole_envelopes_are_not_cached(spark, tmp_path, monkeypatch):
+    batch, cached = envelope(spark, (1, order("k1")), (2, "broken"), (3, order("k2"))), []
+    frame, persist = type(batch), type(batch).persist
+
+    def spy(self, *level):
+        cached.append(self.columns)
+        return persist(self, *level)
+
+    monkeypatch.setattr(frame, "persist", spy)
+    Warehouse(spark, str(tmp_path)).apply_batch(batch, "r", 0)
+    assert cached and not any({"raw", "payload"} & set(columns) for columns in cached)
+    assert [r.raw for r in spark.read.parquet(f"{tmp_path}/quarantine").collect()] == ["broken"]
+
+
+def test_a_batch_leaves_no_staged_rows(spark, tmp_path):
+    store = Warehouse(spark, str(tmp_path))
+    for batch_id in range(2):
+        store.apply_batch(envelope(spark, (batch_id, order("k1")), (batch_id + 5, order(f"new-{batch_id}"))), "r", batch_id)
+        for name in os.listdir(tmp_path / "staging"):
+            assert spark.read.parquet(str(tmp_path / "staging" / name)).count() == 0
+    assert sorted(r.idempotency_key for r in store.ledger.read().collect()) == ["k1", "new-0", "new-1"]
+
+
+def test_the_replayed_topic_is_built_once(spark, monkeypatch):
+    kept, written = [], queries.written
+    monkeypatch.setattr(queries, "written", lambda df, to: kept.append(to) or written(df, to))
+    queries.QUERIES["wh_replay_twice"](spark, FOLDER)
+    assert kept == ["order-messages"]
+
+
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_days_are_found_whatever_share_is_asked_first(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(daystore, "BROADCAST_ROWS", few)
+    ledger = KeyLedger(spark, str(tmp_path), record(key="string", n="long"), "key")
+    days = [date(2024, 1, d) for d in range(1, 4)]
+    rows = lambda names: spark.createDataFrame([(k, 0) for k in names], "key string, n long")
+    for i, day in enumerate(days):
+        ledger.write(rows([f"{i}-{k}" for k in range(200)]), day, "r", i)
+    # all keys of the first day, one of the last one, which the first share need not hold
+    asked = rows([f"0-{k}" for k in range(200)] + ["2-7", "new", None, None])
+    assert ledger.possible_days(asked) == [days[0], days[2]]
+    assert sorted(str(r.key) for r in ledger.unseen(asked).collect()) == ["None", "None", "new"]
