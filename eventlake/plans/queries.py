@@ -14,7 +14,7 @@ from eventlake.operators import (
 from eventlake.operators.daystore import KeyLedger
 from eventlake.operators.mergetable import MergeTable, fold
 from eventlake.plans import fixtures as fx
-from eventlake.session import apply_settings, scratch_dir, stored, streaming_session, written
+from eventlake.session import apply_settings, emptied, scratch_dir, streaming_session, written
 from eventlake.sources import members, tables
 from eventlake.sources.schemas import record
 from eventlake.sources.streams import file_stream
@@ -468,13 +468,15 @@ def wh_dedup_filtered(spark, folder):
     """The same against a ledger filed by days, some of them closed: filters choose the days to open."""
     envelopes = _usable_envelopes(spark, folder)
     half = F.col("event_type") == "order.created"
-    known = stored(warehouse.ledger_rows(warehouse.first_deliveries(envelopes.where(half))))
+    known = written(warehouse.ledger_rows(warehouse.first_deliveries(envelopes.where(half))), "known")
     ledger = KeyLedger(spark, scratch_dir(spark, "ledger"), warehouse.LEDGER, "idempotency_key")
     for day in range(4):
         part = F.pmod(F.xxhash64("event_id"), F.lit(4)) == day
         ledger.write(known.where(part), date(2024, 1, 1 + day), "run", day)
+    emptied(known)
     ledger.close(date(2024, 1, 3))
     first = written(warehouse.first_deliveries(envelopes), "first-deliveries")
+    emptied(envelopes)
     return ledger.unseen(first).select("idempotency_key", "order_id", "offset")
 
 

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.keys import FLAT_LENGTH, known_json, sorted_json
 from eventlake.operators.warehouse import LAKE_COLUMNS, Warehouse
+from eventlake.plans import queries
 from eventlake.session import SHUFFLE_CLEANUP, emptied, shuffles_removed, written
 from test_staging import TEXTS
 from test_stores import envelope, order
 
+FOLDER = "/root/testdata/sf0.001"
 NAMES = ("b", "a", "a_", "aa")
 
 
@@ -70,3 +72,20 @@ def test_emptied_rows_are_gone(spark, tmp_path, monkeypatch):
     rows = written(spark.range(10), "some rows")
     emptied(rows)
     assert spark.read.parquet(str(tmp_path / "some rows é%")).count() == 0
+
+
+@pytest.mark.parametrize("name,purposes,rows", [
+    ("wh_dedup_filtered", ["envelopes", "known"], None)])
+def test_inputs_that_are_done_with_are_emptied(spark, monkeypatch, name, purposes, rows):
+    kept, made = {}, queries.written
+
+    def spy(df, purpose):
+        kept[purpose] = made(df, purpose)
+        return kept[purpose]
+
+    monkeypatch.setattr(queries, "written", spy)
+    found = queries.QUERIES[name](spark, FOLDER).count()
+    assert found == rows if rows else found > 0
+    for purpose in purposes:
+        again = spark.read.schema(kept[purpose].schema).parquet(kept[purpose].inputFiles()[0].rsplit("/", 1)[0])
+        assert again.count() == 0
