@@ -75,7 +75,7 @@ def test_emptied_rows_are_gone(spark, tmp_path, monkeypatch):
 
 
 @pytest.mark.parametrize("name,purposes,rows", [
-    ("wh_dedup_filtered", ["envelopes", "known"], None)])
+    ("stream_wh_checkpoints", ["order-messages"], 6), ("wh_dedup_filtered", ["envelopes", "known"], None)])
 def test_inputs_that_are_done_with_are_emptied(spark, monkeypatch, name, purposes, rows):
     kept, made = {}, queries.written
 
